@@ -1,10 +1,15 @@
-"""A training-data pipeline over `documents`: quality rules, mixing and packing of what is kept."""
+"""A training-data pipeline over `documents`: quality rules, line dedup, near duplicates, mixing, packing.
+
+Every stage but the last returns the columns of `documents` and works on all rows that the stage before it kept.
+Rows with a null id pass the near-duplicate stage, since nothing links them; rows that repeat an id are one document.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricewright.llm import mixing, packing, quality_rules
+from pricewright.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
 from pricewright.llm.common import table, written
 from pricewright.llm.queries import MIX_WEIGHTS, source_domain
 
@@ -16,6 +21,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.apply(docs, table(spark, sf_dir, "labels"))
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of runs of lines go; a document of which nothing is left goes with them."""
+    d = line_dedup.dedup(docs).where("n_removed = 0 or n_removed < n_lines")
+    changed = {"text": F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row.text")), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))}
+    return d.select(*[changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays."""
+    groups = written(jaccard_join.join(docs), "groups")
+    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(others, F.col("doc_id") == F.col("_id"), "left_anti")
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, source_domain(), MIX_SHARE, 1, MIX_WEIGHTS, columns=tuple(docs.columns)).select("row.*")
 
@@ -24,7 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs)
 
 
-STAGES = [("quality rules", quality), ("mixing", mix), ("packing", pack)]
+STAGES = [("quality rules", quality), ("line dedup", lines), ("near duplicates", near_duplicates), ("mixing", mix), ("packing", pack)]
 ORACLE_SQL = None
 
 

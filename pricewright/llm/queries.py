@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, license_scan, mixing, packing, quality_rules, secret_scan, warc
+from . import fingerprint, jaccard_join, license_scan, line_dedup, mixing, packing, quality_rules, secret_scan, suffix_dedup, warc
 from .common import new_path, table, written
 
 #: Target weights among siblings of the mixing tree; 1 elsewhere.
@@ -18,6 +18,14 @@ def source_domain() -> Column:
     return F.concat(F.lit("d"), F.pmod(F.coalesce(F.expr("try_cast(regexp_extract(source, '([0-9]+)$', 1) as bigint)"), F.lit(0)), F.lit(4)).cast("string"))
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), source_domain(), MIX_SHARE, MIX_EPOCHS, MIX_WEIGHTS)
     return mixed.select("row.doc_id", "domain", "lang", "source", F.col("epoch").cast("long").alias("epoch"), "n_tokens", "taken")
@@ -27,6 +35,11 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edits(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return lines.select("row.doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"), "doc_id").drop("starts")
 
@@ -59,5 +72,58 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mixing, op4_fingerprints, op6_license_scan, op7_warc, op8_packing, op9_quality_rules, op10_secret_scan)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_jaccard_join,
+        op2_suffix_dedup,
+        op3_source_mixing,
+        op4_fingerprints,
+        op5_line_dedup,
+        op6_license_scan,
+        op7_warc,
+        op8_packing,
+        op9_quality_rules,
+        op10_secret_scan,
+    )
+}
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+#: Sets of 5-word shingles, all pairs that share one, and the closure of the links.
+ORACLE_1 = rf"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') as w from documents
+), s as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from w
+), t as materialized (select doc_id, len(s) as n, unnest(s) as g from s),
+p as materialized (
+  select a.doc_id as x, b.doc_id as y from t a join t b on a.g = b.g and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), c as (select x as root, x as y from p union select c.root, p.y from c join p on c.y = p.x)
+select s.doc_id, len(s)::bigint as n_shingles, coalesce(least(s.doc_id, m.y), s.doc_id)::bigint as component_id
+from s left join (select root, min(y) as y from c group by root) m on m.root = s.doc_id
+"""
+
+#: Lines with a word; a place is deleted if its line of 20 words or more, or a pair of lines it is in, stands earlier.
+ORACLE_5 = rf"""
+with a as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+e as (select doc_id, unnest(l) as x, generate_subscripts(l, 1) as i from a),
+f as (select *, row_number() over (partition by doc_id order by i) as j from e where regexp_matches(x, '{_WORDS}')),
+g as (select *, lead(x) over (partition by doc_id order by j) as y from f),
+h as (
+  select *, first_value(struct_pack(d := doc_id, j := j)) over (partition by x order by doc_id, j) as one,
+    first_value(struct_pack(d := doc_id, j := j)) over (partition by x, y order by doc_id, j) as two from g
+), k as (
+  select *, one <> struct_pack(d := doc_id, j := j) and len(regexp_extract_all(x, '{_WORDS}')) >= 20 as single,
+    y is not null and two <> struct_pack(d := doc_id, j := j) as pair from h
+), m as (select *, single or pair or coalesce(lag(pair) over (partition by doc_id order by j), false) as gone from k),
+n as (select e.*, m.j is not null as word, coalesce(m.gone, false) as gone from e left join m on e.doc_id = m.doc_id and e.i = m.i),
+o as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as start from n)
+select doc_id, count(*) filter (word)::bigint as n_lines, count(*) filter (gone)::bigint as n_removed, count(*) filter (start)::bigint as n_runs,
+  sha256(coalesce(string_agg(x, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from o group by doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op5_line_dedup": ORACLE_5}
