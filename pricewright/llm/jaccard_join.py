@@ -1,16 +1,19 @@
 """N-gram Jaccard self-join by token-combination prefixes.
 
 A document's set holds the hashes of its 5-word shingles. Equal sets are one node: copies emit the same rows, which
-fall together. All tokens have one global order: counted rare tokens, counted frequent tokens, tokens that aren't counted
-(by hash within each). A set of n tokens may miss d = n - ceil(t n) of them in a partner. Rare tokens form a class in
-which one shared token is a signature; frequent and uncounted tokens are dealt to classes in which two shared tokens
+fall together. All tokens have one global order: rare tokens first,
+frequent ones last, by hash within each. A set of n tokens may miss d = n - ceil(t n) of them in a partner. Rare tokens
+form a class in which one shared token is a signature; frequent tokens are dealt to classes in which two shared tokens
 are one. A prefix that holds c_i tokens of class i shares no signature only if it misses c_i - k_i + 1 of each class,
-so it is extended until those add up to d + 1: then two sets that link share a signature.
+so it is extended until those add up to d + 1: then two sets that link share a signature. Towards partners that
+aren't smaller the set may miss fewer tokens; signatures of that shorter prefix are low, and a pair is compared only
+where the smaller set's signature is.
 
-A token is counted if its hash is among the lowest COUNTED share, enough for most prefixes; whether it is frequent is
-kept in a bitmap of fixed size, in which a chance collision only makes a rare token cost more. The number of classes
-follows the size of the set by powers of two; a set that may have partners below its power of two emits the
-signatures of that level too.
+Tokens are counted in two steps, over all documents. The first counts those whose hash is among the lowest FIRST
+share, which are enough for most prefixes; the second counts the others in the documents whose prefix needs more rare
+tokens, since only there can they become signatures. What is frequent is kept in two bitmaps of fixed size, in which a
+chance collision only makes a rare token cost more. The number of classes follows the size of the set by powers of
+two; a set that may have partners below its power of two emits the signatures of that level too.
 
 Signatures group sets. Instead of all pairs of a group, each round compares every member with one leader of its group
 and size; links merge components, and members that are in the leader's component already are done. After STARS rounds
@@ -35,12 +38,12 @@ from pyspark.sql import functions as F
 from .common import dropped, text_or_empty, written
 
 SHINGLE, PERCENT = 5, 80
-COUNTED, FREQUENT, BITS = 0.32, 24, 22
+FIRST, FREQUENT, BITS = 0.32, 24, 22
 STARS = 2
 #: Ids of documents that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 U = np.uint64
-CUT = U(int(COUNTED * 2**64))
+CUT = U(int(FIRST * 2**64))
 LEAST_LEVEL, CLASS_SHIFT = 4, 4
 _seed = np.random.default_rng(20240501)
 #: A random value for each byte, lower case for A-Z; odd factors for the words of a shingle.
@@ -114,17 +117,35 @@ def needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def signatures(tokens: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    """Of one set (sorted hashes); bitmap: bit words of the frequent tokens."""
+Bitmaps = tuple[np.ndarray, np.ndarray | None]
+
+
+def _often(tokens: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    bucket = tokens & U((1 << BITS) - 1)
+    return (bitmap[(bucket >> U(6)).astype(np.int64)] >> (bucket & U(63))) & U(1) == 1
+
+
+def wanted(tokens: np.ndarray) -> int:
+    """Tokens of which one at least is in every linked partner."""
+    return len(tokens) - needed(len(tokens)) + 1
+
+
+def smaller(tokens: np.ndarray) -> int:
+    """The same for partners that aren't smaller, which share at least 2 t / (1 + t) of the tokens."""
+    n = len(tokens)
+    return n + (-2 * PERCENT * n) // (100 + PERCENT) + 1
+
+
+def signatures(tokens: np.ndarray, bitmaps: Bitmaps, want: int | None = None) -> np.ndarray:
+    """Of one set (sorted hashes); want: wanted() or smaller(); bitmaps: bit words of the frequent tokens, of the first share and of the others."""
     n = len(tokens)
     level = n.bit_length() - 1
     levels = {level} | ({level - 1} if 100 * (1 << level) >= PERCENT * n else set())
-    bucket = tokens & U((1 << BITS) - 1)
-    counted = tokens < CUT
-    often = (bitmap[(bucket >> U(6)).astype(np.int64)] >> (bucket & U(63))) & U(1) == 1
-    rare = tokens[counted & ~often]
-    rest = np.concatenate([tokens[counted & often], tokens[~counted]])
-    want = n - needed(n) + 1
+    first, others = tokens[tokens < CUT], tokens[tokens >= CUT]
+    a, b = _often(first, bitmaps[0]), _often(others, bitmaps[1])
+    rare = np.concatenate([first[~a], others[~b]])
+    rest = np.concatenate([first[a], others[b]])
+    want = want or wanted(tokens)
     singles, combos = 0, []
     for lv in levels:
         if lv < LEAST_LEVEL:
@@ -179,32 +200,41 @@ def nodes(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, node long")
 
 
-def counted_tokens(docs: DataFrame) -> DataFrame:
+def counted_tokens(docs: DataFrame, first: np.ndarray | None) -> DataFrame:
+    """31 bits of each token of the first share; given the first bitmap, of each other token of the documents whose
+    rare tokens of the first share are too few."""
+    shared = docs.sparkSession.sparkContext.broadcast(first)
+
+    def some(s: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
+        low = s[s < CUT]
+        if bits is None:
+            return low
+        return s[s >= CUT] if len(s) and np.count_nonzero(~_often(low, bits)) < wanted(s) else s[:0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for _, sets in _each(batches):
-            got = np.concatenate([s[s < CUT] for s in sets]) if sets else np.zeros(0, U)
+            got = np.concatenate([np.zeros(0, U), *(some(s, bits) for s in sets)])
             yield pa.RecordBatch.from_arrays([pa.array((got & U(0x7FFFFFFF)).astype(np.int32))], names=["token"])
 
     return docs.mapInArrow(run, "token int")
 
 
-def frequent_bits(docs: DataFrame) -> np.ndarray:
-    """The bitmap: 2**BITS bits, whatever the number of tokens. Counts are by 31 bits of the hash: tokens that fall
+def frequent_bits(docs: DataFrame, first: np.ndarray | None = None) -> np.ndarray:
+    """A bitmap: 2**BITS bits, whatever the number of tokens. Counts are by 31 bits of the hash: tokens that fall
     together may count as frequent, which costs more and loses nothing."""
-    often = counted_tokens(docs).groupBy("token").count().where(F.col("count") >= FREQUENT)
+    often = counted_tokens(docs, first).groupBy("token").count().where(F.col("count") >= FREQUENT)
     bucket = F.col("token").bitwiseAND(F.lit((1 << BITS) - 1))
-    rows = (
-        often.select(F.shiftright(bucket, 6).alias("w"), F.expr(f"shiftleft(1L, (token & {(1 << BITS) - 1}) & 63)").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    )  # 2**BITS / 64 rows at most
+    words = often.select(F.shiftright(bucket, 6).alias("w"), F.expr(f"shiftleft(1L, (token & {(1 << BITS) - 1}) & 63)").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
     bitmap = np.zeros(1 << BITS >> 6, dtype=U)
-    for r in rows:
+    for r in words.collect():  # 2**BITS / 64 rows at most
         bitmap[r.w] = U(r.b & 0xFFFFFFFFFFFFFFFF)
     return bitmap
 
 
-def posted(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """sig, id (the node), n."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def posted(docs: DataFrame, bitmaps: Bitmaps) -> DataFrame:
+    """sig, id (the node), n, low (also a signature towards partners that aren't smaller)."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -214,11 +244,13 @@ def posted(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
             n = [len(s) for s in sigs]
             flat = np.concatenate(sigs) if sigs else np.zeros(0, U)
             ids = np.repeat(np.array([node(s) for s in sets], np.int64), n)
-            rows = pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(ids), pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), n))], names=["sig", "id", "n"])
+            low = np.concatenate([np.isin(x, signatures(s, bits, smaller(s)), assume_unique=True) for s, x in zip(sets, sigs, strict=True)]) if sigs else np.zeros(0, bool)
+            cols = [flat.view(np.int64), ids, np.repeat(np.array([len(s) for s in sets], np.int32), n), low]
+            rows = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["sig", "id", "n", "low"])
             for at in range(0, len(rows), 100_000):
                 yield rows.slice(at, 100_000)
 
-    return docs.mapInArrow(run, "sig long, id long, n int")
+    return docs.mapInArrow(run, "sig long, id long, n int, low boolean")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -274,8 +306,9 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keys = written(nodes(slim), "nodes")
     known = slim.where("doc_id is not null")
-    posts = written(posted(known, frequent_bits(known)), "signatures")
-    several = posts.groupBy("sig").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi")).where("_lo < _hi").select(F.col("sig").alias("_sig"))
+    first = frequent_bits(known)
+    posts = written(posted(known, (first, frequent_bits(known, first))), "signatures")
+    several = posts.groupBy("sig").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"), F.max("low").alias("_any")).where("_lo < _hi and _any").select(F.col("sig").alias("_sig"))
     groups = written(posts.join(several, F.col("sig") == F.col("_sig"), "left_semi").distinct(), "groups")
     dropped(posts)
     # One text of each node that shares a signature.
@@ -290,7 +323,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     for r in range(STARS + 1):
         g = groups
         if comp is not None:
-            g = g.join(comp.withColumnRenamed("id", "_i"), F.col("id") == F.col("_i"), "left").select("sig", "id", "n", F.coalesce("comp", "id").alias("comp"))
+            g = g.join(comp.withColumnRenamed("id", "_i"), F.col("id") == F.col("_i"), "left").select("sig", "id", "n", "low", F.coalesce("comp", "id").alias("comp"))
         else:
             g = g.withColumn("comp", F.col("id"))
         if r < STARS:
@@ -298,11 +331,13 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
             pairs = g.join(lead, (F.col("sig") == F.col("_sig")) & (band == F.col("_band"))).where(F.col("comp") != F.col("x.comp"))
             pairs = pairs.where(_fits("n", "x.n")).select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"))
         else:
-            open_ = g.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select(F.col("sig").alias("_sig"))
+            open_ = g.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("low").alias("_any")).where("_lo < _hi and _any").select(F.col("sig").alias("_sig"))
             left = written(g.join(open_, F.col("sig") == F.col("_sig"), "left_semi"), "open")
-            x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("sig", "id", "n", "comp")]) for s in "xy")
-            pairs = x.join(y, (F.col("sig_x") == F.col("sig_y")) & (F.col("id_x") < F.col("id_y")) & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y"))
-            pairs = pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b"))
+            x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("sig", "id", "n", "low", "comp")]) for s in "xy")
+            # The smaller set's signature must be a low one; of equal sizes either's.
+            once = F.expr("n_x < n_y or n_x = n_y and (not low_y or id_x < id_y)")
+            pairs = x.where("low_x").join(y, (F.col("sig_x") == F.col("sig_y")) & once & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y"))
+            pairs = pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -311,8 +346,8 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
         found = written(linked(pairs, sets), "links")
         links = found if links is None else links.unionByName(found)
         comp = components(links)
-    first = comp.withColumnRenamed("id", "node")
-    named = keys.where("doc_id is not null and node is not null").select("node", "doc_id").join(first, "node", "left")
+    named_by = comp.withColumnRenamed("id", "node")
+    named = keys.where("doc_id is not null and node is not null").select("node", "doc_id").join(named_by, "node", "left")
     named = named.groupBy(F.coalesce("comp", "node").alias("_comp")).agg(F.min("doc_id").alias("_least"))
-    of = keys.join(first, "node", "left").withColumn("_c", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node"))).join(named, F.col("_c") == F.col("_comp"), "left")
+    of = keys.join(named_by, "node", "left").withColumn("_c", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node"))).join(named, F.col("_c") == F.col("_comp"), "left")
     return of.select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"))
