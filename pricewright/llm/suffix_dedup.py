@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import dropped, text_or_empty, written
 from .suffix_sort import suffixes
 
 LENGTH, K = 200, 48
@@ -118,7 +118,6 @@ def _segments(keyed: DataFrame, length: int) -> DataFrame:
 def _fetched(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """h, u, lo, alone, bytes: the bytes of segments, cut out of their texts."""
     lists = written(wanted.groupBy(F.col("u").alias("_u")).agg(F.collect_list(F.struct("h", "lo", "hi", "alone")).alias("s")), "wanted")
-    lists = F.broadcast(lists) if 32 * (lists.agg(F.sum(F.size("s"))).first()[0] or 0) < BROADCAST_BYTES else lists
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,6 +231,7 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", length: int = LENGTH) ->
     low = F.col("h").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")  # 31 bits make smaller rows; chance company does no harm
     often = every.groupBy(low.alias("_h")).count().where("count > 1").select("_h")
     active = written(every.join(often, low == F.col("_h"), "left_semi"), "active")
+    dropped(every)
     classes = written(active.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("u", "lo", "hi")).alias("rep")), "classes")
     mixed = classes.groupBy(F.col("h").alias("_h")).count().where("count > 1").select("_h")
     wanted = classes.join(mixed, F.col("h") == F.col("_h"), "left_semi").select("h", "rep.u", "rep.lo", "rep.hi", (F.col("n") == 1).alias("alone"))
