@@ -16,8 +16,10 @@ chance collision only makes a rare token cost more. The number of classes follow
 two; a set that may have partners below its power of two emits the signatures of that level too.
 
 Signatures group sets. Instead of all pairs of a group, each round compares every member with one leader of its group
-and size; links merge components, and members that are in the leader's component already are done. After STARS rounds
-the pairs of a group that are still in different components are compared, none left out, so components are exact.
+and size; links merge components, and members that are in the leader's component already are done. In the first round
+copies of a group meet the same leader; later ones take another leader for each signature. After STARS rounds
+the pairs of a group that are still in different components are compared, none left out, so components are exact;
+groups with much the same members are one by then.
 
 Hashes and nodes have 64 bits. Defined cases: null and empty texts and texts without words have an
 empty set and link with nothing, their own or another's; fewer than five words are one shingle; a null id links with
@@ -40,6 +42,8 @@ from .common import dropped, text_or_empty, written
 SHINGLE, PERCENT = 5, 80
 FIRST, FREQUENT, BITS = 0.32, 24, 22
 STARS = 2
+#: Pairs of an open group that one task compares, about.
+TASK_PAIRS = 1 << 20
 #: Ids of documents that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 U = np.uint64
@@ -297,6 +301,23 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def families(left: DataFrame) -> DataFrame:
+    """Open groups (sig, id, n, low, comp) as key, salts, id, n, low, comp: every two ids that share a signature share a key.
+
+    Documents that are much alike meet at each of their signatures. Groups whose member with the least hash is the
+    same become one, if all its pairs are no more than theirs together, so such documents meet a few times. A group of
+    many pairs is dealt to `salts` tasks."""
+    size = [F.count("*").alias("_c"), F.sum(F.col("low").cast("long")).alias("_l")]
+    of = left.groupBy(F.col("sig").alias("_sig")).agg(F.min(F.xxhash64("id")).alias("_fam"), *size)
+    merged = left.join(of.select("_sig", "_fam"), F.col("sig") == F.col("_sig")).groupBy(F.col("_fam").alias("_f"), "id").agg(F.max("low").alias("low"))
+    merged = merged.groupBy("_f").agg(*size).select("_f", (F.col("_c") * F.col("_l")).alias("_as_one"))
+    alone = of.groupBy("_fam").agg(F.sum(F.col("_c") * F.col("_l")).alias("_apart"))
+    better = alone.join(merged, F.col("_fam") == F.col("_f")).where("_as_one <= _apart").select("_f", "_as_one")
+    keys = of.join(better, F.col("_fam") == F.col("_f"), "left").select("_sig", F.when(F.col("_f").isNull(), F.xxhash64(F.lit("one"), "_sig")).otherwise(F.col("_f")).alias("key"), F.ceil(F.coalesce("_as_one", F.col("_c") * F.col("_l")) / F.lit(TASK_PAIRS)).alias("salts"))
+    rows = left.join(keys, F.col("sig") == F.col("_sig")).groupBy("key", "id").agg(F.max("salts").alias("salts"), F.first("n").alias("n"), F.max("low").alias("low"), F.first("comp").alias("comp"))
+    return rows.withColumn("salts", F.greatest("salts", F.lit(1).cast("long")))
+
+
 def _fits(a: str, b: str):
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
 
@@ -327,16 +348,18 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
         else:
             g = g.withColumn("comp", F.col("id"))
         if r < STARS:
-            lead = g.groupBy(F.col("sig").alias("_sig"), band.alias("_band")).agg(F.min_by(F.struct("id", "n", "comp"), F.xxhash64("id", F.lit(r))).alias("x"))
+            lead = g.groupBy(F.col("sig").alias("_sig"), band.alias("_band")).agg(F.min_by(F.struct("id", "n", "comp"), F.xxhash64("id", *([F.col("sig"), F.lit(r)] if r else []))).alias("x"))
             pairs = g.join(lead, (F.col("sig") == F.col("_sig")) & (band == F.col("_band"))).where(F.col("comp") != F.col("x.comp"))
             pairs = pairs.where(_fits("n", "x.n")).select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"))
         else:
             open_ = g.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("low").alias("_any")).where("_lo < _hi and _any").select(F.col("sig").alias("_sig"))
-            left = written(g.join(open_, F.col("sig") == F.col("_sig"), "left_semi"), "open")
-            x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("sig", "id", "n", "low", "comp")]) for s in "xy")
+            left = families(written(g.join(open_, F.col("sig") == F.col("_sig"), "left_semi"), "open"))
+            x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "salts", "id", "n", "low", "comp")]) for s in "xy")
+            x = x.where("low_x").withColumn("salt_x", F.pmod(F.xxhash64("id_x"), F.col("salts_x")))
+            y = y.withColumn("salt_y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts_y") - 1)))
             # The smaller set's signature must be a low one; of equal sizes either's.
             once = F.expr("n_x < n_y or n_x = n_y and (not low_y or id_x < id_y)")
-            pairs = x.where("low_x").join(y, (F.col("sig_x") == F.col("sig_y")) & once & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y"))
+            pairs = x.join(y, (F.col("key_x") == F.col("key_y")) & (F.col("salt_x") == F.col("salt_y")) & once & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y"))
             pairs = pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
         pairs = pairs.distinct()
         if tried is not None:
