@@ -19,7 +19,8 @@ Signatures group sets. Instead of all pairs of a group, each round compares ever
 and size; links merge components, and members that are in the leader's component already are done. In the first round
 copies of a group meet the same leader; later ones take another leader for each signature. After STARS rounds
 the pairs of a group that are still in different components are compared, none left out, so components are exact;
-groups with much the same members are one by then.
+groups with much the same members are one by then, and sketches of the sets, which never exaggerate their difference,
+rule out most of the pairs that don't link.
 
 Hashes and nodes have 64 bits. Defined cases: null and empty texts and texts without words have an
 empty set and link with nothing, their own or another's; fewer than five words are one shingle; a null id links with
@@ -44,6 +45,8 @@ FIRST, FREQUENT, BITS = 0.32, 24, 22
 STARS = 2
 #: Pairs of an open group that one task compares, about.
 TASK_PAIRS = 1 << 20
+#: Longs of a sketch: bits that say of a set's tokens in each bucket whether they are odd in number.
+SKETCH = 8
 #: Ids of documents that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 U = np.uint64
@@ -257,14 +260,21 @@ def posted(docs: DataFrame, bitmaps: Bitmaps) -> DataFrame:
     return docs.mapInArrow(run, "sig long, id long, n int, low boolean")
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Bits in which two sets differ are no more than the tokens in which they do."""
+    bucket = (mix(tokens) >> U(32)) % U(64 * SKETCH)
+    odd = np.bincount(bucket.astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(U)
+
+
 def full_sets(docs: DataFrame) -> DataFrame:
-    """id (the node), tokens."""
+    """id (the node), tokens, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _each(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in sets], pa.int64()), _lists(sets)], names=["id", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in sets], pa.int64()), _lists(sets), _lists([sketch(s) for s in sets])], names=["id", "tokens", "sketch"])
 
-    return docs.mapInArrow(run, "id long, tokens array<long>")
+    return docs.mapInArrow(run, "id long, tokens array<long>, sketch array<long>")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -354,12 +364,17 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
         else:
             open_ = g.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("low").alias("_any")).where("_lo < _hi and _any").select(F.col("sig").alias("_sig"))
             left = families(written(g.join(open_, F.col("sig") == F.col("_sig"), "left_semi"), "open"))
-            x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "salts", "id", "n", "low", "comp")]) for s in "xy")
+            bits = sets.select(F.col("id").alias("_id"), *[F.col("sketch")[i].alias(f"bits{i}") for i in range(SKETCH)])
+            left = left.join(bits, F.col("id") == F.col("_id"))
+            x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "salts", "id", "n", "low", "comp", *bits.columns[1:])]) for s in "xy")
+            # Sets that link differ in (1 - t) / (1 + t) of their sizes' sum at most.
+            differ = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in bits.columns[1:]), F.lit(0))
+            near = (100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n_x") + F.col("n_y"))
             x = x.where("low_x").withColumn("salt_x", F.pmod(F.xxhash64("id_x"), F.col("salts_x")))
             y = y.withColumn("salt_y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts_y") - 1)))
             # The smaller set's signature must be a low one; of equal sizes either's.
             once = F.expr("n_x < n_y or n_x = n_y and (not low_y or id_x < id_y)")
-            pairs = x.join(y, (F.col("key_x") == F.col("key_y")) & (F.col("salt_x") == F.col("salt_y")) & once & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y"))
+            pairs = x.join(y, (F.col("key_x") == F.col("key_y")) & (F.col("salt_x") == F.col("salt_y")) & once & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y") & near)
             pairs = pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
         pairs = pairs.distinct()
         if tried is not None:

@@ -170,3 +170,31 @@ def test_line_dedup(docs, rows, m, words):
     want = kept_lines(rows, m, words)
     assert Counter((r.row.doc_id, r.row.text or "", r.kept_text, r.n_lines, r.n_removed) for r in got.collect()) == Counter((d, t, *want.get((d, t), ("", 0, 0))) for d, t in rows)
     assert line_dedup.dedup(docs.limit(0)).count() == 0
+
+
+def test_sketches_never_exaggerate():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 30, 600, 5000):
+        base = rng.integers(0, 2**63, n + 40, dtype=np.int64).astype(np.uint64)
+        for k in (0, 1, 17, 40):
+            a, b = np.unique(base[: n + k]), np.unique(base[k:])
+            apart = len(np.setxor1d(a, b))
+            bits = sum(int(x).bit_count() for x in jaccard_join.sketch(a) ^ jaccard_join.sketch(b))
+            assert bits <= apart
+            assert bits > 0 or apart != 1
+
+
+def test_families_keep_every_pair(spark):
+    rng = np.random.default_rng(5)
+    rows = [(s, int(i), 100, bool(rng.random() < 0.5), int(i)) for s in range(30) for i in rng.choice(40, 12, replace=False)]
+    left = spark.createDataFrame(rows, "sig long, id long, n int, low boolean, comp long")
+    got = jaccard_join.families(left).collect()
+    assert len({(r.key, r.id) for r in got}) == len(got)
+    at, low = {}, {}
+    for r in got:
+        at.setdefault(r.id, set()).add(r.key)
+        low[r.key, r.id] = r.low
+    for s, i, _, is_low, _ in rows:
+        for s2, j, *_ in rows:
+            if s == s2:
+                assert any(not is_low or low[k, i] for k in at[i] & at[j])
