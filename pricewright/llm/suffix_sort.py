@@ -76,17 +76,28 @@ class Queue:
 
 
 def common(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a and b, up to cap."""
-    out = np.zeros(len(a), dtype=np.int16)
-    alive, n = np.arange(len(a)), len(text)
-    for k in range(cap):
+    """Length of the common prefix of the suffixes at a and b, up to cap. Compares a word of 8 bytes at a time."""
+    out, n, size = np.zeros(len(a), dtype=np.int16), len(text), text.dtype.itemsize
+    per = 8 // size
+    words = np.ndarray(max(n - per + 1, 0), np.uint64, text, strides=(size,))
+    ones = np.uint64((1 << (8 * size)) - 1)
+    alive, k = np.arange(len(a)), 0
+    while len(alive) and k < cap:
         i, j = a[alive] + k, b[alive] + k
-        ok = (i < n) & (j < n)
-        ok[ok] = text[i[ok]] == text[j[ok]]
-        alive = alive[ok]
-        if not len(alive):
-            break
-        out[alive] = k + 1
+        room = np.maximum(i, j) + per <= n
+        for x, y, at in zip(i[~room].tolist(), j[~room].tolist(), alive[~room].tolist(), strict=True):
+            m = 0
+            while max(x, y) + m < n and text[x + m] == text[y + m]:
+                m += 1
+            out[at] = min(k + m, cap)
+        alive = alive[room]
+        differ = words[i[room]] ^ words[j[room]]
+        same, going = np.zeros(len(alive), dtype=np.int16), np.ones(len(alive), dtype=bool)
+        for m in range(per):
+            going &= (differ >> np.uint64(8 * size * m)) & ones == 0
+            same += going
+        out[alive] = np.minimum(k + same, cap)
+        alive, k = alive[going], k + per
     return out
 
 
@@ -104,7 +115,7 @@ class Minima:
         size = hi - lo + 1
         level = np.frexp(size.astype(np.float64))[1] - 1
         out = np.empty(len(lo), dtype=self.levels[0].dtype)
-        for k in np.unique(level):
+        for k in np.flatnonzero(np.bincount(level)):
             at = level == k
             out[at] = np.minimum(self.levels[k][lo[at]], self.levels[k][hi[at] - (1 << k) + 1])
         return out
@@ -164,21 +175,20 @@ def _named(text: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     size = np.append(np.diff(seeds) + 1, 1)
     rank, depth = np.zeros(len(seeds), dtype=np.int64), 0
     open_ = np.arange(len(seeds))
+    bits = (2 * int(text.max()) + 2).bit_length()
+    step = (63 - len(seeds).bit_length()) // bits  # symbols that fit in one key beside the rank
     while len(open_):
-        # Four symbols further; a block that ends is smaller than one that goes on.
-        cols = []
-        for k in range(depth, depth + 4):
+        # Some symbols further; a block that ends is smaller than one that goes on.
+        key = rank[open_]
+        for k in range(depth, depth + step):
             inside = k < size[open_]
-            c = np.full(len(open_), -1, dtype=np.int64)
-            c[inside] = text[seeds[open_][inside] + k]
+            c = np.zeros(len(open_), dtype=np.int64)
             # At its last place a block's type is S: larger than an inner L of the same symbol.
-            cols.append(c * 2 + (k == size[open_] - 1))
-        keys = [rank[open_], *cols]
-        order = np.lexsort(keys[::-1])
-        new = np.zeros(len(order), dtype=bool)
-        for k in keys:
-            s = k[order]
-            new[1:] |= s[1:] != s[:-1]
+            c[inside] = text[seeds[open_][inside] + k].astype(np.int64) * 2 + 1 + (k == size[open_][inside] - 1)
+            key = key << bits | c
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([[False], key[1:] != key[:-1]])
         group = np.cumsum(new)
         first = np.flatnonzero(np.concatenate([[True], new[1:]]))
         # Ranks count the blocks before the group, so refining one group leaves the others where they are.
@@ -186,7 +196,7 @@ def _named(text: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         began = np.flatnonzero(np.concatenate([[True], base[1:] != base[:-1]]))
         offset = first[group] - np.repeat(began, np.diff(np.append(began, len(order))))
         rank[open_[order]] = base + offset
-        depth += 4
+        depth += step
         count = np.bincount(group)
         many = count[group] > 1
         again = open_[order][many]
@@ -202,7 +212,7 @@ def _doubled(names: np.ndarray, cap: int) -> np.ndarray:
     open_ = np.flatnonzero(np.diff(start)[names] > 1)
     while len(open_) and k < cap:
         after = np.where(open_ + k < n, rank[np.minimum(open_ + k, n - 1)], -1)
-        order = np.lexsort((after, rank[open_]))
+        order = np.argsort(rank[open_] * (n + 1) + after)  # ties get one rank, so their order is free
         base, then = rank[open_][order], after[order]
         fresh = np.concatenate([[True], base[1:] != base[:-1]])
         began = np.flatnonzero(fresh)
@@ -217,7 +227,7 @@ def _doubled(names: np.ndarray, cap: int) -> np.ndarray:
 def suffixes(text: np.ndarray, folder: str, cap: int, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks (positions, common prefix with the suffix before, up to cap) of all suffixes in order. The last symbol of
     `text` must be smaller than all others; symbols are not negative."""
-    n = len(text)
+    text, n = np.asarray(text), len(text)  # a plain view of what may be a memory map
     if n == 1:
         yield np.zeros(1, np.int64), np.zeros(1, np.int16)
         return
