@@ -228,11 +228,12 @@ def _counts(bench: DataFrame, k: str, name: str) -> DataFrame:
     return each.join(n, "_t").groupBy("_b").agg(F.map_from_entries(F.collect_list(F.struct("_t", "_n"))).alias(name))
 
 
-def match_storage(products: DataFrame, benchmarks: DataFrame, product_id: str, product_name: str, bench_id: str, bench_name: str, bench_score: str) -> DataFrame:
-    """One row for each product: its columns, bench_id, bench_name, bench_score, match_score, match_type and
-    capacity_match; match_type is 'none', the others null, where no tier has a row. Ids must be unique; benchmarks
-    without a score are left out."""
-    left = cut(S.features(products.select(F.col(product_id).alias("_p"), F.col(product_name).alias("_name")), "_name").select("_p", "f"))
+def match_storage(products: DataFrame, benchmarks: DataFrame, product_name: str, bench_id: str, bench_name: str, bench_score: str) -> DataFrame:
+    """Each product's columns with bench_id, bench_name, bench_score, match_score, match_type and capacity_match;
+    match_type is 'none', the others null, where no tier has a row. Names that repeat are matched once. Ids of
+    benchmarks must be unique; benchmarks without a score are left out."""
+    left = products.select(F.col(product_name).alias("_p")).where("_p is not null").distinct()
+    left = cut(S.features(left, "_p").select("_p", "f"))
     bench = benchmarks.where(F.col(bench_score).isNotNull()).select(F.col(bench_id).alias("_b"), F.col(bench_name).alias("bench_name"), F.col(bench_score).alias("_value"))
     bench = cut(S.features(bench, "bench_name"))
     bench = bench.join(_counts(bench, "models", "model_n"), "_b", "left").join(_counts(bench, "series", "series_n"), "_b", "left")
@@ -243,5 +244,5 @@ def match_storage(products: DataFrame, benchmarks: DataFrame, product_id: str, p
         found = hit if found is None else found.unionByName(hit)
         left = left.join(hit.select("_p"), "_p", "left_anti")
     found = found.withColumnRenamed("_b", "bench_id")
-    out = products.join(found, F.col(product_id) == F.col("_p"), "left").drop("_p")
+    out = products.join(found, F.col(product_name) == F.col("_p"), "left").drop("_p")
     return out.withColumn("match_type", F.coalesce("match_type", F.lit("none")))

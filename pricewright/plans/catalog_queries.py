@@ -9,6 +9,7 @@ from pricewright.functions import text as T
 from pricewright.operators import matching as M
 from pricewright.operators import quality as Q
 from pricewright.operators import stats as S
+from pricewright.operators.storage_match import match_storage
 from pricewright.sources import catalog
 from pricewright.streaming import pages as P
 
@@ -295,3 +296,16 @@ def validation_summary(spark, sf):
 def cap_per_group(spark, sf):
     d = t(spark, sf, "events").select("event_id", "user_id", "value")
     return Q.cap_per_group(d, ["user_id"], [F.col("value").desc(), "event_id"], 150).select("event_id", "user_id")
+
+
+@query("""with b as (select 'Lexar NM' || (100 + p_size) || ' NVMe SSD 1TB' as bench_name, floor(median(p_retailprice))::double as bench_score from part where p_size % 2 = 0 group by p_size),
+r as (select * from b order by abs(bench_score - (select median(bench_score) from b)), bench_name limit 1)
+select p_partkey, b.bench_name, b.bench_score, 1350 as match_score, 'model_exact' as match_type from part join b on bench_name = 'Lexar NM' || (100 + p_size) || ' NVMe SSD 1TB' where p_size % 2 = 0
+union all select p_partkey, bench_name, bench_score, 530, 'brand_spec_proxy' from part, r where p_size % 2 = 1""")
+def storage_match(spark, sf):
+    """Parts as storage listings: even sizes stand for a model each, odd ones name none and get a proxy of their brand."""
+    part = t(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    model = F.concat(F.lit("Lexar NM"), F.col("p_size") + 100, F.lit(" NVMe SSD 1TB"))
+    bench = part.where("p_size % 2 = 0").groupBy("p_size").agg(F.floor(F.median("p_retailprice")).cast("double").alias("score")).select("p_size", model.alias("name"), "score")
+    titled = part.select("p_partkey", F.when(F.col("p_size") % 2 == 0, model).otherwise("Lexar NVMe SSD 1TB").alias("title"))
+    return match_storage(titled, bench, "title", "p_size", "name", "score").select("p_partkey", "bench_name", "bench_score", "match_score", "match_type")

@@ -75,7 +75,7 @@ def test_cascade(spark):
         "g": (None, None, "none", None),
     }
     products = spark.createDataFrame([(k, v[0]) for k, v in names.items()], "pid string, title string")
-    got = {r.pid: (r.title, r.bench_id, r.match_type, r.capacity_match) for r in match_storage(products, bench, "pid", "title", "id", "name", "score").collect()}
+    got = {r.pid: (r.title, r.bench_id, r.match_type, r.capacity_match) for r in match_storage(products, bench, "title", "id", "name", "score").collect()}
     assert got == names
-    assert match_storage(products.limit(0), bench, "pid", "title", "id", "name", "score").count() == 0
-    assert {r.match_type for r in match_storage(products, bench.limit(0), "pid", "title", "id", "name", "score").collect()} == {"none"}
+    assert match_storage(products.limit(0), bench, "title", "id", "name", "score").count() == 0
+    assert {r.match_type for r in match_storage(products, bench.limit(0), "title", "id", "name", "score").collect()} == {"none"}
