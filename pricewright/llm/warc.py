@@ -53,23 +53,25 @@ def _record(kind: str, block: Column, *pairs: tuple[str, Column]) -> Column:
 
 
 def roles(captures: DataFrame, id_column: str, payload: str, least: int = 0) -> DataFrame:
-    """`captures` with _payload, _bytes, _digest and _response (the id this one revisits, else null). Only the digest's largest id is
-    gathered, combined before the shuffle; a payload that a third of the rows share is a skewed join, which Spark splits."""
+    """`captures` with _payload, _bytes, _digest, _response (the id this one revisits, else null) and _times (rows with this id, null
+    for one). What rows share is found on ids and digests alone, so payloads are shuffled once, and combined before each
+    shuffle; a payload that a third of the rows share is a skewed join, which Spark splits."""
     df = captures.where(F.col(id_column).isNotNull()).withColumn("_payload", F.coalesce(F.col(payload), F.lit("")))
     df = df.withColumns({"_bytes": F.octet_length("_payload").cast("long"), "_digest": digest(F.col("_payload"))})
-    last = df.groupBy(F.col("_digest").alias("_d")).agg(F.max(id_column).alias("_last"), F.count("*").alias("_n")).where("_n > 1")
-    joined = df.join(last, F.col("_digest") == F.col("_d"), "left")
+    thin = df.groupBy(F.col(id_column).alias("_i"), F.col("_digest").alias("_d")).agg(F.count("*").alias("_n"))
+    last = thin.groupBy("_d").agg(F.max("_i").alias("_last"), F.sum("_n").alias("_m")).where("_m > 1").drop("_m")
+    times = thin.groupBy("_i").agg(F.sum("_n").alias("_times")).where("_times > 1")
+    shared = thin.drop("_n").join(last, "_d", "left").join(times, "_i", "left").where("_last is not null or _times is not null")
+    joined = df.join(shared, (F.col(id_column) == F.col("_i")) & (F.col("_digest") == F.col("_d")), "left")
     other = (F.col("_last") != F.col(id_column)) & (F.col("_bytes") >= least)
-    return joined.withColumn("_response", F.when(other, F.col("_last"))).drop("_d", "_last", "_n")
+    return joined.withColumn("_response", F.when(other, F.col("_last"))).drop("_i", "_d", "_last")
 
 
 def write(captures: DataFrame, path: str, id_column: str = "page_id", target: str = "url", payload: str = "html", least: int = 0, records_per_file: int = 3000, compression: str = "gzip") -> None:
     df = roles(captures, id_column, payload, least)
     # Rows that repeat an id get a number; for the others it is 1.
-    twice = df.groupBy(F.col(id_column).alias("_i")).agg(F.count("*").alias("_c")).where("_c > 1")
-    df = df.join(twice, F.col(id_column) == F.col("_i"), "left")
     nth = F.row_number().over(Window.partitionBy(id_column).orderBy("_digest", F.coalesce(F.col(target), F.lit(""))))
-    df = df.where("_c is null").withColumn("_nth", F.lit(1)).unionByName(df.where("_c is not null").withColumn("_nth", nth))
+    df = df.where("_times is null").withColumn("_nth", F.lit(1)).unionByName(df.where("_times is not null").withColumn("_nth", nth))
     key = F.concat_ws(".", F.col(id_column).cast("string"), F.col("_nth").cast("string"))
     uri = lambda what, k=key: F.concat(F.lit(f"<urn:capture:{what}:"), k, F.lit(">"))
     to = F.coalesce(F.regexp_replace(F.col(target), "[\\r\\n]", ""), F.lit(""))
