@@ -30,6 +30,16 @@ def block_on_tokens(left: DataFrame, right: DataFrame, left_id: str, right_id: s
     return a.join(b, F.col("_t") == F.col("_u")).groupBy(left_id, right_id).agg(F.count("*").alias("common"))
 
 
+def common_tokens(few: DataFrame, many: DataFrame, few_id: str, many_id: str, tokens: str = "tokens") -> DataFrame:
+    """few_id, many_id, common: as block_on_tokens, for whole texts whose common words stand nearly everywhere. Rows of
+    `many` meet by their id, never by a word, so no word makes a large task: words that `few` doesn't have go first, and
+    where `few` is broadcast, pairs are counted where the words of their id are."""
+    a = few.select(few_id, F.explode(tokens).alias("_t")).distinct()
+    b = many.select(many_id, F.explode(tokens).alias("_u"))
+    b = b.join(a.select("_t").distinct(), F.col("_t") == F.col("_u"), "left_semi").repartition(many_id).distinct()
+    return b.join(a, F.col("_t") == F.col("_u")).groupBy(few_id, many_id).agg(F.count("*").alias("common"))
+
+
 def known_conflict(a: Column, b: Column) -> Column:
     """Both sides know something and it isn't the same; unknown agrees with anything."""
     return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)

@@ -122,6 +122,14 @@ def token_block_match(spark, sf):
     return M.block_on_tokens(left, right, "item_id", "doc_id").where("common >= 2")
 
 
+@query()
+def token_block_match_whole(spark, sf):
+    """As token_block_match, on every token of the operator (2 characters or more) instead of the long words alone."""
+    words = T.tokens(F.col("text")).alias("tokens")
+    few, many = t(spark, sf, "benchmark").select("item_id", words), t(spark, sf, "documents").select("doc_id", words)
+    return M.common_tokens(few, many, "item_id", "doc_id").where("common >= 2")
+
+
 @query()
 def fuzzy_family_match(spark, sf):
     names = t(spark, sf, "part").select("p_name").distinct().withColumn("tokens", F.split("p_name", " "))
@@ -166,6 +174,13 @@ def token_frequency(spark, sf):
     return t(spark, sf, "documents").select(F.explode(words).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
+@query()
+def token_frequency_whole(spark, sf):
+    """As token_frequency, on every token of the operator; rows that repeat an id are one document."""
+    words = t(spark, sf, "documents").select("doc_id", F.explode(T.tokens(F.col("text"))).alias("token")).distinct()
+    return words.groupBy("token").agg(F.count("*").alias("n"))
+
+
 @query("""with x as (select ln(l_quantity) / ln(2) as a, l_discount as b, l_tax as c, l_extendedprice as y from lineitem)
 select count(y) as n, sum(1)::double as x00, round(sum(a), 2) as x01, round(sum(b), 2) as x02, round(sum(c), 2) as x03, round(sum(a*a), 2) as x11, round(sum(a*b), 2) as x12, round(sum(a*c), 2) as x13,
 round(sum(b*b), 2) as x22, round(sum(b*c), 2) as x23, round(sum(c*c), 2) as x33, round(sum(y), 0) as y0, round(sum(a*y), 0) as y1, round(sum(b*y), 0) as y2, round(sum(c*y), 0) as y3 from x""")
