@@ -1,15 +1,20 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Each document gets integer counts (features()). From them follow a fixed base rule and ratios in which a larger
-value is worse. For each ratio and stratum a ladder of cutoffs, from lenient to strict, is tested on labelled
-documents: the hypothesis "more than alpha / #ratios of the good documents exceed this cutoff" is rejected only
-if the exact binomial tail P(Bin(n, alpha / #ratios) <= k) is at most delta / (#strata * #ratios) (Bonferroni),
-and testing along a ladder stops at the first cutoff that isn't certified (fixed sequence, which needs no further
-correction). So with confidence 1 - delta every stratum loses at most alpha of its good documents. Of the certified
-cutoffs the one that serves best on a disjoint tuning share of the labels is taken; none if none serves.
+value is worse. Each stratum has one ladder of growing unions of cutoffs: the ratios that serve on a tuning share of its
+labels, best first, each from its lenient cutoff to the one that serves best. On the other labels, a union is certified
+if the exact binomial tail P(Bin(n, alpha) <= k) of its k good documents lost is at most delta / #strata (Bonferroni),
+and testing along the ladder stops at the first that isn't (fixed sequence, which needs no further correction, since the
+order comes from other labels). So with confidence 1 - delta every stratum loses at most alpha of its good documents
+that pass the base rule. Of the certified unions the one that serves best on the tuning share is taken.
+
+A stratum whose labels are too few to certify even a union that loses none takes the cutoffs of a ladder over the labels
+of all strata, tested at delta. That guarantee is another one (`guarantee` is 'pooled', not 'stratum'): with confidence
+1 - delta, such strata together lose at most alpha of the good documents of all strata that have labels, in the shares
+these have among the labels; one of them may lose more of its own.
 
 Defined cases: a null text counts as empty (and fails the base rule, which wants 20 words); a null stratum is the
-stratum ''; a stratum without enough labels has no cutoff; repeated rows are judged alike, each on its own; labels
+stratum ''; a stratum without labels has no cutoff; repeated rows are judged alike, each on its own; labels
 with a null id or label are ignored; a document labelled several times counts once for each label. Columns of the
 input are kept by apply(); those that features() adds replace columns of the same name inside its own output only.
 """
@@ -135,46 +140,73 @@ def binomial_tail(k: Column, n: Column, p: Column) -> Column:
 
 
 def thresholds(feats: DataFrame, labels: DataFrame, stratum: str, alpha: float = ALPHA, delta: float = DELTA, ladders: dict[str, list[float]] = LADDERS) -> DataFrame:
-    """(stratum, one nullable cutoff a ratio) from features with doc_id and `stratum`, and labels (doc_id, quality)."""
+    """(stratum, guarantee, one nullable cutoff a ratio) from features with doc_id and `stratum`, and labels (doc_id, quality)."""
     lab = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select("doc_id", (F.col("quality") == 1).alias("_good"))
     tune = F.pmod(F.xxhash64("doc_id"), F.lit(TUNING_SHARE)) == 0
     of = ratios()
-    steps = [
-        F.struct(F.lit(name).alias("rule"), sum((F.when(of[name] >= c, 1).otherwise(0) for c in cuts), F.lit(0)).alias("passed"))
-        for name, cuts in ladders.items()
-    ]
-    # Counts by the number of cutoffs exceeded: a bounded table for each stratum, whatever the number of labels.
+    names = list(ladders)
+    passed = F.array(*[sum((F.when(of[name] >= c, 1).otherwise(0) for c in ladders[name]), F.lit(0)) for name in names])
+    # Counts by the cutoffs exceeded: a bounded table for each stratum, whatever the number of labels.
     counted = (
         feats.join(lab, "doc_id")
         .where(~base_failed())
-        .select(F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), "_good", tune.alias("tune"), F.explode(F.array(*steps)).alias("x"))
-        .groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.passed").alias("passed"))
+        .select(F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), "_good", tune.alias("tune"), passed.alias("passed"))
+        .groupBy("stratum", "passed")
         .agg(
             F.count_if(F.col("_good") & ~F.col("tune")).alias("good"),
             F.count_if(F.col("_good") & F.col("tune")).alias("tune_good"),
             F.count_if(~F.col("_good") & F.col("tune")).alias("tune_bad"),
         )
     )
-    cells = counted.groupBy("stratum", "rule").agg(F.collect_list(F.struct("passed", "good", "tune_good", "tune_bad")).alias("bins"), F.sum("good").alias("n"))
-    # Bonferroni over all strata and ratios; each stratum has one cell a ratio.
-    cells = cells.withColumn("n_strata", F.count("*").over(Window.partitionBy("rule")))
-    ladder = F.create_map(*[x for name, cuts in ladders.items() for x in (F.lit(name), F.array(*[F.lit(float(c)) for c in cuts]))])
-
-    def at_least(field: str) -> Column:
-        return F.aggregate(F.filter("bins", lambda b: b.passed >= F.col("step")), F.lit(0).cast("long"), lambda acc, b: acc + b[field])
-
+    counted = written(counted, "labelled")
+    n_strata = F.count("*").over(Window.partitionBy())
+    own = counted.groupBy("stratum").agg(F.sum("good").alias("n")).select("stratum", "n", n_strata.alias("n_strata"))
+    # The pool of all strata is the null stratum, as one more ladder.
+    cells = counted.unionByName(counted.withColumn("stratum", F.lit(None).cast("string")))
+    gain = F.col("tune_bad") - COST * F.col("tune_good")
+
+    def rejects(c: Column) -> Column:
+        """`passed` counts from the strictest cutoff up, steps from the most lenient one down."""
+        return F.get("passed", c.rule) + c.step > F.get(F.array(*[F.lit(len(ladders[name])) for name in names]), c.rule)
+
+    # The ladder: rules by their best gain, each from its first cutoff to its best one.
+    steps = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i + 1).alias("step")) for r, name in enumerate(names) for i in range(len(ladders[name]))])
+    single = cells.withColumn("s", F.explode(F.filter(steps, rejects))).groupBy("stratum", "s").agg(F.sum(gain).alias("gain")).where("gain > 0")
+    best = single.groupBy("stratum", "s.rule").agg(F.max(F.struct("gain", (-F.col("s.step")).alias("lenient"))).alias("x"))
+    order = best.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct((-F.col("x.gain")).alias("gain"), "rule", (-F.col("x.lenient")).alias("last")))).alias("rules"))
+    chain = F.flatten(F.transform("rules", lambda r: F.transform(F.sequence(F.lit(1), r.last), lambda s: F.struct(r.rule.alias("rule"), s.alias("step")))))
+    order = order.select(F.col("stratum").alias("_of"), chain.alias("chain"))
+
+    # Each label counts at the first step of the ladder that rejects it, so unions are sums over steps.
+    first = F.array_position(F.transform("chain", rejects), F.lit(True))
+    bins = cells.join(order, F.col("stratum").eqNullSafe(F.col("_of"))).withColumn("first", first)
+    bins = bins.groupBy("stratum", "chain").agg(F.collect_list(F.struct("first", "good", gain.alias("gain"))).alias("bins"), F.sum("good").alias("n"))
+
+    def within(field: str) -> Column:
+        return F.aggregate(F.filter("bins", lambda b: (b["first"] > 0) & (b["first"] <= F.col("t"))), F.lit(0).cast("long"), lambda acc, b: acc + b[field])
+
+    level = F.when(F.col("stratum").isNull(), F.lit(delta)).otherwise(F.lit(delta) / F.col("n_strata"))
     tested = (
-        cells.select("*", F.posexplode(ladder[F.col("rule")]).alias("pos", "cutoff"))
-        .withColumn("step", F.col("pos") + 1)
-        .select("stratum", "rule", "step", "cutoff", "n", "n_strata", at_least("good").alias("k"), (at_least("tune_bad") - COST * at_least("tune_good")).alias("gain"))
-        .withColumn("ok", binomial_tail(F.col("k"), F.col("n"), F.lit(alpha / len(ladders))) <= F.lit(delta / len(ladders)) / F.col("n_strata"))
-    )
-    best = (
-        tested.groupBy("stratum", "rule")
-        .agg(F.coalesce(F.min(F.when(~F.col("ok"), F.col("step"))), F.lit(1 << 20)).alias("stop"), F.collect_list(F.struct("gain", (-F.col("step")).alias("lenient"), "cutoff")).alias("all"))
-        .select("stratum", "rule", F.array_max(F.filter("all", lambda x: (-x.lenient < F.col("stop")) & (x.gain > 0))).alias("x"))
+        bins.crossJoin(own.agg(F.count("*").alias("n_strata")))
+        .withColumn("t", F.explode(F.sequence(F.lit(1), F.size("chain"))))
+        .select("stratum", "chain", "t", "n", "n_strata", within("good").alias("k"), within("gain").alias("gain"))
+        .withColumn("ok", binomial_tail(F.col("k"), F.col("n"), F.lit(alpha)) <= level)
     )
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == name, F.col("x.cutoff"))).alias(f"max_{name}") for name in ladders])
+    stop = F.coalesce(F.min(F.when(~F.col("ok"), F.col("t"))), F.lit(1 << 20))
+    taken = tested.groupBy("stratum", "chain").agg(stop.alias("stop"), F.collect_list(F.struct("gain", (-F.col("t")).alias("short"))).alias("all"))
+    taken = taken.withColumn("x", F.array_max(F.filter("all", lambda x: (-x.short < F.col("stop")) & (x.gain > 0)))).where("x is not null")
+    taken = taken.select("stratum", F.slice("chain", F.lit(1), -F.col("x.short")).alias("taken"))
+
+    def cutoff(r: int, name: str) -> Column:
+        last = F.array_max(F.transform(F.filter("taken", lambda c: c.rule == r), lambda c: c.step))
+        return F.get(F.array(*[F.lit(float(c)) for c in ladders[name]]), last - 1).alias(f"max_{name}")
+
+    limits = taken.select("stratum", *[cutoff(r, name) for r, name in enumerate(names)])
+    few = F.pow(F.lit(1.0 - alpha), F.col("n")) > F.lit(delta) / F.col("n_strata")
+    use = own.select("stratum", F.when(~few, F.col("stratum")).alias("_use"), F.when(few, F.lit("pooled")).otherwise(F.lit("stratum")).alias("kind"))
+    chosen = use.join(limits.withColumnRenamed("stratum", "_from"), F.col("_use").eqNullSafe(F.col("_from")), "left")
+    some = F.coalesce(*[f"max_{name}" for name in names]).isNotNull()
+    return chosen.select("stratum", F.when(some, F.col("kind")).alias("guarantee"), *[f"max_{name}" for name in names])
 
 
 def judge(feats: DataFrame, limits: DataFrame, stratum: str, ladders: dict[str, list[float]] = LADDERS) -> DataFrame:
@@ -187,7 +219,7 @@ def judge(feats: DataFrame, limits: DataFrame, stratum: str, ladders: dict[str,
         joined.withColumn("base_failed", base_failed())
         .withColumn("reasons", F.array_compact(F.array(*over)))
         .withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0))
-        .drop("_stratum", *[f"max_{name}" for name in ladders])
+        .drop("_stratum", "guarantee", *[f"max_{name}" for name in ladders])
     )
 
 
