@@ -40,6 +40,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("row.doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op5_line_dedup, and later copies of single lines go whatever their number of words."""
+    lines = line_dedup.dedup(table(spark, sf_dir, "documents"), min_lines=1, min_words=1)
+    return lines.select("row.doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"), "doc_id").drop("starts")
 
@@ -80,6 +86,7 @@ QUERIES = {
         op3_source_mixing,
         op4_fingerprints,
         op5_line_dedup,
+        op5_line_dedup_all,
         op6_license_scan,
         op7_warc,
         op8_packing,
