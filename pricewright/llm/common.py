@@ -30,11 +30,24 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+#: Whether a SQL execution's shuffle files go when it ends; they would otherwise stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """The same rows from a Parquet table in the shared folder: later stages restart from it, not from its lineage."""
+    """The same rows from a Parquet table in the shared folder: later stages restart from it, not from its lineage. The
+    shuffle files of the writing go with it, since nothing reads them again."""
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -60,7 +60,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "response.payload_bytes",
         F.col("response.digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.regexp_extract("response.refers_to", ":(-?[0-9]+)\\.[0-9]+>$", 1).cast("long").alias("refers_to"),
+        F.expr("try_cast(regexp_extract(response.refers_to, ':(-?[0-9]*)[.][^:]*>$', 1) as bigint)").alias("refers_to"),
     )
 
 

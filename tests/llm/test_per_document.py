@@ -161,7 +161,10 @@ def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(i * 10, f"http://h{i}.org/a" if i else None, h, "clash") for i, h in enumerate(html)] + [(None, "http://n", "z", ""), (60, "http://h6.org/a", "other", "")], "page_id long, url string, html string, type string")
     warc.write(pages, f"file://{tmp_path}/w", records_per_file=2)
     got = warc.assemble(warc.read(spark, f"file://{tmp_path}/w")).collect()
-    assert len(got) == 8 and all(r.request and r.metadata and r.response.digest_ok in (True, None) for r in got)
+    # The row with a null id is written as well, without a capture-id.
+    assert len(got) == 9 and all(r.request and r.metadata and r.response.digest_ok in (True, None) for r in got)
+    assert [r.response.payload for r in got if "capture-id" not in dict(r.metadata.fields)] == ["z"]
+    got = [r for r in got if "capture-id" in dict(r.metadata.fields)]
     found = {(int(dict(r.metadata.fields)["capture-id"]), r.response.payload) for r in got if r.response.type == "response"}
     assert found == {(0, html[0]), (20, ""), (50, "same"), (60, "x" * 100000), (60, "other")}
     back = {(int(dict(r.metadata.fields)["capture-id"]), r.response.refers_to.split(":")[-1]) for r in got if r.response.type == "revisit"}
@@ -170,6 +173,50 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.assemble(warc.read(spark, f"file://{tmp_path}/e")).count() == 0
 
 
+def test_warc_of_repeated_ids(spark, tmp_path):
+    """Each revisit's target is a response with its own digest, whatever ids repeat; every row gives a capture."""
+    rows = [(60, "u1", "a"), (60, "u2", "b"), (60, "u3", "c"), (60, "u3", "c"), (10, "u", "b"), (20, "u", "c"), (None, "u", "b"), (None, "v", "n"), (None, "w", "n"), (30, "u", "small"), (31, "u", "small")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for least in (0, 2):
+        warc.write(pages, f"file://{tmp_path}/{least}", least=least)
+        got = warc.assemble(warc.read(spark, f"file://{tmp_path}/{least}")).collect()
+        at = {r.capture: r for r in got if r.response.type == "response"}
+        back = [r for r in got if r.response.type == "revisit"]
+        assert len(got) == len(rows) and len({r.capture for r in got}) == len(rows) - 1 and all(r.request and r.metadata for r in got)
+        assert all(at[r.response.refers_to].response.digest == r.response.digest for r in back)
+        assert Counter(r.target for r in back) == ({"u": 4} if not least else {"u": 1})
+
+
+def test_warc_of_other_archives(spark, tmp_path):
+    import gzip
+
+    def record(head, block):
+        return b"WARC/1.1\r\n" + b"".join(h + b"\r\n" for h in head) + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nA: 1\r\nA: 2\r\n\r\n"
+    records = [
+        record([b"WARC-Type: response", b"WARC-Record-ID: <a>", b"WARC-Concurrent-To: <m1>", b"WARC-Concurrent-To: <none>", b"X-Name: caf\xe9", b"X-Long: one", b"  two"], http + b"\xff\xfe"),
+        record([b"WARC-Type: response", b"WARC-Record-ID: <b>"], http + "é".encode()),
+        record([b"WARC-Type: request", b"WARC-Record-ID: <r>", b"WARC-Concurrent-To: <a>", b"WARC-Concurrent-To: <b>"], b"GET / HTTP/1.1\r\n\r\n"),
+        record([b"WARC-Type: metadata", b"WARC-Record-ID: <m1>"], b"k: v\r\n"),
+        b"WARC/1.1\r\nWARC-Type: metadata\r\nContent-Length: many\r\n\r\n",
+        record([b"WARC-Type: response", b"WARC-Record-ID: <c>"], http + b"last"),
+    ]
+    whole = b"".join(gzip.compress(r) for r in records)
+    (tmp_path / "whole.warc.gz").write_bytes(whole)
+    got = {r.capture: r for r in warc.assemble(warc.read(spark, f"file://{tmp_path}/whole.warc.gz")).collect()}
+    assert set(got) == {"<a>", "<b>", "<c>"}
+    assert got["<a>"].request.record_id == got["<b>"].request.record_id == "<r>" and got["<c>"].request is None
+    assert got["<a>"].metadata.record_id == "<m1>" and got["<b>"].metadata is None
+    assert got["<a>"].response.payload is None and got["<a>"].response.payload_raw == b"\xff\xfe" and got["<b>"].response.payload == "é"
+    heads = [dict(h) for h, _ in warc.records(whole)]
+    assert heads[0]["x-name"] == "caf\xe9" and heads[0]["x-long"] == "one two" and len(heads) == 5
+    # Cut off anywhere, the records before the break are read and nothing is raised.
+    for data in (whole, b"".join(records)):
+        n = [len(list(warc.records(data[:k]))) for k in range(0, len(data) + 1, 7)]
+        assert n == sorted(n) and n[0] == 0 and n[-1] in (4, 5)
+
+
 def test_warc_query(spark):
     import base64
 
