@@ -36,8 +36,8 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = line_dedup.dedup(table(spark, sf_dir, "documents"))
-    return lines.select("row.doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+    lines = line_dedup.dedup(table(spark, sf_dir, "documents"), with_longest=True)
+    return lines.select("row.doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op5_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,8 +114,9 @@ from s left join (select root, min(y) as y from c group by root) m on m.root = s
 """
 
 #: Lines with a word; a place is deleted if its line of 20 words or more, or a pair of lines it is in, stands earlier.
+#: Runs grow line by line as long as they stand twice; the longest of a document is its last.
 ORACLE_5 = rf"""
-with a as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+with recursive a as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
 e as (select doc_id, unnest(l) as x, generate_subscripts(l, 1) as i from a),
 f as (select *, row_number() over (partition by doc_id order by i) as j from e where regexp_matches(x, '{_WORDS}')),
 g as (select *, lead(x) over (partition by doc_id order by j) as y from f),
@@ -127,10 +128,19 @@ h as (
     y is not null and two <> struct_pack(d := doc_id, j := j) as pair from h
 ), m as (select *, single or pair or coalesce(lag(pair) over (partition by doc_id order by j), false) as gone from k),
 n as (select e.*, m.j is not null as word, coalesce(m.gone, false) as gone from e left join m on e.doc_id = m.doc_id and e.i = m.i),
+r as (
+  select 1 as n, doc_id, j, md5(x) as key from (select *, count(*) over (partition by x) as c from f) where c > 1
+  union all
+  select n, doc_id, j, key from (
+    select n, doc_id, j, key, count(*) over (partition by key) as c
+    from (select r.n + 1 as n, r.doc_id, r.j, md5(r.key || md5(f.x)) as key from r join f on f.doc_id = r.doc_id and f.j = r.j + r.n)
+  ) where c > 1
+), longest as (select doc_id, max(n) as longest_run from r group by doc_id),
 o as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as start from n)
-select doc_id, count(*) filter (word)::bigint as n_lines, count(*) filter (gone)::bigint as n_removed, count(*) filter (start)::bigint as n_runs,
+select o.doc_id, count(*) filter (word)::bigint as n_lines, count(*) filter (gone)::bigint as n_removed, count(*) filter (start)::bigint as n_runs,
+  coalesce(any_value(longest_run), 0)::bigint as longest_run,
   sha256(coalesce(string_agg(x, chr(10) order by i) filter (not gone), '')) as kept_sha256
-from o group by doc_id
+from o left join longest on longest.doc_id = o.doc_id group by o.doc_id
 """
 
 ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op5_line_dedup": ORACLE_5}

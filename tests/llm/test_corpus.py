@@ -172,6 +172,46 @@ def test_line_dedup(docs, rows, m, words):
     assert line_dedup.dedup(docs.limit(0)).count() == 0
 
 
+def longest_runs(rows):
+    """By (id, text) and place, the longest run of lines with a word that also stands at another place."""
+    seqs = {(d, t): [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)] for d, t in rows}
+    by = defaultdict(list)
+    for k, s in seqs.items():
+        for j, x in enumerate(s):
+            by[x].append((k, j))
+    out = {}
+    for k, s in seqs.items():
+        for j, x in enumerate(s):
+            best = 0
+            for q, i in by[x]:
+                n = 0
+                while (q, i) != (k, j) and j + n < len(s) and i + n < len(seqs[q]) and s[j + n] == seqs[q][i + n]:
+                    n += 1
+                best = max(best, n)
+            out[k, j] = best
+    return out
+
+
+def test_maximal_line_runs(spark):
+    r = random.Random(9)
+    long = [f"long {i}" for i in range(37)]
+    texts = ["\n".join(r.choice("aabcd") * r.choice((1, 1, 2)) for _ in range(r.randrange(14))) for _ in range(40)]
+    texts += ["\n".join(long), "\n".join(["x", *long, "y"]), "\n".join([*long[5:30], "", "z", *long[:9]]), "a\n" * 33, "only", None, ""]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3]), (3, texts[4]), (None, texts[5])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    best = longest_runs([(d if d is not None else line_dedup.FIRST_ID, t or "") for d, t in rows])
+    hashed = {(line_dedup.FIRST_ID if x.doc_id is None else x.doc_id, x.t): x.text or "" for x in docs.selectExpr("doc_id", "text", "xxhash64(coalesce(text, '')) t").collect()}
+    got = {((x.d, hashed[x.d, x.t]), x.j): x.length for x in line_dedup.runs(docs).collect()}
+    assert got == {(k, j): n for (k, j), n in best.items() if n and best.get((k, j - 1), 0) <= n}
+    assert max(got.values()) == 37
+    top = defaultdict(int)
+    for (k, _), n in best.items():
+        top[k] = max(top[k], n)
+    found = line_dedup.dedup(docs, with_longest=True).collect()
+    assert all(x.longest_run == top[line_dedup.FIRST_ID if x.row.doc_id is None else x.row.doc_id, x.row.text or ""] for x in found) and len(found) == len(rows)
+    assert line_dedup.runs(docs.limit(0)).count() == 0
+
+
 def test_sketches_never_exaggerate():
     rng = np.random.default_rng(3)
     for n in (0, 1, 30, 600, 5000):
