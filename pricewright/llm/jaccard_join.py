@@ -15,17 +15,21 @@ tokens, since only there can they become signatures. What is frequent is kept in
 chance collision only makes a rare token cost more. The number of classes follows the size of the set by powers of
 two; a set that may have partners below its power of two emits the signatures of that level too.
 
-Signatures group sets. Instead of all pairs of a group, each round compares every member with one leader of its group
-and size; links merge components, and members that are in the leader's component already are done. In the first round
-copies of a group meet the same leader; later ones take another leader for each signature. After STARS rounds
-the pairs of a group that are still in different components are compared, none left out, so components are exact;
-groups with much the same members are one by then, and sketches of the sets, which never exaggerate their difference,
-rule out most of the pairs that don't link.
-
-Hashes and nodes have 64 bits. Defined cases: null and empty texts and texts without words have an
+Signatures are shuffled once, sorted, and those of one set only fall out as each task reads its share in order, so a
+signature of any number of sets is never gathered. What is left groups sets. Instead of all pairs of a group, each round
+compares every member with one leader of its group and size; links merge components, and members that are in the
+leader's component already are done. In the first round copies of a group meet the same leader; later ones take another
+leader for each signature. After STARS rounds the pairs of a group that are still in different components are compared,
+none left out, so components are exact; groups with much the same members are one by then.
+
+In every round 512-bit sketches of the sets, which never exaggerate their difference, rule out most of the pairs that
+don't link before anything is read for them; only the sets of the pairs left are made from their texts. New links are
+merged into the components of the rounds before by a graph of those components alone. Tables go after their last reader.
+
+Hashes have 64 bits, nodes 63. Defined cases: null and empty texts and texts without words have an
 empty set and link with nothing, their own or another's; fewer than five words are one shingle; a null id links with
 nothing and its component is null; rows that repeat an id each get the component of
-their own text; an empty table gives no rows.
+their own text (text_hash, xxhash64 of the text, tells them apart); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -192,19 +196,46 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
+LOW = -(1 << 63)
+#: Nodes that a task remembers to leave out the copies it meets again; more are forgotten, and cost a row more.
+SEEN = 1 << 16
+
+
 def node(tokens: np.ndarray) -> int | None:
-    """What equal sets have in common; null for the empty set."""
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True) if len(tokens) else None
+    """What equal sets have in common, 63 bits; null for the empty set."""
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little") >> 1 if len(tokens) else None
+
+
+class Once:
+    """Of sets that come by, those that didn't lately; never the empty one."""
+
+    def __init__(self):
+        self.seen: dict[int, None] = {}
+
+    def __call__(self, sets: list[np.ndarray]) -> list[tuple[int, np.ndarray]]:
+        out = []
+        for s in sets:
+            n = node(s)
+            if n is not None and n not in self.seen:
+                out.append((n, s))
+                self.seen[n] = None
+        while len(self.seen) > SEEN:
+            del self.seen[next(iter(self.seen))]
+        return out
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node."""
+    """doc_id, text_hash, n_shingles, node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _each(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([node(s) for s in sets], pa.int64())], names=["doc_id", "n_shingles", "node"])
+        for batch in batches:
+            at = 0
+            for ids, sets in _each(iter([batch])):
+                told = batch.column(2).slice(at, len(ids))
+                at += len(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), told, pa.array([len(s) for s in sets], pa.int64()), pa.array([node(s) for s in sets], pa.int64())], names=["doc_id", "text_hash", "n_shingles", "node"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long")
 
 
 def counted_tokens(docs: DataFrame, first: np.ndarray | None) -> DataFrame:
@@ -240,24 +271,59 @@ def frequent_bits(docs: DataFrame, first: np.ndarray | None = None) -> np.ndarra
 
 
 def posted(docs: DataFrame, bitmaps: Bitmaps) -> DataFrame:
-    """sig, id (the node), n, low (also a signature towards partners that aren't smaller)."""
+    """sig, tag, n (tokens). The tag is the node, in its sign bit whether the signature is a low one (also towards
+    partners that aren't smaller), so low ones sort first."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        bits, once = shared.value, Once()
         for _, sets in _each(batches):
-            sets = [s for s in sets if len(s)]
-            sigs = [signatures(s, bits) for s in sets]
-            n = [len(s) for s in sigs]
-            flat = np.concatenate(sigs) if sigs else np.zeros(0, U)
-            ids = np.repeat(np.array([node(s) for s in sets], np.int64), n)
-            low = np.concatenate([np.isin(x, signatures(s, bits, smaller(s)), assume_unique=True) for s, x in zip(sets, sigs, strict=True)]) if sigs else np.zeros(0, bool)
-            cols = [flat.view(np.int64), ids, np.repeat(np.array([len(s) for s in sets], np.int32), n), low]
-            rows = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["sig", "id", "n", "low"])
+            new = once(sets)
+            sigs = [signatures(s, bits) for _, s in new]
+            n = [len(x) for x in sigs]
+            flat = np.concatenate([np.zeros(0, U), *sigs])
+            low = np.concatenate([np.zeros(0, bool), *(np.isin(x, signatures(s, bits, smaller(s)), assume_unique=True) for (_, s), x in zip(new, sigs, strict=True))])
+            tags = np.repeat(np.array([i for i, _ in new], np.int64), n) | np.where(low, np.int64(LOW), np.int64(0))
+            rows = pa.RecordBatch.from_arrays([pa.array(c) for c in (flat.view(np.int64), tags, np.repeat(np.array([len(s) for _, s in new], np.int32), n))], names=["sig", "tag", "n"])
             for at in range(0, len(rows), 100_000):
                 yield rows.slice(at, 100_000)
 
-    return docs.mapInArrow(run, "sig long, id long, n int, low boolean")
+    return docs.mapInArrow(run, "sig long, tag long, n int")
+
+
+def grouped(posts: DataFrame) -> DataFrame:
+    """sig, id, n, low of the signatures that two sets have, one of them as a low one; equal rows become one.
+
+    Rows come sorted by signature, low ones first. A row is kept if its group starts with a low one and has another; the
+    first of a group waits for that, so a task holds one batch and one row more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row, whether its group starts with it, and whether that has a low start
+        for batch in batches:
+            sig, tag, n = (c.to_numpy() for c in batch.columns)
+            starts, opens = True, False
+            if held is not None:
+                sig, tag, n = (np.concatenate([[a], b]).astype(b.dtype) for a, b in zip(held[:3], (sig, tag, n), strict=True))
+                starts, opens = held[3:]
+            new = np.ones(len(sig), bool)
+            new[1:] = (sig[1:] != sig[:-1]) | (tag[1:] != tag[:-1])
+            sig, tag, n = sig[new], tag[new], n[new]
+            if not len(sig):
+                continue
+            same = sig[1:] == sig[:-1]
+            start = np.concatenate([[starts], ~same])
+            low = tag < 0
+            first = np.maximum.accumulate(np.where(start, np.arange(len(sig)), 0))
+            open_ = low[first]
+            if not starts:
+                open_[first == 0] = opens
+            keep = open_ & (~start | np.concatenate([same, [False]]))
+            if held is not None and not starts:
+                keep[0] = False  # it went with its batch
+            held = (sig[-1], tag[-1], n[-1], bool(start[-1]), bool(open_[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(tag[keep] & np.int64(~LOW)), pa.array(n[keep]), pa.array(low[keep])], names=["sig", "id", "n", "low"])
+
+    return posts.repartition("sig").sortWithinPartitions("sig", "tag").mapInArrow(run, "sig long, id long, n int, low boolean")
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
@@ -267,14 +333,43 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(U)
 
 
+def sketches(docs: DataFrame) -> DataFrame:
+    """id (the node), size (its tokens), bits0.. (the sketch)."""
+    names = ["id", "size", *(f"bits{i}" for i in range(SKETCH))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = Once()
+        for _, sets in _each(batches):
+            new = once(sets)
+            bits = np.array([sketch(s) for _, s in new], U).reshape(-1, SKETCH).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in new], pa.int64()), pa.array([len(s) for _, s in new], pa.int32()), *(pa.array(np.ascontiguousarray(c)) for c in bits.T)], names=names)
+
+    return docs.mapInArrow(run, "id long, size int, " + ", ".join(f"{n} long" for n in names[2:]))
+
+
 def full_sets(docs: DataFrame) -> DataFrame:
-    """id (the node), tokens, sketch."""
+    """id (the node), tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = Once()
         for _, sets in _each(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in sets], pa.int64()), _lists(sets), _lists([sketch(s) for s in sets])], names=["id", "tokens", "sketch"])
+            new = once(sets)
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in new], pa.int64()), _lists([s for _, s in new])], names=["id", "tokens"])
+
+    return docs.mapInArrow(run, "id long, tokens array<long>")
+
+
+def _apart(x: list[str], y: list[str], size_x: str, size_y: str):
+    """Whether sketches don't rule a link out: sets that link differ in (1 - t) / (1 + t) of their sizes' sum at most."""
+    differ = sum((F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(x, y, strict=True)), F.lit(0))
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (F.col(size_x) + F.col(size_y))
 
-    return docs.mapInArrow(run, "id long, tokens array<long>, sketch array<long>")
+
+def possible(pairs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """The distinct pairs a, b that sketches don't rule out."""
+    x, y = (sketched.select(*[F.col(c).alias(f"{c}_{s}") for c in sketched.columns]) for s in "xy")
+    both = pairs.distinct().join(x, F.col("a") == F.col("id_x")).join(y, F.col("b") == F.col("id_y"))
+    return both.where(_apart([f"bits{i}_x" for i in range(SKETCH)], [f"bits{i}_y" for i in range(SKETCH)], "size_x", "size_y")).select("a", "b")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -308,9 +403,27 @@ def components(links: DataFrame) -> DataFrame:
         done = new.where("old != comp").isEmpty()
         labels = new.select("id", "comp")
         if done:
+            dropped(both)
             return labels
 
 
+def extended(known: DataFrame | None, links: DataFrame) -> DataFrame:
+    """id, comp after `links`, from the components known before: what links join are those, each a node of its own."""
+    if known is None:
+        return components(links)
+    a = known.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
+    b = known.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+    between = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a != b")
+    labels = components(between)
+    to = labels.select(F.col("id").alias("_old"), F.col("comp").alias("_new"))
+    moved = known.join(to, F.col("comp") == F.col("_old"), "left").select("id", F.coalesce("_new", "comp").alias("comp"))
+    fresh = labels.join(known.select(F.col("id").alias("_old")), F.col("id") == F.col("_old"), "left_anti")
+    out = written(moved.unionByName(fresh), "components")
+    dropped(labels)
+    dropped(known)
+    return out
+
+
 def families(left: DataFrame) -> DataFrame:
     """Open groups (sig, id, n, low, comp) as key, salts, id, n, low, comp: every two ids that share a signature share a key.
 
@@ -332,60 +445,78 @@ def _fits(a: str, b: str):
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
 
 
+def _chosen(known: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the documents in `ids` (_rep), broadcast only up to BROADCAST_IDS of them."""
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return known.join(few, F.col("doc_id") == F.col("_rep"), "left_semi")
+
+
+def _star(g: DataFrame, r: int) -> DataFrame:
+    """a, b: each member of a group with the leader of its group and size, where they aren't in one component."""
+    band = F.floor(F.log("n") / F.log(F.lit(1.25)))
+    lead = g.groupBy(F.col("sig").alias("_sig"), band.alias("_band")).agg(F.min_by(F.struct("id", "n", "comp"), F.xxhash64("id", *([F.col("sig"), F.lit(r)] if r else []))).alias("x"))
+    pairs = g.join(lead, (F.col("sig") == F.col("_sig")) & (band == F.col("_band"))).where(F.col("comp") != F.col("x.comp"))
+    return pairs.where(_fits("n", "x.n")).select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"))
+
+
+def _rest(left: DataFrame, sketched: DataFrame) -> DataFrame:
+    """a, b: every pair of an open group that is in two components and that sketches don't rule out."""
+    bits = sketched.drop("size").withColumnRenamed("id", "_id")
+    left = families(left).join(bits, F.col("id") == F.col("_id"))
+    x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "salts", "id", "n", "low", "comp", *bits.columns[1:])]) for s in "xy")
+    near = _apart([f"{c}_x" for c in bits.columns[1:]], [f"{c}_y" for c in bits.columns[1:]], "n_x", "n_y")
+    x = x.where("low_x").withColumn("salt_x", F.pmod(F.xxhash64("id_x"), F.col("salts_x")))
+    y = y.withColumn("salt_y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts_y") - 1)))
+    # The smaller set's signature must be a low one; of equal sizes either's.
+    once = F.expr("n_x < n_y or n_x = n_y and (not low_y or id_x < id_y)")
+    pairs = x.join(y, (F.col("key_x") == F.col("key_y")) & (F.col("salt_x") == F.col("salt_y")) & once & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y") & near)
+    return pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+
+
 def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest id that links lead to."""
+    """doc_id, text_hash, n_shingles, component_id: the smallest id that links lead to, component: what tells components
+    apart where ids repeat (null: linked with nothing and equal to nothing)."""
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keys = written(nodes(slim), "nodes")
     known = slim.where("doc_id is not null")
     first = frequent_bits(known)
-    posts = written(posted(known, (first, frequent_bits(known, first))), "signatures")
-    several = posts.groupBy("sig").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"), F.max("low").alias("_any")).where("_lo < _hi and _any").select(F.col("sig").alias("_sig"))
-    groups = written(posts.join(several, F.col("sig") == F.col("_sig"), "left_semi").distinct(), "groups")
-    dropped(posts)
+    groups = written(grouped(posted(known, (first, frequent_bits(known, first)))), "groups")
     # One text of each node that shares a signature.
     members = groups.select(F.col("id").alias("node")).distinct()
-    one = keys.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("_rep"))
-    chosen = written(one.join(members, "node", "left_semi").select("_rep").distinct(), "members")
-    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_IDS else chosen
-    sets = full_sets(known.join(few, F.col("doc_id") == F.col("_rep"), "left_semi"))
-    sets = written(sets.where("id is not null").dropDuplicates(["id"]), "sets")
-    links = tried = comp = None
-    band = F.floor(F.log("n") / F.log(F.lit(1.25)))
+    one = written(keys.where("doc_id is not null").join(members, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("_rep")), "members")
+    # Rows that repeat an id and a text would give a set several times.
+    twice = not keys.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
+    single = lambda d: d.dropDuplicates(["id"]) if twice else d
+    sketched = written(single(sketches(_chosen(known, one.select("_rep").distinct()))), "sketches")
+    tried: list[DataFrame] = []
+    comp = None
     for r in range(STARS + 1):
-        g = groups
-        if comp is not None:
-            g = g.join(comp.withColumnRenamed("id", "_i"), F.col("id") == F.col("_i"), "left").select("sig", "id", "n", "low", F.coalesce("comp", "id").alias("comp"))
+        if comp is None:
+            g = groups.withColumn("comp", F.col("id"))
         else:
-            g = g.withColumn("comp", F.col("id"))
+            g = groups.join(comp.withColumnRenamed("id", "_i"), F.col("id") == F.col("_i"), "left").select("sig", "id", "n", "low", F.coalesce("comp", "id").alias("comp"))
         if r < STARS:
-            lead = g.groupBy(F.col("sig").alias("_sig"), band.alias("_band")).agg(F.min_by(F.struct("id", "n", "comp"), F.xxhash64("id", *([F.col("sig"), F.lit(r)] if r else []))).alias("x"))
-            pairs = g.join(lead, (F.col("sig") == F.col("_sig")) & (band == F.col("_band"))).where(F.col("comp") != F.col("x.comp"))
-            pairs = pairs.where(_fits("n", "x.n")).select(F.least("id", "x.id").alias("a"), F.greatest("id", "x.id").alias("b"))
+            pairs = possible(_star(g, r), sketched)
         else:
             open_ = g.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("low").alias("_any")).where("_lo < _hi and _any").select(F.col("sig").alias("_sig"))
-            left = families(written(g.join(open_, F.col("sig") == F.col("_sig"), "left_semi"), "open"))
-            bits = sets.select(F.col("id").alias("_id"), *[F.col("sketch")[i].alias(f"bits{i}") for i in range(SKETCH)])
-            left = left.join(bits, F.col("id") == F.col("_id"))
-            x, y = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "salts", "id", "n", "low", "comp", *bits.columns[1:])]) for s in "xy")
-            # Sets that link differ in (1 - t) / (1 + t) of their sizes' sum at most.
-            differ = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in bits.columns[1:]), F.lit(0))
-            near = (100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n_x") + F.col("n_y"))
-            x = x.where("low_x").withColumn("salt_x", F.pmod(F.xxhash64("id_x"), F.col("salts_x")))
-            y = y.withColumn("salt_y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts_y") - 1)))
-            # The smaller set's signature must be a low one; of equal sizes either's.
-            once = F.expr("n_x < n_y or n_x = n_y and (not low_y or id_x < id_y)")
-            pairs = x.join(y, (F.col("key_x") == F.col("key_y")) & (F.col("salt_x") == F.col("salt_y")) & once & (F.col("comp_x") != F.col("comp_y")) & _fits("n_x", "n_y") & near)
-            pairs = pairs.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            left = written(g.join(open_, F.col("sig") == F.col("_sig"), "left_semi"), "open")
+            dropped(groups)
+            pairs = _rest(left, sketched)
+        for before in tried:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = written(linked(pairs, sets), "links")
-        links = found if links is None else links.unionByName(found)
-        comp = components(links)
+        tried.append(pairs)
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ends = written(one.join(ends, "node", "left_semi").select("_rep").distinct(), "ends")
+        sets = written(single(full_sets(_chosen(known, ends))), "sets")
+        links = written(linked(pairs, sets), "links")
+        dropped(sets)
+        comp = extended(comp, links)
+        dropped(links)
+    for t in (left, sketched, one, *tried):
+        dropped(t)
     named_by = comp.withColumnRenamed("id", "node")
     named = keys.where("doc_id is not null and node is not null").select("node", "doc_id").join(named_by, "node", "left")
     named = named.groupBy(F.coalesce("comp", "node").alias("_comp")).agg(F.min("doc_id").alias("_least"))
     of = keys.join(named_by, "node", "left").withColumn("_c", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node"))).join(named, F.col("_c") == F.col("_comp"), "left")
-    return of.select("doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"))
+    return of.select("doc_id", "text_hash", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), F.col("_c").alias("component"))

@@ -19,7 +19,7 @@ def source_domain() -> Column:
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.join(table(spark, sf_dir, "documents"))
+    return jaccard_join.join(table(spark, sf_dir, "documents")).drop("text_hash", "component")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,3 +42,39 @@ def test_run_is_its_stages(spark):
         docs = stage(spark, docs, SF)
     key = lambda d: sorted((r.doc_id, r.piece, r.length, r.ids_crc32) for r in d.collect())
     assert key(pipeline.run(spark, SF)) == key(docs)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, taken string, row string"
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    texts = [(1, a), (5, a + " x"), (5, b), (5, b), (6, b + " y"), (7, ""), (8, None), (7, ""), (None, a), (9, "q")]
+    docs = spark.createDataFrame([(d, t, "en", "s1", len(t or ""), "t", "r") for d, t in texts], SCHEMA)
+    got = sorted(((r.doc_id or 0), r.text or "") for r in pipeline.near_duplicates(spark, docs, SF).collect())
+    assert got == sorted([(1, a), (5, b), (7, ""), (7, ""), (8, ""), (0, a), (9, "q")])
+
+
+def test_mixing_cuts_the_last_document(spark):
+    docs = spark.createDataFrame([(i, " one\t two\n" * 50 + "end", "en", "s1", 503, "t", "r") for i in range(10)], SCHEMA)
+    got = pipeline.mix(spark, docs, SF)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert sum(len(r.text.split()) for r in rows) == int(0.8 * 1010) and all(r.n_chars == len(r.text) and docs.first().text.startswith(r.text) for r in rows)
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    for name, stage in pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0, name
+
+
+def test_stages_of_nulls_and_repeated_rows(spark):
+    text = "\n".join(f"line {i} of a text that has enough words {i * 7}" for i in range(30))
+    rows = [(1, text), (1, text), (None, text + " more"), (2, None), (3, ""), (4, "few words"), (5, text + "\nand one line more")]
+    docs = spark.createDataFrame([(d, t, None, None, None, "t", "r") for d, t in rows], SCHEMA)
+    for name, stage in pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() > 0, name
