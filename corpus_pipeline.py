@@ -1,7 +1,7 @@
 """A training-data pipeline over `documents`: quality rules, line dedup, near duplicates, mixing, packing.
 
 Every stage but the last returns the columns of `documents` and works on all rows that the stage before it kept.
-Rows with a null id pass the near-duplicate stage, since nothing links them; rows that repeat an id are one document.
+Each stage's docstring says what becomes of nulls, empty texts and repeated rows; an empty table passes as one.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
-from pricewright.llm.common import table, written
+from pricewright.llm.common import WORD, dropped, table, written
 from pricewright.llm.queries import MIX_WEIGHTS, source_domain
 
 #: Share of the tokens that reach the mixing stage; each document is taken once at most, so a pack has no copies.
@@ -29,14 +29,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
-    groups = written(jaccard_join.join(docs), "groups")
-    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(others, F.col("doc_id") == F.col("_id"), "left_anti")
+    """Of each group of linked documents the one with the smallest id stays, of texts with one id the one with the least
+    hash, of rows that repeat an id and a text one. Nothing links texts without words and null ids: all of them stay."""
+    groups = written(jaccard_join.join(docs), "groups").where("component is not null")
+    key = F.struct("doc_id", "text_hash")
+    stays = groups.groupBy("component").agg(F.min(key).alias("_stays"), F.count("*").alias("_n")).where("_n > 1")
+    others = groups.join(stays.withColumnRenamed("component", "_c"), F.col("component") == F.col("_c")).where(key != F.col("_stays"))
+    others = others.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    others = written(others, "others")
+    others = F.broadcast(others) if others.count() <= jaccard_join.BROADCAST_IDS else others
+    here = (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
+    kept = docs.join(others, here, "left_anti")
+    twice = written(groups.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).count().where("count > 1").select("_id", "_hash"), "twice")
+    if twice.isEmpty():
+        return kept
+    return kept.join(twice, here, "left_anti").unionByName(kept.join(twice, here, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, source_domain(), MIX_SHARE, 1, MIX_WEIGHTS, columns=tuple(docs.columns)).select("row.*")
+    """Of a document that is taken in part the first words stay, with what stands between them."""
+    d = mixing.mix(docs, source_domain(), MIX_SHARE, 1, MIX_WEIGHTS, columns=tuple(docs.columns)).select("row", "n_tokens", "taken")
+    first = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("taken").cast("int")), "")
+    d = d.withColumn("cut", F.when(F.col("taken") < F.col("n_tokens"), first))
+    changed = {"text": F.coalesce("cut", "row.text"), "n_chars": F.coalesce(F.length("cut").cast("long"), F.col("row.n_chars"))}
+    return d.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            dropped(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
