@@ -3,16 +3,17 @@
 An estimate is a line of 46 cells: usage, product id, product name, total, eight groups of five cells (name, unit price,
 quantity, price, ratio), url, date. A row that fails a check keeps the first reason; reports are one aggregate of it.
 
-Samples don't pair estimates with grid points: a point's neighbourhood is an equi-join on the points within reach of an
-estimate, and where that is too thin, the nearest ones are among the heads of budget buckets, which are bounded.
+Samples don't pair estimates with grid points, see stats.samples(); OFFICE blends all of its estimates, once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .stats import kernel, round_to_one
+from pricewright.sources.folders import stored
+
+from .stats import kernel, round_to_one, samples
 
 #: The parts of a build in order, the usages that estimates and ratios have, in order.
 PARTS = ["CPU", "GPU", "MAINBOARD", "RAM", "SSD", "POWER", "CASE", "COOLER"]
@@ -112,39 +113,17 @@ def budget_points(estimates: DataFrame, step: int = STEP) -> DataFrame:
     return r.select("usage", F.explode(grid).alias("point"))
 
 
-def samples(rows: DataFrame, points: DataFrame, step: int = STEP, radius: int = RADIUS, least: int = LEAST_LOCAL, nearest: int = NEAREST) -> DataFrame:
-    """usage, point, method, distance and the columns of `rows`, for every usage but OFFICE: a point's rows within the
-    radius if there are `least` of them, else the `nearest` by distance, budget and row."""
-    rows = rows.where("usage != 'OFFICE'")
-    grid = points.where("usage != 'OFFICE'").select(F.col("usage").alias("_u"), "point")
-    reach = F.sequence(F.ceil((F.col("budget") - radius) / step).cast("bigint"), F.floor((F.col("budget") + radius) / step).cast("bigint"))
-    some = F.ceil((F.col("budget") - radius) / step) <= F.floor((F.col("budget") + radius) / step)
-    # The point of a degenerate grid is a multiple of the step as well, so every point is reached through its number.
-    close = rows.where(some).withColumn("_n", F.explode(reach)).join(grid.withColumn("_m", (F.col("point") / step).cast("bigint")), (F.col("usage") == F.col("_u")) & (F.col("_n") == F.col("_m")))
-    counts = close.groupBy(F.col("usage").alias("_u"), "point").agg(F.count("*").alias("_c"))
-    full = counts.where(F.col("_c") >= least).select(F.col("_u").alias("_v"), F.col("point").alias("_p"))
-    local = close.join(full, (F.col("usage") == F.col("_v")) & (F.col("point") == F.col("_p"))).select("usage", "point", F.lit("LOCAL").alias("method"), *[c for c in rows.columns if c != "usage"])
-    thin = grid.join(full, (F.col("_u") == F.col("_v")) & (F.col("point") == F.col("_p")), "left_anti")
-    bucket = Window.partitionBy("usage", F.floor(F.col("budget") / step))
-    low = rows.withColumn("_r", F.row_number().over(bucket.orderBy("budget", "row"))).where(F.col("_r") <= nearest)
-    high = rows.withColumn("_r", F.row_number().over(bucket.orderBy(F.col("budget").desc(), "row"))).where(F.col("_r") <= nearest)
-    heads = low.drop("_r").unionByName(high.drop("_r")).dropDuplicates(["row"])
-    by = Window.partitionBy("usage", "point").orderBy(F.abs(F.col("budget") - F.col("point")), "budget", "row")
-    far = heads.join(thin, F.col("usage") == F.col("_u")).withColumn("_r", F.row_number().over(by)).where(F.col("_r") <= nearest)
-    out = local.unionByName(far.select("usage", "point", F.lit("NEAREST").alias("method"), *[c for c in rows.columns if c != "usage"]))
-    return out.withColumn("distance", F.abs(F.col("budget") - F.col("point")))
-
-
 def ratio_table(estimates: DataFrame, step: int = STEP, radius: int = RADIUS, least: int = LEAST_LOCAL, nearest: int = NEAREST) -> DataFrame:
     """usage, budget, eight ratios as decimal(8,6) that add up to 1, for each point of each usage's grid. OFFICE blends
     all of its estimates alike, once; other usages weigh those of a point by their distance."""
-    rows = shares(estimates)
+    rows = stored(shares(estimates))
     points = budget_points(estimates, step)
     mean = lambda r, w: F.sum(F.col(r) * w) / F.sum(w)
     mixed = lambda w: [(MEAN_SHARE * mean(r, w) + (1 - MEAN_SHARE) * F.median(r)).alias(r) for r in RATIOS]
     office = rows.where("usage = 'OFFICE'").groupBy("usage").agg(*mixed(F.lit(1.0))).withColumnRenamed("usage", "_u")
     office = points.join(office, F.col("usage") == F.col("_u")).select("usage", F.col("point").alias("budget"), *RATIOS)
-    others = samples(rows, points, step, radius, least, nearest).groupBy("usage", "point").agg(*mixed(kernel(F.col("distance"), step))).withColumnRenamed("point", "budget")
+    # OFFICE is blended whole, so its rows look for no neighbours.
+    others = samples(rows.where("usage != 'OFFICE'"), points.where("usage != 'OFFICE'"), "usage", "budget", "row", radius, least, nearest).groupBy("usage", "point").agg(*mixed(kernel(F.col("distance"), step))).withColumnRenamed("point", "budget")
     return one_in_all(office.unionByName(others))
 
 

@@ -76,12 +76,15 @@ def cascade(products: DataFrame, product_id: str, tiers: list[tuple[str, DataFra
 
 def band_median(products: DataFrame, scores: DataFrame, product_id: str, equal: str, near: str, radius: float, value: str) -> DataFrame:
     """Median of the values of partners with the same `equal` and `near` within the radius. The band is an equi-join
-    on buckets as wide as the radius (own, below, above), so a range never becomes a nested loop."""
+    on buckets as wide as the radius (own, below, above), so a range never becomes a nested loop. What is joined are the
+    distinct keys of both sides with counts of equal values, so it doesn't grow with the rows that share them."""
     bucket = lambda c: F.floor(c / radius)
-    a = products.select(product_id, F.col(equal).alias("_e"), F.col(near).alias("_n"), F.explode(F.array(*[bucket(F.col(near)) + i for i in (-1, 0, 1)])).alias("_b"))
-    b = scores.select(F.col(equal).alias("_f"), F.col(near).alias("_m"), bucket(F.col(near)).alias("_c"), F.col(value).alias("_v"))
-    on = (F.col("_e") == F.col("_f")) & (F.col("_b") == F.col("_c")) & (F.abs(F.col("_n") - F.col("_m")) <= radius)
-    return a.join(b, on).groupBy(product_id).agg(F.median("_v").alias("band_median"), F.count("*").alias("pool"))
+    keys = products.select(F.col(equal).alias("_e"), F.col(near).alias("_n")).distinct()
+    a = keys.select("_e", "_n", F.explode(F.array(*[bucket(F.col("_n")) + i for i in (-1, 0, 1)])).alias("_b"))
+    b = scores.groupBy(F.col(equal).alias("_f"), F.col(near).alias("_m"), F.col(value).alias("_v")).agg(F.count("*").alias("_k"))
+    on = (F.col("_e") == F.col("_f")) & (F.col("_b") == bucket(F.col("_m"))) & (F.abs(F.col("_n") - F.col("_m")) <= radius)
+    of = a.join(b, on).groupBy("_e", "_n").agg(F.percentile("_v", F.lit(0.5), F.col("_k")).alias("band_median"), F.sum("_k").alias("pool"))
+    return products.select(product_id, equal, near).join(of, (F.col(equal) == F.col("_e")) & (F.col(near) == F.col("_n"))).select(product_id, "band_median", "pool")
 
 
 def without_conflicts(df: DataFrame, key: str, label: str) -> DataFrame:

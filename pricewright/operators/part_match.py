@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewright.functions import memory, text
+from pricewright.sources.folders import stored
 
 from .matching import cascade, known_conflict
 from .quality import score_value
@@ -39,7 +40,7 @@ def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_i
     benchmark's score, then its name. Many benchmarks of one model are few rows; a model with many products is no group."""
     b = chip_features(benchmarks.select(F.col(bench_name).alias("bench_name"), score_value(F.col(bench_score)).alias("bench_score")).where("bench_score is not null"), part, "bench_name")
     b = b.select(F.col("f.key").alias("_key"), F.col("f").alias("g"), "bench_name", "bench_score").where("_key is not null")
-    d = chip_features(products, part, name)
+    d, b = stored(chip_features(products, part, name).select(product_id, "f").where("f.key is not null")), stored(b)
     vram = F.when(F.col("f.vram").isNotNull() & F.col("g.vram").isNotNull(), BOTH_VRAM).when(F.col("f.vram").isNotNull() | F.col("g.vram").isNotNull(), ONE_VRAM).otherwise(0)
     agrees = ~known_conflict(F.col("f.brands"), F.col("g.brands")) & (F.col("f.mobile") == F.col("g.mobile")) & F.coalesce(F.col("f.vram") == F.col("g.vram"), F.lit(True))
     met = d.join(b, (F.col("f.key") == F.col("_key")) & agrees).withColumn("match_score", F.lit(CHIP_MATCH) + vram + F.size(F.array_intersect("f.tokens", "g.tokens")))
@@ -121,8 +122,9 @@ def estimates(products: DataFrame, fit: tuple[list[float], float, float] | None,
 def match_memory(products: DataFrame, benchmarks: DataFrame, product_id: str, name: str, bench_name: str, bench_score: str, **told: str) -> DataFrame:
     """`products` with bench_name, bench_score, match_score, candidates and tier: ram_direct, ram_spec_proxy,
     ram_spec_estimate or null. `told` names the products' columns memory_type, memory_clock, capacity, module_count."""
-    b = memory_benchmarks(benchmarks, bench_name, bench_score)
+    b = stored(memory_benchmarks(benchmarks, bench_name, bench_score))
     d = products.withColumn("f", memory.module_info(F.col(name), **{k: F.col(v) for k, v in told.items()}))
+    d = stored(d)
     tiers = [("ram_direct", direct_matches(d, b, product_id)), ("ram_spec_proxy", spec_matches(d, b, product_id)), ("ram_spec_estimate", estimates(d, estimator(b), product_id))]
     return cascade(d, product_id, tiers).drop("f")
 

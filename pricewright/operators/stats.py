@@ -15,12 +15,30 @@ def budget_grid(df: DataFrame, usage: str, budget: str, step: int) -> DataFrame:
 
 
 def samples(df: DataFrame, grid: DataFrame, usage: str, budget: str, row_id: str, radius: int, least: int, nearest: int) -> DataFrame:
-    """For each grid point the rows within the radius if there are `least` of them, else the nearest ones."""
-    g = grid.withColumnRenamed(usage, "_u")
-    near = df.join(g, F.col(usage) == F.col("_u")).drop("_u").withColumn("distance", F.abs(F.col(budget) - F.col("point")))
-    w = Window.partitionBy(usage, "point")
-    near = near.withColumn("_local", F.sum((F.col("distance") <= radius).cast("int")).over(w)).withColumn("_n", F.row_number().over(w.orderBy("distance", budget, row_id)))
-    return near.where(F.when(F.col("_local") >= least, F.col("distance") <= radius).otherwise(F.col("_n") <= nearest)).drop("_local", "_n")
+    """For each grid point the rows within the radius if there are `least` of them, else the `nearest` by distance, budget
+    and id. With `distance`.
+
+    Budgets are dealt to buckets as wide as the radius, so a point's rows are an equi-join on three of them. A point
+    with too few rows has fewer than `least` in its own bucket, and of any other bucket only the end towards it matters: the
+    `nearest` lowest and highest rows of each bucket are all it can need, however many rows there are."""
+    if least > nearest:
+        raise ValueError("least must not be over nearest")
+    bucket = lambda c: F.floor(c / radius)
+    g = grid.select(F.col(usage).alias("_u"), F.col("point"), bucket(F.col("point")).alias("_pb"))
+    reach = F.explode(F.array(*[bucket(F.col(budget)) + i for i in (-1, 0, 1)]))
+    distance = F.abs(F.col(budget) - F.col("point"))
+    close = df.withColumn("_b", reach).join(g, (F.col(usage) == F.col("_u")) & (F.col("_b") == F.col("_pb"))).withColumn("distance", distance).where(F.col("distance") <= radius)
+    full = close.groupBy("_u", "point").agg(F.count("*").alias("_c")).where(F.col("_c") >= least).select(F.col("_u").alias("_v"), F.col("point").alias("_p"))
+    is_full = (F.col("_u") == F.col("_v")) & (F.col("point") == F.col("_p"))
+    columns = [*df.columns, "point", "distance"]
+    local = close.join(full, is_full, "left_semi").select(*columns)
+    thin = g.join(full, is_full, "left_anti").drop("_pb")
+    own = Window.partitionBy(usage, bucket(F.col(budget)))
+    ends = [df.withColumn("_n", F.row_number().over(own.orderBy(o, row_id))).where(F.col("_n") <= nearest).drop("_n") for o in (F.col(budget).asc(), F.col(budget).desc())]
+    heads = ends[0].unionByName(ends[1]).dropDuplicates([usage, row_id])
+    by = Window.partitionBy("_u", "point").orderBy("distance", budget, row_id)
+    far = heads.join(thin, F.col(usage) == F.col("_u")).withColumn("distance", distance).withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= nearest)
+    return local.unionByName(far.select(*columns))
 
 
 def blend(value: Column, weight: Column, share: float = 0.6) -> Column:

@@ -8,7 +8,6 @@ candidates with the best score the one nearest their median value is taken, so t
 from __future__ import annotations
 
 import difflib
-import tempfile
 from functools import lru_cache
 
 import pandas as pd
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 from pricewright.functions import storage as S
 from pricewright.functions.text import numeric_backbone
 from pricewright.operators.matching import block_on_tokens, median_representative
+from pricewright.sources.folders import shared_folder
 
 #: Thresholds of the rules; spellings that are one family.
 FARTHEST, FAMILY_SIMILARITY, FAMILY_FARTHEST, POOL = 4.0, 0.80, 2.0, 15
@@ -157,7 +157,7 @@ def cut(df: DataFrame) -> DataFrame:
     from the expressions behind them."""
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
