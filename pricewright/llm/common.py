@@ -34,20 +34,28 @@ def new_path(spark: SparkSession, tag: str) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+#: Rows that go to and from Python at once.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, tag: str, batch: int | None = None) -> DataFrame:
     """The same rows from a Parquet table in the shared folder: later stages restart from it, not from its lineage. The
-    shuffle files of the writing go with it, since nothing reads them again."""
+    shuffle files of the writing go with it, since nothing reads them again. `batch`: rows at most that go to Python at
+    once, where rows are large."""
     spark = df.sparkSession
     path = new_path(spark, tag)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    own = {CLEANUP: "true", **({BATCH: str(batch)} if batch else {})}
+    before = {k: spark.conf.get(k, None) for k in own}
     try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -53,6 +53,8 @@ TASK_PAIRS = 1 << 20
 SKETCH = 8
 #: Ids of documents that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Texts and pairs of sets that go to Python at once.
+TEXT_ROWS, LINKED_ROWS = 2000, 256
 U = np.uint64
 CUT = U(int(FIRST * 2**64))
 LEAST_LEVEL, CLASS_SHIFT = 4, 4
@@ -182,6 +184,17 @@ def signatures(tokens: np.ndarray, bitmaps: Bitmaps, want: int | None = None) ->
     return np.unique(np.concatenate([rare[:singles], *combos]))
 
 
+def low_signatures(tokens: np.ndarray, bitmaps: Bitmaps) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of a set, and which of them are low. Most sets have rare tokens enough in the first share."""
+    want = wanted(tokens)
+    first = tokens[: np.searchsorted(tokens, CUT)]
+    rare = first[~_often(first, bitmaps[0])]
+    if len(rare) >= want:
+        return rare[:want], np.arange(want) < smaller(tokens)
+    every = signatures(tokens, bitmaps)
+    return every, np.isin(every, signatures(tokens, bitmaps, smaller(tokens)), assume_unique=True)
+
+
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Ids and sets, some rows at a time."""
     for batch in batches:
@@ -279,10 +292,10 @@ def posted(docs: DataFrame, bitmaps: Bitmaps) -> DataFrame:
         bits, once = shared.value, Once()
         for _, sets in _each(batches):
             new = once(sets)
-            sigs = [signatures(s, bits) for _, s in new]
-            n = [len(x) for x in sigs]
-            flat = np.concatenate([np.zeros(0, U), *sigs])
-            low = np.concatenate([np.zeros(0, bool), *(np.isin(x, signatures(s, bits, smaller(s)), assume_unique=True) for (_, s), x in zip(new, sigs, strict=True))])
+            sigs = [low_signatures(s, bits) for _, s in new]
+            n = [len(x) for x, _ in sigs]
+            flat = np.concatenate([np.zeros(0, U), *(x for x, _ in sigs)])
+            low = np.concatenate([np.zeros(0, bool), *(x for _, x in sigs)])
             tags = np.repeat(np.array([i for i, _ in new], np.int64), n) | np.where(low, np.int64(LOW), np.int64(0))
             rows = pa.RecordBatch.from_arrays([pa.array(c) for c in (flat.view(np.int64), tags, np.repeat(np.array([len(s) for _, s in new], np.int32), n))], names=["sig", "tag", "n"])
             for at in range(0, len(rows), 100_000):
@@ -477,17 +490,17 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     """doc_id, text_hash, n_shingles, component_id: the smallest id that links lead to, component: what tells components
     apart where ids repeat (null: linked with nothing and equal to nothing)."""
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    keys = written(nodes(slim), "nodes")
+    keys = written(nodes(slim), "nodes", batch=TEXT_ROWS)
     known = slim.where("doc_id is not null")
     first = frequent_bits(known)
-    groups = written(grouped(posted(known, (first, frequent_bits(known, first)))), "groups")
+    groups = written(grouped(posted(known, (first, frequent_bits(known, first)))), "groups", batch=TEXT_ROWS)
     # One text of each node that shares a signature.
     members = groups.select(F.col("id").alias("node")).distinct()
     one = written(keys.where("doc_id is not null").join(members, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("_rep")), "members")
     # Rows that repeat an id and a text would give a set several times.
     twice = not keys.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
     single = lambda d: d.dropDuplicates(["id"]) if twice else d
-    sketched = written(single(sketches(_chosen(known, one.select("_rep").distinct()))), "sketches")
+    sketched = written(single(sketches(_chosen(known, one.select("_rep").distinct()))), "sketches", batch=TEXT_ROWS)
     tried: list[DataFrame] = []
     comp = None
     for r in range(STARS + 1):
@@ -508,8 +521,8 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
         tried.append(pairs)
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         ends = written(one.join(ends, "node", "left_semi").select("_rep").distinct(), "ends")
-        sets = written(single(full_sets(_chosen(known, ends))), "sets")
-        links = written(linked(pairs, sets), "links")
+        sets = written(single(full_sets(_chosen(known, ends))), "sets", batch=TEXT_ROWS)
+        links = written(linked(pairs, sets), "links", batch=LINKED_ROWS)
         dropped(sets)
         comp = extended(comp, links)
         dropped(links)
