@@ -15,7 +15,8 @@ these have among the labels; one of them may lose more of its own.
 
 Defined cases: a null text counts as empty (and fails the base rule, which wants 20 words); a null stratum is the
 stratum ''; a stratum without labels has no cutoff; repeated rows are judged alike, each on its own; labels
-with a null id or label are ignored; a document labelled several times counts once for each label. Columns of the
+with a null id or label are ignored; a document labelled several times counts once, as good if all its labels say so, and
+rows that repeat a document count once. Columns of the
 input are kept by apply(); those that features() adds replace columns of the same name inside its own output only.
 """
 
@@ -33,6 +34,8 @@ SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 ALPHA, DELTA, TUNING_SHARE = 0.02, 0.05, 4
+#: Strata whose cutoffs are broadcast at most (a row of some 100 bytes each); more are joined by shuffle.
+BROADCAST_STRATA = 50_000
 #: What a good document lost weighs against a bad one caught, when a certified cutoff is chosen.
 COST = 20
 #: Cutoffs of each ratio, from lenient to strict; a document at or over the cutoff is rejected.
@@ -141,7 +144,8 @@ def binomial_tail(k: Column, n: Column, p: Column) -> Column:
 
 def thresholds(feats: DataFrame, labels: DataFrame, stratum: str, alpha: float = ALPHA, delta: float = DELTA, ladders: dict[str, list[float]] = LADDERS) -> DataFrame:
     """(stratum, guarantee, one nullable cutoff a ratio) from features with doc_id and `stratum`, and labels (doc_id, quality)."""
-    lab = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select("doc_id", (F.col("quality") == 1).alias("_good"))
+    # One trial for each document, or the binomial would count some twice.
+    lab = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min("quality") == 1).alias("_good"))
     tune = F.pmod(F.xxhash64("doc_id"), F.lit(TUNING_SHARE)) == 0
     of = ratios()
     names = list(ladders)
@@ -150,7 +154,8 @@ def thresholds(feats: DataFrame, labels: DataFrame, stratum: str, alpha: float =
     counted = (
         feats.join(lab, "doc_id")
         .where(~base_failed())
-        .select(F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), "_good", tune.alias("tune"), passed.alias("passed"))
+        .select("doc_id", F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), "_good", tune.alias("tune"), passed.alias("passed"))
+        .distinct()
         .groupBy("stratum", "passed")
         .agg(
             F.count_if(F.col("_good") & ~F.col("tune")).alias("good"),
@@ -213,7 +218,9 @@ def judge(feats: DataFrame, limits: DataFrame, stratum: str, ladders: dict[str,
     """`feats` with base_failed, kept and reasons (array of the ratios at or over their cutoff)."""
     of = ratios()
     over = [F.when(of[name] >= F.col(f"max_{name}"), F.lit(name)) for name in ladders]
-    key = limits.withColumnRenamed("stratum", "_stratum")
+    key = written(limits.withColumnRenamed("stratum", "_stratum"), "limits")
+    # A row for each stratum: by shuffle every document of a stratum would meet in one task.
+    key = F.broadcast(key) if key.count() <= BROADCAST_STRATA else key
     joined = feats.join(key, F.coalesce(F.col(stratum), F.lit("")) == F.col("_stratum"), "left")
     return (
         joined.withColumn("base_failed", base_failed())
