@@ -9,6 +9,11 @@ goes with one copy of each merged segment to shards by anchor; a shard is sorted
 (suffix_sort), and a window whose common prefix with a neighbour in suffix order reaches `length` is repeated.
 Windows are judged on the input, and never cross documents.
 
+A shard closes between anchors, so one anchor's segments are sorted together. An anchor whose differing segments have
+over HOT bytes (a passage in very many documents, each with its own surroundings) is not sorted: its windows are told apart by
+64-bit hashes and counted by an aggregate, so no task holds them together. A task's memory is bounded by SHARD + HOT bytes and the
+arrays over them.
+
 Defined cases: a null text counts as empty; texts shorter than `length` bytes lose nothing; rows that repeat an id and
 a text are places of their own, so a repeated row of `length` bytes or more loses all; ids may be null; an empty
 table gives no rows; long texts are cut into overlapping slices of 1 MB while anchors are searched. Anchors, equal
@@ -30,7 +35,7 @@ from .common import dropped, text_or_empty, written
 from .suffix_sort import suffixes
 
 LENGTH, K = 200, 48
-SLICE, SHARD = 1 << 20, 4 << 20
+SLICE, SHARD, HOT = 1 << 20, 4 << 20, 16 << 20
 #: What is broadcast at most; larger tables are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
 U = np.uint64
@@ -153,10 +158,11 @@ def repeated_windows(segments: list[bytes], length: int = LENGTH) -> np.ndarray:
             if len(hit):
                 both = np.concatenate([pos[hit], np.where(hit > 0, pos[np.maximum(hit - 1, 0)], before)])
                 # A common prefix that runs over a separator is no window.
-                found.append(np.unique(both[both <= room[np.minimum(np.searchsorted(room + length, both), len(room) - 1)]]))
+                found.append(both[both <= room[np.minimum(np.searchsorted(room + length, both), len(room) - 1)]])
             before = int(pos[-1])
         del text
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    every = np.sort(np.concatenate([np.zeros(0, np.int64), *found]))
+    return every[np.concatenate([[True], every[1:] != every[:-1]])[: len(every)]]
 
 
 def _sorted_out(rows: DataFrame, length: int) -> DataFrame:
@@ -193,6 +199,24 @@ def _sorted_out(rows: DataFrame, length: int) -> DataFrame:
     return rows.repartition(parts, "h").sortWithinPartitions("h", "u", "lo").mapInArrow(run, "u long, s long, e long")
 
 
+def _counted_out(rows: DataFrame, length: int) -> DataFrame:
+    """As _sorted_out, by counting the windows' hashes; for anchors with more segments than a task may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for u, lo, alone, raw in zip(*(batch.column(n).to_pylist() for n in ("u", "lo", "alone", "bytes")), strict=True):
+                buf = np.frombuffer(raw, np.uint8)
+                p, q = _powers(SLICE * 2)
+                sums = np.concatenate([[U(0)], np.cumsum(BYTE[buf] * p[: len(buf)], dtype=U)])
+                w = _mix((sums[length:] - sums[:-length]) * q[: len(buf) - length + 1])
+                n = len(w)
+                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(np.full(n, u, np.int64)), pa.array(lo + np.arange(n)), pa.array(np.full(n, alone))], names=["w", "u", "s", "alone"])
+
+    windows = written(rows.select("u", "lo", "alone", "bytes").mapInArrow(run, "w long, u long, s long, alone boolean"), "windows")
+    twice = written(windows.groupBy(F.col("w").alias("_w")).count().where("count > 1").select("_w"), "twice")
+    return windows.where("alone").join(twice, F.col("w") == F.col("_w"), "left_semi").select("u", "s", (F.col("s") + length).alias("e"))
+
+
 def _merged(covers: DataFrame) -> DataFrame:
     """_u, runs (array of struct s, e: maximal, in order), from covers u, s, e."""
 
@@ -229,13 +253,18 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", length: int = LENGTH) ->
     keyed = _keyed(docs, id_column)
     every = written(_segments(keyed, length), "segments")
     low = F.col("h").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")  # 31 bits make smaller rows; chance company does no harm
-    often = every.groupBy(low.alias("_h")).count().where("count > 1").select("_h")
+    # Tables that are joined to are written, so that a join reads shuffles on both sides and can split a hot anchor.
+    often = written(every.groupBy(low.alias("_h")).count().where("count > 1").select("_h"), "often")
     active = written(every.join(often, low == F.col("_h"), "left_semi"), "active")
     dropped(every)
+    dropped(often)
     classes = written(active.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("u", "lo", "hi")).alias("rep")), "classes")
-    mixed = classes.groupBy(F.col("h").alias("_h")).count().where("count > 1").select("_h")
-    wanted = classes.join(mixed, F.col("h") == F.col("_h"), "left_semi").select("h", "rep.u", "rep.lo", "rep.hi", (F.col("n") == 1).alias("alone"))
-    parts = _sorted_out(_fetched(keyed, wanted, length), length)
+    bytes_ = F.sum(F.col("rep.hi") - F.col("rep.lo") + length)
+    mixed = written(classes.groupBy(F.col("h").alias("_h")).agg(F.count("*").alias("n"), (bytes_ > HOT).alias("hot")).where("n > 1").select("_h", "hot"), "mixed")
+    wanted = classes.join(mixed, F.col("h") == F.col("_h")).select("h", "rep.u", "rep.lo", "rep.hi", (F.col("n") == 1).alias("alone"), "hot")
+    parts = _sorted_out(_fetched(keyed, wanted.where("not hot"), length), length)
+    if not mixed.where("hot").isEmpty():
+        parts = parts.unionByName(_counted_out(_fetched(keyed, wanted.where("hot"), length), length))
     equal = classes.where("n > 1").select(F.col("h").alias("_h"), F.col("c").alias("_c"))
     whole = active.join(equal, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")), "left_semi").select("u", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
     return written(_merged(parts.unionByName(whole)), "runs")

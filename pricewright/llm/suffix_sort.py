@@ -201,7 +201,9 @@ def _named(text: np.ndarray, seeds: np.ndarray) -> np.ndarray:
         many = count[group] > 1
         again = open_[order][many]
         open_ = np.sort(again[size[again] > depth])
-    return np.unique(rank, return_inverse=True)[1]
+    taken = np.zeros(len(seeds), dtype=np.int64)
+    taken[rank] = 1
+    return np.cumsum(taken)[rank] - 1
 
 
 def _doubled(names: np.ndarray, cap: int) -> np.ndarray:
@@ -241,7 +243,7 @@ def suffixes(text: np.ndarray, folder: str, cap: int, depth: int = 0) -> Iterato
         order = np.argsort(names, kind="stable")
     sorted_seeds = seeds[order]
     seed_lcp = np.concatenate([[0], common(text, sorted_seeds[:-1], sorted_seeds[1:], cap)]).astype(np.int16)
-    symbols = np.unique(text)
+    symbols = np.flatnonzero(np.bincount(text))
     at = np.searchsorted(text[sorted_seeds], symbols)
     ends = np.append(at[1:], len(sorted_seeds))
     larger = {int(c): Queue(f"{folder}/{depth}-l-{int(c)}") for c in symbols}

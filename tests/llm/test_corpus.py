@@ -97,6 +97,8 @@ def test_signatures_meet_wherever_sets_link():
         a, b = sorted((a, b), key=len)
         low, every = jaccard_join.signatures(a, (bits, bits), jaccard_join.smaller(a)), jaccard_join.signatures(b, (bits, bits))
         assert len(np.intersect1d(low, every)) and set(low) <= set(jaccard_join.signatures(a, (bits, bits)))
+        sigs, is_low = jaccard_join.low_signatures(a, (bits, bits))
+        assert set(sigs) == set(jaccard_join.signatures(a, (bits, bits))) and set(sigs[is_low]) == set(low) and len(set(sigs)) == len(sigs)
 
 
 def removed(rows, length):
@@ -129,6 +131,23 @@ def test_suffix_dedup_of_slices_and_none(docs, spark, monkeypatch):
     assert suffix_dedup.dedup(docs.limit(0)).count() == 0
 
 
+def test_suffix_dedup_of_hot_anchors(spark, monkeypatch):
+    """A passage in many documents, each with its own surroundings; what a task may hold is lowered below its segments."""
+    r = random.Random(21)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage, other = word(700), word(260)
+    rows = [(i, word(r.randrange(150, 400)) + passage + word(r.randrange(150, 400)) + (other if i % 3 == 0 else "")) for i in range(60)]
+    rows += [(100 + i, f"{i % 2}" + passage[i : i + 300] + word(50)) for i in range(20)] + [(7, rows[7][1]), (200, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counted = []
+    monkeypatch.setattr(suffix_dedup, "_counted_out", lambda d, n, f=suffix_dedup._counted_out: counted.append(1) or f(d, n))
+    for hot in (suffix_dedup.HOT, 6000, 0):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        got = suffix_dedup.dedup(docs, with_text=False)
+        assert Counter(map(tuple, got.collect())) == removed([(d, t or "") for d, t in rows], 200)
+    assert len(counted) == 2
+
+
 @pytest.mark.parametrize("block,queues", [(1 << 16, 1024), (4, 1024), (4, 2)])
 def test_suffix_sort(monkeypatch, block, queues):
     monkeypatch.setattr(suffix_sort, "BLOCK", block)
