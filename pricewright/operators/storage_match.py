@@ -161,9 +161,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _paired(ids: DataFrame, products: DataFrame, bench: DataFrame) -> DataFrame:
+def _paired(ids: DataFrame, products: DataFrame, bench: DataFrame, guard: Column, similar: Column | None = None) -> DataFrame:
+    """Candidates that pass the guard, which is a matter of columns; where `similar`, with the similarity of their codes, which
+    is worked out in Python once for each two sets of codes that occur."""
     d = ids.join(products.select("_p", F.col("f").alias("p")), "_p").join(bench, "_b")
-    return cut(d.withColumns({"relation": relation(), "capacity": capacity(), "pair": model_pairs(F.col("p.models"), F.col("b.models"))}))
+    d = cut(d.withColumns({"relation": relation(), "capacity": capacity()}).where(guard))
+    if similar is None:
+        return d
+    codes = d.where(similar).select(F.col("p.models").alias("_x"), F.col("b.models").alias("_y")).distinct()
+    codes = cut(codes.withColumn("pair", model_pairs(F.col("_x"), F.col("_y"))))
+    return cut(d.join(codes, (F.col("p.models") == F.col("_x")) & (F.col("b.models") == F.col("_y")), "left").drop("_x", "_y"))
 
 
 def _taken(scored: DataFrame, top: Column) -> DataFrame:
@@ -177,7 +184,7 @@ def _by_identity(products: DataFrame, bench: DataFrame) -> DataFrame:
         tagged = [F.transform(c, lambda x, t=t: F.concat(F.lit(t), x)) for t, c in (("m:", F.col("f.models")), ("n:", numbers), ("s:", F.col("f.series")))]
         return d.select(k, F.concat(*tagged).alias("tokens"))
 
-    d = _paired(block_on_tokens(keys(products, "_p"), keys(bench.withColumn("f", F.col("b")), "_b"), "_p", "_b").select("_p", "_b"), products, bench)
+    d = _paired(block_on_tokens(keys(products, "_p"), keys(bench.withColumn("f", F.col("b")), "_b"), "_p", "_b").select("_p", "_b"), products, bench, (F.col("relation") != "conflict") & _sides_agree(), _n(_both("models")) == 0)
     d = d.withColumn("identity", identity()).where("identity is not null")
     kind, near = F.col("capacity.kind"), F.col("capacity.distance")
     loose = (F.col("identity.kind") == "model_exact") & (kind != "too_far")
@@ -187,14 +194,15 @@ def _by_identity(products: DataFrame, bench: DataFrame) -> DataFrame:
     return _taken(d, F.struct("match_score", kind == "exact", F.col("identity.kind") == "model_exact"))
 
 
-def _brand_pairs(products: DataFrame, bench: DataFrame, names: str) -> DataFrame:
+def _brand_pairs(products: DataFrame, bench: DataFrame, names: str, guard: Column, similar: Column | None = None) -> DataFrame:
     brand = lambda d, k, c: d.select(k, F.col(c).alias("tokens"))
-    return _paired(block_on_tokens(brand(products, "_p", "f.brands"), brand(bench, "_b", f"b.{names}"), "_p", "_b").select("_p", "_b"), products, bench)
+    fits = _sides_agree() & ~_said_variants_differ() & ~_said_colours_differ() & (F.col("capacity.kind") != "too_far")
+    return _paired(block_on_tokens(brand(products, "_p", "f.brands"), brand(bench, "_b", f"b.{names}"), "_p", "_b").select("_p", "_b"), products, bench, fits & guard, similar)
 
 
 def _by_model_proxy(products: DataFrame, bench: DataFrame) -> DataFrame:
-    d = _brand_pairs(products.where(F.size("f.models") > 0), bench, "brands").where(~F.coalesce(F.col("p.interface") != F.col("b.interface"), F.lit(False)))
-    d = d.where(_sides_agree() & ~_said_variants_differ() & ~_said_colours_differ() & (F.col("capacity.kind") != "too_far"))
+    plug = ~F.coalesce(F.col("p.interface") != F.col("b.interface"), F.lit(False))
+    d = _brand_pairs(products.where(F.size("f.models") > 0), bench, "brands", plug, F.lit(True))
     d = d.where("pair.proxy is not null")
     kind = F.col("capacity.kind")
     more = F.when(kind == "exact", 35).when(kind == "fallback", F.greatest(F.lit(5), 20 - (8 * F.col("capacity.distance")).cast("int"))).when(kind == "benchmark_unknown", 10).otherwise(0)
@@ -206,8 +214,8 @@ def _by_model_proxy(products: DataFrame, bench: DataFrame) -> DataFrame:
 
 def _by_spec_proxy(products: DataFrame, bench: DataFrame) -> DataFrame:
     p, b, kind = F.col("p.interface"), F.col("b.interface"), F.col("capacity.kind")
-    d = _brand_pairs(products, bench.where("b.storage"), "named").where(_sides_agree() & ~_said_variants_differ() & ~_said_colours_differ() & (kind != "too_far"))
-    d = d.where(F.when(p == "nvme", F.coalesce(b == "nvme", F.lit(False))).otherwise(F.coalesce(p == b, F.lit(True))))
+    plug = F.when(p == "nvme", F.coalesce(b == "nvme", F.lit(False))).otherwise(F.coalesce(p == b, F.lit(True)))
+    d = _brand_pairs(products, bench.where("b.storage"), "named", plug)
     quality = _sum([
         F.when(p.isNotNull() & b.isNotNull(), 80).when(p.isNotNull() | b.isNotNull(), 35).otherwise(15),
         F.when(kind == "exact", 100).when(kind == "fallback", F.greatest(F.lit(25), 75 - (18 * (F.col("capacity.ratio") - 1)).cast("int"))).when(kind == "benchmark_unknown", 20).otherwise(5),
