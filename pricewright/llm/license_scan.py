@@ -1,25 +1,27 @@
 """Licence scan by a positional rare-token index, in DataFrame functions only.
 
 Words are maximal runs of [0-9a-z] and non-ASCII characters of the lower-cased text. The templates below form a
-small index: word -> (template, position). A file's licence words are weighed by IDF over all files; for each
-template the file's ANCHORS rarest of them propose where the template would start (place minus position), and all
-postings that agree on that start are intersected. A start scores the IDF share of the template that stands at the
-right relative position; it yields the template's label if it reaches MIN_SCORE and all mandatory key phrases of the
-template occur in the file. Base phrases are labelled wherever their words stand consecutively.
+small index: word -> (template, position). Words are weighed by IDF over all files. A file is looked at for the
+templates whose mandatory key phrases all occur in it: of such a template's words that the file has, the ANCHORS of highest IDF are
+looked up, and each of their places says where the template would start (place minus position). The postings of
+the template's other words are intersected at those starts only, by what stands at the right relative position; a start scores the IDF
+share of the words that do, and yields the template's label if it reaches MIN_SCORE. Base phrases are labelled wherever
+their words stand consecutively. All of this is within a file's row; the only aggregate counts files by template word.
 
 Defined cases: a null or empty text has no words, no places, null first and last word, empty labels and score 0;
-repeated rows get equal results, one for each row; ids may be null or repeated; other columns are passed through by
-scan(keep=...), whatever their names.
+repeated rows get equal results, one for each row; ids may be null or repeated; an empty table gives no rows; other
+columns are passed through by scan(docs, *names), whatever their names: one that is called like a column of the result
+is called doc_<name> there.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import lower_ascii, text_or_empty, written
 
@@ -42,6 +44,7 @@ TEMPLATES = [
 #: Words too common to start a look-up.
 COMMON = set("0 2 3 4 a and any by except for form forms in into is may met not of or provided that the this to under use v with without you".split())
 ANCHORS, MIN_SCORE = 4, 0.6
+STARTS = "array<struct<label:string,start:bigint,score:double>>"
 
 
 def _consecutive(phrase: str) -> Column:
@@ -51,77 +54,60 @@ def _consecutive(phrase: str) -> Column:
     return F.when((F.size("_w") >= len(parts)) & F.contains("_j", F.lit(f" {phrase} ")), places).otherwise(F.array().cast("array<int>"))
 
 
+def _found(label: str, phrases: list[str], wording: str, idf: dict[str, float]) -> Column:
+    """Array of struct label, start, score of one template's places in a file (_w, _v, _phrases)."""
+    words = [(w, q) for q, w in enumerate(wording.split(" ")) if w not in COMMON]
+    all_ = sum(idf[w] for w, _ in words)
+    postings = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(q).alias("q"), F.lit(idf[w]).alias("idf")) for w, q in words])
+    rarest = F.array(*[F.lit(w) for w in sorted({w for w, _ in words}, key=lambda w: (-idf[w], w))])
+    looked_up = F.slice(F.array_intersect(rarest, F.col("_v")), 1, ANCHORS)
+    places = F.filter(F.transform("_w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(looked_up, x.w))
+    starts = F.array_distinct(F.flatten(F.transform(places, lambda x: F.transform(F.filter(postings, lambda p: p.w == x.w), lambda p: x.i - p.q))))
+
+    def scored(s: Column) -> Column:
+        there = F.aggregate(postings, F.lit(0.0), lambda acc, p: acc + F.when(F.get("_w", s + p.q) == p.w, p.idf).otherwise(0.0))
+        return F.struct(F.lit(label).alias("label"), s.cast("long").alias("start"), F.least(F.lit(1.0), there / F.lit(all_)).alias("score"))
+
+    good = F.filter(F.transform(starts, scored), lambda x: x.score >= MIN_SCORE)
+    allowed = F.size(F.array_except(F.array(*[F.lit(p) for p in phrases]), "_phrases")) == 0
+    return F.when(F.col("_w").isNotNull() & allowed, F.transform(good, lambda x: F.struct(x.label.alias("label"), x.start.alias("start"), F.round(x.score, 6).alias("score")))).otherwise(F.array().cast(STARTS))
+
+
 def scan(docs: DataFrame, *keep: str, templates: list = TEMPLATES) -> DataFrame:
     """`keep` and n_words, n_base, first_word, last_word, base_labels, labels, score, starts (array of struct label,
     start, score: where each found template would begin)."""
-    spark = docs.sparkSession
     vocabulary = sorted({w for _, _, wording in templates for w in wording.split(" ")} - COMMON)
     needed = sorted({p for _, phrases, _ in templates for p in phrases})
-    kept = [F.col(k) for k in keep]
-    d = docs.select(*kept, F.regexp_extract_all(lower_ascii(text_or_empty()), F.lit(LICENCE_WORD), F.lit(0)).alias("_w"), F.xxhash64(text_or_empty()).alias("_t"))
+    # What the caller keeps travels in one struct, so no name of a step can clash with it.
+    kept = F.struct(*[F.col(k) for k in keep], *([] if keep else [F.lit(0).alias("_")])).alias("_keep")
+    d = docs.select(kept, F.regexp_extract_all(lower_ascii(text_or_empty()), F.lit(LICENCE_WORD), F.lit(0)).alias("_w"))
     words = F.array(*[F.lit(w) for w in vocabulary])
-    d = d.select(*kept, "_t", "_w", F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")).alias("_j"), F.array_intersect("_w", words).alias("_v"))
+    d = d.select("_keep", "_w", F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")).alias("_j"), F.array_intersect("_w", words).alias("_v"))
     d = d.select(
-        *kept,
-        "_t",
+        "_keep",
+        "_w",
+        "_v",
         F.size("_w").cast("long").alias("n_words"),
         F.array(*[F.struct(F.lit(label).alias("label"), _consecutive(p).alias("at")) for p, label in BASE.items()]).alias("_base"),
-        "_v",
-        F.when(F.size("_v") > 0, F.filter(F.transform("_w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains("_v", x.w))).alias("_hits"),
         F.when(F.size("_v") > 0, F.filter(F.array(*[F.lit(p) for p in needed]), lambda p: F.contains("_j", F.concat(F.lit(" "), p, F.lit(" "))))).alias("_phrases"),
     )
-    # One pass over the texts; what follows reads this table, which has no text.
-    d = written(d, "licence-words").withColumn("_id", F.struct(*kept, "_t"))
-
-    seen = d.select(F.explode("_v").alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+    # One pass over the texts; what follows reads this table, which has the words of files with a key phrase only.
+    d = written(d.withColumn("_w", F.when(F.size("_phrases") > 0, F.col("_w"))), "licence-words")
+    seen = {r.w: r.df for r in d.select(F.explode("_v").alias("w")).groupBy("w").agg(F.count("*").alias("df")).collect()}  # a row for each template word
     n = d.count()
-    rows = [(label, len(phrases), w, q) for label, phrases, wording in templates for q, w in enumerate(wording.split(" ")) if w not in COMMON]
-    row = lambda *x: F.struct(*[F.lit(v).alias(k) for k, v in zip(("label", "n_phrases", "w", "q"), x, strict=True)])
-    index = spark.range(1).select(F.inline(F.array(*[row(*x) for x in rows])))  # the templates' words: fixed
-    # ln(1 + n / (1 + df)); df has a row for each template word.
-    idf = (
-        index.join(F.broadcast(seen), "w", "left")
-        .select("label", "n_phrases", "w", "q", F.log(1 + F.lit(n) / (1 + F.coalesce("df", F.lit(0)))).alias("idf"))
-        .withColumn("all", F.sum("idf").over(Window.partitionBy("label")))
-    )
-    own = F.create_map(*[x for label, phrases, _ in templates for x in (F.lit(label), F.array(*[F.lit(p) for p in phrases]))])
-    hits = (
-        d.where(F.size("_v") > 0)
-        .select("_id", "_phrases", F.explode("_hits").alias("x"))
-        .select("_id", "_phrases", F.col("x.w").alias("w"), F.col("x.i").alias("i"))
-        .join(F.broadcast(idf), "w")
-        .where(F.size(F.array_except(own[F.col("label")], "_phrases")) == 0)
-    )
-    # Per file and template a row for each start; the words there, each position once.
-    at = (
-        hits.groupBy("_id", "label", (F.col("i") - F.col("q")).alias("start"))
-        .agg(F.collect_set(F.struct("q", "idf", "w")).alias("there"), F.first("all").alias("all"))
-        .withColumn("score", F.least(F.lit(1.0), F.aggregate("there", F.lit(0.0), lambda acc, x: acc + x.idf) / F.col("all")))
-    )
-    rare = hits.groupBy("_id", "label").agg(F.slice(F.sort_array(F.collect_set(F.struct("idf", "w")), asc=False), 1, ANCHORS).alias("rare"))
-    found = (
-        at.where(F.col("score") >= MIN_SCORE)
-        .join(rare.withColumnsRenamed({"_id": "_id2", "label": "label2"}), F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("label") == F.col("label2")))
-        .where(F.exists("there", lambda x: F.array_contains(F.transform("rare", lambda r: r.w), x.w)))
-        .groupBy("_id")
-        .agg(F.sort_array(F.collect_set(F.struct("label", F.col("start").cast("long").alias("start"), F.round("score", 6).alias("score")))).alias("starts"))
-        .withColumnRenamed("_id", "_id2")
-    )
+    idf = {w: math.log(1 + n / (1 + seen.get(w, 0))) for w in vocabulary}
+    starts = F.array_sort(F.array_distinct(F.concat(*[_found(*t, idf) for t in templates])))
     places = F.flatten(F.transform("_base", lambda x: x.at))
     base_labels = F.array_sort(F.array_distinct(F.transform(F.filter("_base", lambda x: F.size(x.at) > 0), lambda x: x.label)))
-    none = F.array().cast(T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("start", T.LongType()), T.StructField("score", T.DoubleType())])))
-    return (
-        d.join(found, F.col("_id").eqNullSafe(F.col("_id2")), "left")
-        .select(*kept, "n_words", places.alias("_places"), base_labels.alias("_labels"), F.coalesce("starts", none).alias("starts"))
-        .select(
-            *kept,
-            "n_words",
-            F.size("_places").cast("long").alias("n_base"),
-            F.array_min("_places").cast("long").alias("first_word"),
-            F.array_max("_places").cast("long").alias("last_word"),
-            F.array_join("_labels", ",").alias("base_labels"),
-            F.array_join(F.array_sort(F.array_union("_labels", F.transform("starts", lambda x: x.label))), ",").alias("labels"),
-            F.coalesce(F.array_max(F.transform("starts", lambda x: x.score)), F.lit(0.0)).alias("score"),
-            "starts",
-        )
-    )
+    out = {
+        "n_words": F.col("n_words"),
+        "n_base": F.size("_places").cast("long"),
+        "first_word": F.array_min("_places").cast("long"),
+        "last_word": F.array_max("_places").cast("long"),
+        "base_labels": F.array_join("_labels", ","),
+        "labels": F.array_join(F.array_sort(F.array_union("_labels", F.transform("starts", lambda x: x.label))), ","),
+        "score": F.coalesce(F.array_max(F.transform("starts", lambda x: x.score)), F.lit(0.0)),
+        "starts": F.col("starts"),
+    }
+    d = d.select("_keep", "n_words", places.alias("_places"), base_labels.alias("_labels"), starts.alias("starts"))
+    return d.select(*[F.col("_keep").getField(k).alias(f"doc_{k}" if k in out else k) for k in keep], *[c.alias(k) for k, c in out.items()])

@@ -112,6 +112,38 @@ def test_licenses(docs, rows):
     assert [tuple(x)[:2] for x in by[11].starts] == [("mit", 0)]
 
 
+def test_license_index(docs, rows):
+    """labels, score and starts against a walk over every start of every template."""
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    more = [(500 + i, " ".join(w for j, w in enumerate(wording.split(" ")) if j % 7 != i % 7) + " " + " ".join(phrases), "en", "s") for i, (_, phrases, wording) in enumerate(license_scan.TEMPLATES)]
+    more += [(600, "intro " + license_scan.TEMPLATES[0][2] + " " + license_scan.TEMPLATES[7][2] + " x " + license_scan.TEMPLATES[0][2], "en", "s")]
+    both = docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame([(d, t) for d, t, *_ in more], "doc_id long, text string"))
+    every = [(d, split(t)) for d, t, *_ in [*rows, *more]]
+    vocabulary = {w for _, _, t in license_scan.TEMPLATES for w in t.split(" ")} - license_scan.COMMON
+    df = Counter(w for _, words in every for w in set(words) & vocabulary)
+    idf = {w: math.log(1 + len(every) / (1 + df[w])) for w in vocabulary}
+    want = []
+    for d, words in every:
+        here = []
+        for label, phrases, wording in license_scan.TEMPLATES:
+            at = [(w, q) for q, w in enumerate(wording.split(" ")) if w not in license_scan.COMMON]
+            rare = sorted({w for w, _ in at} & set(words), key=lambda w: (-idf[w], w))[: license_scan.ANCHORS]
+            if not all(phrase_places(words, p) for p in phrases):
+                continue
+            for s in range(-len(wording), len(words)):
+                there = [w for w, q in at if 0 <= s + q < len(words) and words[s + q] == w]
+                score = sum(idf[w] for w in there) / sum(idf[w] for w, _ in at)
+                if score >= license_scan.MIN_SCORE - 1e-12 and any(w in rare for w in there):
+                    here.append((label, s, round(min(1.0, score), 6)))
+        want.append((d or 0, tuple(sorted(here))))
+    got = [(r.doc_id or 0, tuple((x.label, x.start, x.score) for x in r.starts), r.score) for r in license_scan.scan(both, "doc_id").collect()]
+    assert Counter(g[:2] for g in got) == Counter(want) and sum(len(w) > 0 for _, w in want) >= 8
+    assert all(g[2] == max((x[2] for x in g[1]), default=0.0) for g in got)
+    clash = license_scan.scan(docs, "n_words", "_w", "label", "doc_id").where("doc_id = 5").first()
+    assert clash.doc_n_words == "7" and clash.n_words > 5 and clash._w == "w" and clash.label == "l"
+    assert license_scan.scan(docs.limit(0), "doc_id").count() == 0 and license_scan.scan(docs).count() == docs.count()
+
+
 def test_secrets(docs, rows):
     a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     got = {(r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secret_scan.scan(docs).collect()}
@@ -125,6 +157,46 @@ def test_secrets(docs, rows):
     assert spans[7] == "novel:10:36,novel:37:59" and spans[1] == ""
 
 
+def planted(n):
+    """Texts of (text, secrets, decoys): random keys that no fixed pattern finds, and strings that are none, near sensitive words."""
+    import random
+    import string
+
+    r = random.Random(11)
+    some = lambda alphabet, k: "".join(r.choice(alphabet) for _ in range(k))
+    alphabets = [string.ascii_letters + string.digits, "0123456789ABCDEF", string.ascii_lowercase + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + "234567", string.ascii_letters]
+    words = "client request payload handler internationalization configuration authenticate_user refresh_access_token AbstractAuthenticationProviderFactory connection_timeout_seconds".split()
+    out = []
+    for i in range(n):
+        secrets = [some(alphabets[(i + j) % len(alphabets)], r.randrange(20, 45)) for j in range(2)]
+        secrets = [x for x in secrets if re.search("[0-9]", x) or re.search("[a-z][A-Z]", x)]
+        decoys = [r.choice(words[4:]) for _ in range(2)] + ["/usr/local/share/private/credentials/", "----------------====", "AccessTokenRefreshHandler", words[4] + words[5]]
+        lines = [f"use the {r.choice(['private', 'bearer', 'credential'])} value {x} in {' '.join(r.sample(words, 4))}" for x in secrets] + [f"the access of {x} {' '.join(r.sample(words, 3))} is {x}" for x in decoys]
+        r.shuffle(lines)
+        out.append(("\n".join(lines), secrets, decoys))
+    return out
+
+
+def test_planted_secrets(spark):
+    made = planted(150)
+    d = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(made)] + [(1000, "x" * 50 + " token " + made[0][1][0])] * 2, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan(d).collect()}
+    hit = right = told = n = 0
+    for i, (t, secrets, _) in enumerate(made):
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[i].split(",") if x]
+        at = [(t.index(x), t.index(x) + len(x)) for x in secrets]
+        n += len(at)
+        hit += sum(any(a <= s and e <= b for a, b in spans) for s, e in at)
+        told += len(spans)
+        right += sum(any(a < e and s < b for s, e in at) for a, b in spans)
+    assert hit >= 0.9 * n and right >= 0.95 * told, (hit, n, right, told)
+    # A secret in copies of a document isn't learned, since identifiers are shorter; words are.
+    known = secret_scan.identifiers(d).split(" ")
+    assert "payload" in known and "handler" in known and not any(x in known for _, s, _ in made for x in s) and known == secret_scan.identifiers(d).split(" ")
+    empty = d.limit(0)
+    assert secret_scan.scan(empty).count() == 0 and secret_scan.identifiers(empty) == ""
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
@@ -247,6 +319,37 @@ def test_fingerprints(docs, rows):
     assert fingerprint.edits(one).first().near_next == 1.0 and fingerprint.edits(docs.limit(0)).count() == 0
 
 
+def test_next_of_clustered_and_hot_ids(spark):
+    """Ids in clusters far apart, a third of all rows with one id, many nulls: ranges stay small, and each row meets its next."""
+    rows = [(i, f"low {i}") for i in range(200)] + [(10**17 + 7 * i, f"far {i}") for i in range(100)] + [(-(10**18), "least")]
+    rows += [(150, f"hot {i}") for i in range(250)] + [(None, f"none {i}") for i in range(60)] + [(150, "hot 1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) h").collect()}
+    order = sorted(rows, key=lambda r: (-(1 << 63) if r[0] is None else r[0], hashed[r[1]]))
+    want = [(d, len(t), hashlib.sha256((t[: len(t) - len(t) // 4] + n[: len(t) // 4]).encode()).hexdigest()) for (d, t), (_, n) in zip(order, order[1:] + order[:1])]
+    got = [tuple(r)[:3] for r in fingerprint.edits(docs).collect()]
+    assert Counter(got) == Counter(want)
+    sizes = fingerprint._with_next(docs, "doc_id").groupBy("_to").count().collect()
+    assert max(r["count"] for r in sizes) <= 80 and len(sizes) > 15
+
+
+def test_likeness_estimates_window_counts():
+    """The lanes' likeness against the exact counts of 8-byte windows."""
+    import random
+
+    r = random.Random(3)
+    base = [" ".join(r.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(r.randrange(50)) for _ in range(60)) for _ in range(12)]
+    counts = lambda t: Counter(x[i : i + 8] for x in t.encode().split(b"\n") for i in range(len(x) - 7))
+    off = []
+    for _ in range(60):
+        a, b = "\n".join(r.sample(base, 8)), "\n".join(r.sample(base, 8))
+        x, y = counts(a), counts(b)
+        exact = 2 * sum(n * y[w] for w, n in x.items()) / (sum(n * n for n in x.values()) + sum(n * n for n in y.values()))
+        p = fingerprint.Prints.of([a, b])
+        off.append(abs(p[0:1].likeness(p[1:2])[0] - exact))
+    assert sum(off) / len(off) < 0.08 and max(off) < 0.3
+
+
 def test_fingerprint_is_homomorphic():
     P = fingerprint.Prints.of
     a, b, both, other = P(["first line"]), P(["second é line"]), P(["first line\nsecond é line"]), P(["second é line\nfirst line"])
