@@ -5,7 +5,8 @@ piece taking what is left over. A packing depends on nothing but how many pieces
 of at most `capacity` rows, so that is all the driver gets: again and again the longest piece left is joined by the
 fullest combination that a bitset subset-sum over the lengths left can reach, and that bin is used as often as the
 counts allow. Pieces are then ranked within their length (in buckets of ids, never one task for a length) and the
-rank says the sequence and the place.
+rank says the sequence and the place. Pieces that fill a sequence alone, which grow with the longest texts, need no rank: each is a
+sequence of its own, numbered below 0 where it is read.
 
 Defined cases: a null text counts as empty and is one piece, the end id alone; ties and repeated rows are ranked by
 id, then piece, then a checksum of their ids: rows that agree in all of these are interchangeable; an empty table
@@ -128,8 +129,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, di
     return out
 
 
-def pack(cut: DataFrame, id_column: str = "doc_id", capacity: int = CAPACITY, buckets: int = 64) -> DataFrame:
-    """`cut` (as pieces() gives it, from a written table) with sequence_id and offset."""
+def pack(cut: DataFrame, id_column: str = "doc_id", capacity: int = CAPACITY, buckets: int | None = None) -> DataFrame:
+    """`cut` (as pieces() gives it, from a written table) with sequence_id and offset. `buckets` of each length follow the
+    number of pieces, from 64 to 1024, so the driver counts `capacity` times 1024 of them at most."""
+    full, cut = cut.where(F.col("length") == capacity), cut.where(F.col("length") < capacity)
+    alone = full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    if buckets is None:
+        buckets = min(1024, max(64, 1 << (cut.count() >> 20).bit_length()))
     bucket = F.pmod(F.xxhash64(id_column, "piece", "ids_crc32"), F.lit(buckets)).alias("_bucket")
     cut = cut.select("*", bucket)
     sums = cut.groupBy("length", "_bucket").agg(F.count("*").alias("n"))
@@ -171,7 +177,7 @@ def pack(cut: DataFrame, id_column: str = "doc_id", capacity: int = CAPACITY, bu
             kept = [n for n in batch.schema.names if n not in ("_bucket", "_rank")]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(seq), pa.array(off)], names=[*kept, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(place, schema).unionByName(alone)
 
 
 def packed(docs: DataFrame, id_column: str = "doc_id", capacity: int = CAPACITY, **params) -> DataFrame:
