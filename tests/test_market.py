@@ -80,7 +80,7 @@ def test_features(spark, f, x, want):
 
 
 def test_part_tokens_and_brands(spark):
-    assert value(spark, lambda c: T.part_tokens(c, "CPU"), "AMD 라이젠7-6세대 9800X3D (정품)") == ["7-6", "9800x3d", "ryzen"] or value(spark, lambda c: T.part_tokens(c, "CPU"), "AMD 라이젠7-6세대 9800X3D (정품)")
+    assert value(spark, lambda c: T.part_tokens(c, "CPU"), "AMD 라이젠7-6세대 9800X3D (정품)") == ["9800x3d", "ryzen"]
     assert value(spark, lambda c: T.chip_brands(c, "GPU"), "지포스 GT 1030") == ["nvidia"]
     assert value(spark, lambda c: T.chip_brands(c, "CPU"), None) == []
 
@@ -191,6 +191,68 @@ def test_estimate_pages(spark):
     assert [(r.item.href, r.item.title) for r in cards.listed_estimates(items).collect()] == [("/p?ProductNo=5", "게이밍 PC")]
 
 
+def test_estimate_file(spark, tmp_path):
+    """Cells by position; the header, in any case, and empty lines are left out; reasons are the first check that fails."""
+    parts = [("cpu", "100", "1", "100", "0"), ("gpu", "", "1", "200", "0"), ("board", "50", "1", "50", "0"), ("ram", "20", "2", "40", "0"), ("ssd", "30", "1", "30", "0"), ("power", "10", "1", "10", "0"), ("case", "10", "1", "10", "0"), ("fan", "0", "0", "0", "0")]
+
+    def line(usage="GAMING", pid="1", total="440", change=None):
+        cells = [list(p) for p in parts]
+        for i, k, v in change or []:
+            cells[i][k] = v
+        return ",".join([usage, pid, '"a, b"', total, *(c for p in cells for c in p), "u", "d"])
+
+    rows = ["Usage," + ",".join(f"c{i}" for i in range(45)), line(), "", line(pid="1"), line(pid="2"), line("VIDEO"), line(pid="3", total="441"), line(pid="4", total="450"), line(pid="5", change=[(0, 3, "x")]), line(pid="6", change=[(1, 3, "0"), (0, 1, ""), (0, 3, "300")])]
+    rows += [line("office", "6", '"4,40"', [(0, 0, " CPU  x")]), line(pid="7", change=[(2, 2, "-1")]), line(pid="8", change=[(2, 3, "0")]), line(pid="9", change=[(3, 1, "25")]), "GAMING,10,short"]
+    (tmp_path / "e.csv").write_text("\n".join(rows), encoding="utf-8")
+    d = estimates.cleaned(estimates.validated(estimates.read_estimates(spark, f"file://{tmp_path}/e.csv")))
+    got = [(r.product_id, r.reason) for r in d.orderBy("row").collect()]
+    assert got == [("1", None), ("1", "DUPLICATE_ID"), ("2", "DUPLICATE_CONFIG"), ("1", "USAGE"), ("3", "DUPLICATE_CONFIG"), ("4", "SUM"), ("5", "NUMBER"), ("6", "NO_GPU"), ("6", None), ("7", "NEGATIVE"), ("8", "FREE_MAINBOARD"), ("9", "UNIT_PRICE"), ("10", "CELLS")]
+
+
+def test_ratio_rows_sum_to_one(spark):
+    import random
+
+    r = random.Random(4)
+    rows = []
+    for i in range(300):
+        prices = [r.randrange(1, 400_000) for _ in range(8)]
+        rows.append((i, r.choice(["OFFICE", "GAMING"]) if i else "OFFICE", sum(prices), [(p, p) for p in prices]))
+    d = spark.createDataFrame(rows, "row long, usage string, budget long, parts array<struct<unit_price:long,price:long>>")
+    table = estimates.ratio_table(d)
+    got = table.collect()
+    assert len(got) > 6 and all(sum(x[c] for c in estimates.RATIOS) == 1 for x in got)
+    office = {tuple(x[c] for c in estimates.RATIOS) for x in got if x.usage == "OFFICE"}
+    assert len(office) == 1
+    budgets = [b for _, u, b, _ in rows if u == "GAMING"]
+    points = sorted(x.budget for x in got if x.usage == "GAMING")
+    assert points[0] == -(-min(budgets) // 500_000) * 500_000 and points[-1] == max(budgets) // 500_000 * 500_000
+    lone = spark.createDataFrame([(1, "GAMING", 700_001), (2, "GAMING", 800_000)], "row long, usage string, budget long")
+    assert [x.point for x in estimates.budget_points(lone).collect()] == [1_000_000]
+    best = spark.createDataFrame([(300, 500, 100, 80, 90, 70, 60, 30)], ", ".join(f"{p.lower()}_price long" for p in estimates.PARTS))
+    one = estimates.high_end(best).first()
+    assert one.budget == 1230 and sum(one[c] for c in estimates.RATIOS) == 1 and one.gpu_ratio > 0
+
+
+def test_samples_against_all_pairs(spark):
+    import random
+
+    from pricewright.operators import stats
+
+    r = random.Random(8)
+    rows = [(i, r.choice("ab"), r.choice([r.randrange(0, 30_000), r.randrange(10_000, 10_400)])) for i in range(400)] + [(900, "c", 5)]
+    d = spark.createDataFrame(rows, "id long, usage string, budget long")
+    grid = spark.createDataFrame([(u, p) for u in "abcd" for p in (-5000, 0, 1000, 10_000, 10_137, 25_000, 90_000)], "usage string, point long")
+    for radius, least, nearest in ((500, 8, 12), (100, 3, 3)):
+        want = set()
+        for u in "abc":
+            for p in (-5000, 0, 1000, 10_000, 10_137, 25_000, 90_000):
+                own = sorted((abs(b - p), b, i) for i, v, b in rows if v == u)
+                near = [x for x in own if x[0] <= radius]
+                want |= {(u, p, i) for _, _, i in (near if len(near) >= least else own[:nearest])}
+        got = stats.samples(d, grid, "usage", "budget", "id", radius, least, nearest).select("usage", "point", "id").collect()
+        assert len(got) == len(want) and {tuple(x) for x in got} == want
+
+
 def test_memory_match(spark):
     bench = [("G.Skill F4-3200C16-8GVK 8GB", "12"), ("Kingston KVR DDR4 2666 8GB", "8"), ("Corsair DDR4-3200 CL18 8GB", "14"), ("Crucial DDR4-3200 CL22 8GB", "10"), ("bad", "x")]
     b = spark.createDataFrame(bench, "name string, score string")
