@@ -82,7 +82,8 @@ def url_identity(spark, sf):
     return t(spark, sf, "pages").select("page_id", F.try_parse_url("url", F.lit("QUERY"), F.lit("page")).alias("page"), F.try_parse_url("url", F.lit("HOST")).alias("host"))
 
 
-@query()
+@query("""with c as (select page_id, unnest(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')) as x from pages)
+select page_id, replace(regexp_extract(x, 'href="([^"]*)"', 1), '&amp;', '&') as href, trim(replace(regexp_extract(x, '">([^<]*)</a>', 1), '&amp;', '&')) as name from c""")
 def html_cards(spark, sf):
     return t(spark, sf, "pages").select("page_id", F.explode(catalog.html_cards("html")).alias("card")).select("page_id", "card.href", "card.name")
 
