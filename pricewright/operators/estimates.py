@@ -8,9 +8,12 @@ Samples don't pair estimates with grid points, see stats.samples(); OFFICE blend
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricewright.functions.text import normalize_name
 from pricewright.sources.folders import stored
 
 from .stats import kernel, round_to_one, samples
@@ -25,6 +28,8 @@ STEP, RADIUS, LEAST_LOCAL, NEAREST, TOLERANCE, MEAN_SHARE = 500_000, 250_000, 8,
 RATIOS = [f"{p.lower()}_ratio" for p in PARTS]
 #: Words of titles that tell a usage.
 USAGE_WORDS = {"OFFICE": ["사무용", "업무용", "오피스용"], "GAMING": ["게이밍", "게임용"], "VIDEO_EDITING": ["영상편집", "영상 편집", "이미지/영상편집", "영상작업"]}
+#: Parameters of an address that hold a product's number.
+ID_PARAMETERS = ["ProductNo", "productNo"]
 #: What must be in a build, and what a page says where a part is built in or comes along.
 REQUIRED = ["CPU", "MAINBOARD", "RAM", "SSD", "POWER", "CASE"]
 BUILT_IN_GRAPHICS = r"(?i)내장\s*(그래픽|VGA)"
@@ -77,8 +82,7 @@ def validated(rows: DataFrame) -> DataFrame:
 
 def config(parts: Column) -> Column:
     """What two builds of equal parts share: names squeezed and in lower case, prices, quantities."""
-    name = lambda p: F.lower(F.trim(F.regexp_replace(p["name"], r"(?U)\s+", " ")))
-    return F.transform(parts, lambda p: F.struct(name(p).alias("name"), p.price.alias("price"), p.quantity.alias("quantity")))
+    return F.transform(parts, lambda p: F.struct(normalize_name(p["name"]).alias("name"), p.price.alias("price"), p.quantity.alias("quantity")))
 
 
 def cleaned(valid: DataFrame) -> DataFrame:
@@ -162,6 +166,17 @@ def ratio_faults(ratios: DataFrame) -> DataFrame:
     return each.unionByName(twice).unionByName(table)
 
 
+def estimate_id(url: Column, host: str = "") -> Column:
+    """The product number in an estimate's address; null if it has none, or is another site's than `host`'s."""
+    own = F.lit(True) if not host else F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.lit("")).rlike(rf"(?i)(^|\.){re.escape(host)}$")
+    return F.when(own, F.coalesce(*[F.nullif(F.regexp_extract(url, rf"[?&]{p}=([^&#]*)", 1), F.lit("")) for p in ID_PARAMETERS]))
+
+
+def estimate_url(product_id: Column, page: str) -> Column:
+    """The address of a product's page."""
+    return F.concat(F.lit(f"{page}?{ID_PARAMETERS[0]}="), product_id)
+
+
 def title_usage(title: Column) -> Column:
     """The usage that a title speaks of, blanks and case aside; null for none or several."""
     t = F.lower(F.regexp_replace(F.coalesce(title, F.lit("")), r"(?U)\s+", ""))

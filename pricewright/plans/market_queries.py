@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions import memory, specs
 from pricewright.functions import text as T
+from pricewright.functions.storage import part_brands
 from pricewright.operators import estimates as E
 from pricewright.operators import matching as M
 from pricewright.operators import part_match as P
@@ -86,7 +87,7 @@ def match_rate(spark, sf):
 case when told then gb::int end as vram, mobile, 'nvidia' as chip, list_sort(['ryzen', c.number || ending, lower(p_type)])::varchar as tokens from c join g using (p_partkey)""")
 def chip_features(spark, sf):
     d = made(spark, sf, CPU_TITLES).join(made(spark, sf, GPU_TITLES).withColumnRenamed("title", "card"), "p_partkey")
-    return d.select("p_partkey", T.cpu_model_key(F.col("title")).alias("cpu_key"), T.gpu_model_key(F.col("card")).alias("gpu_key"), T.gpu_vram_gb(F.col("card")).alias("vram"), T.is_mobile(F.col("title")).alias("mobile"), F.array_join(T.chip_brands(F.col("card"), "GPU"), ",").alias("chip"), T.part_tokens(F.col("title"), "CPU").cast("string").alias("tokens"))
+    return d.select("p_partkey", T.cpu_model_key(F.col("title")).alias("cpu_key"), T.gpu_model_key(F.col("card")).alias("gpu_key"), T.gpu_vram_gb(F.col("card")).alias("vram"), T.is_mobile(F.col("title")).alias("mobile"), F.array_join(part_brands(F.col("card"), "GPU"), ",").alias("chip"), T.part_tokens(F.col("title"), "CPU").cast("string").alias("tokens"))
 
 
 # Memory
@@ -249,10 +250,11 @@ def drive_cards(spark, sf):
 LISTS = "select p_partkey, '<ul id=\"recom_search_ul\"><li><a href=\"/d?ProductNo=' || cast(p_partkey as string) || '\">x</a><div class=\"txt_box\"><p class=\"name\"> ' || p_type || case p_partkey % 3 when 0 then ' 게이밍 PC' when 1 then ' 사무용  PC' else ' 게이밍 사무용' end || '</p></div></li><li>none</li></ul>' as html from {part}"
 
 
-@query("""select p_partkey, '/d?ProductNo=' || p_partkey as href, p_type || case p_partkey % 3 when 0 then ' 게이밍 PC' when 1 then ' 사무용 PC' else ' 게이밍 사무용' end as title, p_partkey % 3 = 1 as conflict from part""")
+@query("""select p_partkey, '/d?ProductNo=' || p_partkey as href, p_type || case p_partkey % 3 when 0 then ' 게이밍 PC' when 1 then ' 사무용 PC' else ' 게이밍 사무용' end as title, p_partkey % 3 = 1 as conflict, p_partkey::varchar as product_id, 'https://shop.example/detail?ProductNo=' || p_partkey as url from part""")
 def estimate_lists(spark, sf):
     d = C.listed_estimates(made(spark, sf, LISTS), "p_partkey")
-    return d.select("p_partkey", "item.href", "item.title", E.usage_conflict(F.col("item.title"), F.lit("GAMING")).alias("conflict"))
+    found = E.estimate_id(V.absolute(F.col("item.href"), "https://www.shop.example"), "shop.example")
+    return d.select("p_partkey", "item.href", "item.title", E.usage_conflict(F.col("item.title"), F.lit("GAMING")).alias("conflict"), found.alias("product_id"), E.estimate_url(found, "https://shop.example/detail").alias("url"))
 
 
 _LINE = lambda part, name, price, n: f"'<tr><td>{part}</td><td>' || {name} || '</td><td>' || cast({price} as string) || '원</td><td>' || cast({n} as string) || '개</td></tr>'"
