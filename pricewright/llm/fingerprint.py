@@ -7,14 +7,13 @@ paragraphs doesn't matter, and a paragraph is inserted or deleted by adding or s
 subtract()). Equal multisets have equal fingerprints; the LIKE lanes of two fingerprints estimate the likeness
 2 a.b / (a.a + b.b) of the texts' window counts.
 
-edits() compares each text with its edited form and with the next text by id. Documents are dealt into about sqrt(n)
-ranges of ids of about sqrt(n) rows each, and the first of each range is sent to the range before it as well, so
-every text moves once and no task sees the whole order.
+edits() compares each text with its edited form and with the next text by id. Documents are dealt into ranges that end at
+quantiles of the ids (sqrt(n) of them, 4096 at most; an id of very many rows is dealt on by a hash of the text), and the first of
+each range is sent to the range before it as well, so every text moves once and no task sees the whole order.
 
 Defined cases: a null or empty text is one empty paragraph; likeness is 1 for equal fingerprints, else 0 where
 neither text has a window; null ids come first, equal ids are ordered by a hash of the text; the next of the last is
-the first, of a single row the row itself; an empty table gives no rows; ids that leave wide gaps make uneven ranges,
-which are sorted on disk.
+the first, of a single row the row itself; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import text_or_empty, written
 
 EXACT, LIKE = 8, 128
 SLICE = 1 << 20
@@ -129,27 +128,53 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return docs.select(id_column, text_or_empty().alias("_text")).mapInArrow(run, f"`{id_column}` {dict(docs.dtypes)[id_column]}, fingerprint string")
 
 
+FIRST_ID, RANGES = -(1 << 63), 4096
+
+
+def _place(key: Column, hashed: Column, splits: list[int]) -> Column:
+    """The range of a row in the order of key and hash. A key that several splits share, since very many rows have it, is dealt
+    to as many ranges by its hash."""
+    ends = F.split(F.lit(",".join(map(str, splits))), ",").cast("array<bigint>")
+    twins = [0] * len(splits)
+    for i in reversed(range(len(splits))):
+        twins[i] = 1 + (twins[i + 1] if i + 1 < len(splits) and splits[i + 1] == splits[i] else 0)
+    many = F.split(F.lit(",".join(map(str, twins))), ",").cast("array<int>")
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc.lo + acc.hi) / 2).cast("int")
+        right = F.get(ends, mid) < key
+        lo, hi = F.when(right, mid + 1).otherwise(acc.lo), F.when(right, acc.hi).otherwise(mid)
+        return F.struct(F.when(acc.lo < acc.hi, lo).otherwise(acc.lo).alias("lo"), F.when(acc.lo < acc.hi, hi).otherwise(acc.hi).alias("hi"))
+
+    steps = F.sequence(F.lit(1), F.lit(max(1, len(splits).bit_length())))
+    below = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(splits)).alias("hi")), halve, lambda acc: acc.lo)
+    share = (hashed.cast("double") / 2.0**64 + 0.5) * F.get(many, below)
+    last = F.get(many, below) - 1
+    return F.when(F.get(ends, below) == key, below + 1 + F.least(F.floor(share).cast("int"), last)).otherwise(below)
+
+
 def _with_next(docs: DataFrame, id_column: str) -> DataFrame:
-    """_to, _copy, _id, _hash, _text: ranges of ids, each sorted and followed by the first row of the range after it."""
+    """_to, _own, _id, _text: ranges of ids, each sorted and followed by the first row of the range after it. Ranges end
+    at quantiles of the ids, so clusters, far ones and ids of very many rows make no large range."""
     d = docs.select(F.col(id_column).cast("long").alias("_id"), text_or_empty().alias("_text"))
-    ids = d.select("_id").agg(F.min("_id"), F.max("_id"), F.count("*")).first()
-    low, high, n = (ids[0] or 0), (ids[1] or 0), ids[2]
-    width = max(1, math.ceil((high - low + 1) / max(1, math.isqrt(n))))
-    place = F.coalesce(F.floor((F.col("_id") - low) / width), F.lit(0)).cast("long")
-    d = d.select("_id", F.xxhash64("_text").alias("_hash"), "_text", place.alias("_range"))
-    heads = d.groupBy("_range").agg(F.min(F.struct(F.coalesce("_id", F.lit(-(1 << 63))).alias("i"))).alias("h"))
-    # About sqrt(n) rows: a window over them stays small at any size.
+    d = d.select("_id", F.coalesce("_id", F.lit(FIRST_ID)).alias("_k"), F.xxhash64("_text").alias("_hash"), "_text")
+    k = min(RANGES, max(2, math.isqrt(d.select("_id").count())))
+    quantiles = F.percentile_approx("_k", [i / k for i in range(1, k)], 10 * k)
+    splits = d.agg(quantiles.alias("q")).first().q or [0]  # k at most
+    d = d.select("_id", "_k", "_hash", "_text", _place(F.col("_k"), F.col("_hash"), splits).alias("_range"))
+    first = F.min(F.struct(F.col("_k").alias("k"), F.col("_hash").alias("h")))
+    heads = written(d.groupBy("_range").agg(first.alias("h")), "heads")
+    # At most RANGES rows: a window over them, and a broadcast of them, stay small at any size.
     before = F.lag("_range").over(Window.orderBy("_range"))
     last = F.max("_range").over(Window.partitionBy(F.lit(0)))
-    heads = heads.select(F.col("_range").alias("_r"), F.col("h.i").alias("_i"), F.coalesce(before, last).alias("_to"), before.isNull().cast("int").alias("_wrap"))
-    heads = F.broadcast(heads) if n < 10**11 else heads  # checked: about sqrt(n) rows of 32 bytes, 10 MB at most
-    copies = d.join(heads, (F.col("_range") == F.col("_r")) & (F.coalesce("_id", F.lit(-(1 << 63))) == F.col("_i")), "left")
+    heads = heads.select(F.col("_range").alias("_r"), F.col("h.k").alias("_i"), F.col("h.h").alias("_j"), F.coalesce(before, last).alias("_to"), before.isNull().cast("int").alias("_wrap"))
+    copies = d.join(F.broadcast(heads), (F.col("_range") == F.col("_r")) & (F.col("_k") == F.col("_i")) & (F.col("_hash") == F.col("_j")), "left")
     own = F.struct(F.col("_range").alias("to"), F.lit(0).alias("wrap"), F.lit(True).alias("own"))
-    sent = F.struct(F.col("_to").alias("to"), F.col("_wrap").alias("wrap"), F.lit(False).alias("own"))
-    rows = copies.select("_id", "_hash", "_text", F.explode(F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, sent))).alias("x"))
-    rows = rows.select(F.col("x.to").alias("_to"), F.col("x.wrap").alias("_wrap"), F.col("x.own").alias("_own"), "_id", "_hash", "_text")
+    sent = F.struct(F.col("_to").alias("to"), (F.col("_wrap") + 1).alias("wrap"), F.lit(False).alias("own"))
+    rows = copies.select("_id", "_k", "_hash", "_text", F.explode(F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, sent))).alias("x"))
+    rows = rows.select(F.col("x.to").alias("_to"), F.col("x.wrap").alias("_wrap"), F.col("x.own").alias("_own"), "_id", "_k", "_hash", "_text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "_to").sortWithinPartitions("_to", "_wrap", F.col("_id").asc_nulls_first(), "_hash")
+    return rows.repartition(parts, "_to").sortWithinPartitions("_to", "_wrap", "_k", "_hash")
 
 
 def edits(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
