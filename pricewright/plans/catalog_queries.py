@@ -114,18 +114,14 @@ def model_key_match(spark, sf):
     return best.select("p_partkey", "bench_brand", "bench_score")
 
 
-@query("""with b as (select distinct item_id, unnest(regexp_extract_all(lower(text), '[a-z]{12,}')) as w from benchmark),
-d as (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{12,}')) as w from documents)
-select item_id, doc_id, count(*) as common from b join d using (w) group by 1, 2 having count(*) >= 2""")
-def token_block_match(spark, sf):
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{12,}"), F.lit(0)).alias("tokens")
-    left, right = t(spark, sf, "benchmark").select("item_id", words), t(spark, sf, "documents").select("doc_id", words)
-    return M.block_on_tokens(left, right, "item_id", "doc_id").where("common >= 2")
+#: The tokens of a text, as T.tokens() finds them in Latin ones: letters, digits and inner hyphens, two characters at least.
+_TOKENS = "unnest(list_distinct(list_filter(list_transform(regexp_extract_all(lower(text), '[a-z0-9가-힣-]+'), lambda x: trim(x, '-')), lambda x: length(x) >= 2)))"
 
 
-@query()
+@query(f"""with b as (select distinct item_id, {_TOKENS} as w from benchmark), d as (select distinct doc_id, {_TOKENS} as w from documents)
+select item_id, doc_id, count(*) as common from b join d using (w) group by 1, 2 having count(*) >= 2""")
 def token_block_match_whole(spark, sf):
-    """As token_block_match, on every token of the operator (2 characters or more) instead of the long words alone."""
+    """Passages and documents that share two tokens at least, of all tokens of the whole texts."""
     words = T.tokens(F.col("text")).alias("tokens")
     few, many = t(spark, sf, "benchmark").select("item_id", words), t(spark, sf, "documents").select("doc_id", words)
     return M.common_tokens(few, many, "item_id", "doc_id").where("common >= 2")
@@ -169,15 +165,9 @@ def tier_cascade(spark, sf):
     return M.cascade(t(spark, sf, "part").select("p_partkey"), "p_partkey", [("direct", tier("l_returnflag = 'R'")), ("proxy", tier("l_quantity >= 45"))])
 
 
-@query("""select w as token, count(*) as n from (select distinct doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) as w from documents) group by 1""")
-def token_frequency(spark, sf):
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{9,}"), F.lit(0)))
-    return t(spark, sf, "documents").select(F.explode(words).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-
-
-@query()
+@query(f"select w as token, count(*) as n from (select distinct doc_id, {_TOKENS} as w from documents) group by 1")
 def token_frequency_whole(spark, sf):
-    """As token_frequency, on every token of the operator; rows that repeat an id are one document."""
+    """In how many documents each token of the whole texts stands; rows that repeat an id are one document."""
     words = t(spark, sf, "documents").select("doc_id", F.explode(T.tokens(F.col("text"))).alias("token")).distinct()
     return words.groupBy("token").agg(F.count("*").alias("n"))
 
