@@ -17,7 +17,7 @@ Defined cases: a null text counts as empty (and fails the base rule, which wants
 stratum ''; a stratum without labels has no cutoff; repeated rows are judged alike, each on its own; labels
 with a null id or label are ignored; a document labelled several times counts once, as good if all its labels say so, and
 rows that repeat a document count once. Columns of the
-input are kept by apply(); those that features() adds replace columns of the same name inside its own output only.
+input are kept by apply() whatever their names; features() says what becomes of names like those of its counts.
 """
 
 from __future__ import annotations
@@ -54,12 +54,14 @@ def _removed(text: Column, chars: str) -> Column:
 
 
 def features(docs: DataFrame, *keep: str) -> DataFrame:
-    """The columns `keep` and the counts of each document; one row in, one row out, no shuffle."""
+    """The columns `keep` and the counts of each document; one row in, one row out, no shuffle. A kept column that is called
+    like a count comes out as doc_<name>."""
     # An array that a later step reads more than once stays a column of its own, so Catalyst evaluates it once.
-    kept = [F.col(k) for k in keep]
+    # What the caller keeps travels in one struct, so no name of a step can clash with it.
+    kept = ["_keep"]
     text = F.col("_text")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACE, "")) > 0)
-    d = docs.select(*kept, text_or_empty().alias("_text"))
+    d = docs.select(F.struct(*[F.col(k) for k in keep], *([] if keep else [F.lit(0).alias("_")])).alias("_keep"), text_or_empty().alias("_text"))
     d = d.select(
         *kept,
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_w"),
@@ -95,7 +97,9 @@ def features(docs: DataFrame, *keep: str) -> DataFrame:
     n = F.size("_p") - 1
     gaps = F.zip_with(F.slice("_p", 1, n), F.slice("_p", 2, n), lambda a, b: F.least(b - a, F.lit(WINDOW)).cast("long"))
     covered = F.when(F.col("_p").isNull(), F.lit(0).cast("long")).otherwise(F.aggregate(gaps, F.lit(WINDOW).cast("long"), lambda acc, x: acc + x))
-    return d.select(*kept, *counts, covered.alias("n_repeat_words"))
+    told = [*counts, "n_repeat_words"]
+    out = [F.col("_keep").getField(k).alias(f"doc_{k}" if k in told else k) for k in keep]
+    return d.select(*out, *counts, covered.alias("n_repeat_words"))
 
 
 def base_failed() -> Column:

@@ -88,3 +88,12 @@ def test_given_labels_reject_documents(spark):
     judged = quality_rules.judge(feats, quality_rules.thresholds(feats, labels, "lang"), "lang").join(labels, "doc_id").where("not base_failed")
     r = judged.agg(F.count_if(F.expr("not kept and quality = 0")).alias("bad"), F.count_if(F.expr("not kept and quality = 1")).alias("good"), F.count_if(F.expr("quality = 1")).alias("n")).first()
     assert r.bad > 200 and r.good <= quality_rules.ALPHA * r.n
+
+
+def test_kept_columns_of_any_name(spark):
+    docs, labels = tables(spark, [("en", "good", 400), ("en", "symbols", 40)])
+    odd = docs.withColumns({"n_words": F.lit("seven"), "_h": F.lit("h"), "_keep": F.lit("k"), "reasons": F.lit("r")})
+    got = quality_rules.features(odd, "n_words", "_h", "_keep", "doc_id").first()
+    assert (got.doc_n_words, got._h, got._keep, got.n_words) == ("seven", "h", "k", 40)
+    kept = quality_rules.apply(odd, labels)
+    assert kept.columns == odd.columns and kept.count() == 400 and kept.where("n_words = 'seven' and reasons = 'r'").count() == 400
