@@ -539,6 +539,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
         dropped(t)
     named_by = comp.withColumnRenamed("id", "node")
     named = keys.where("doc_id is not null and node is not null").select("node", "doc_id").join(named_by, "node", "left")
-    named = named.groupBy(F.coalesce("comp", "node").alias("_comp")).agg(F.min("doc_id").alias("_least"))
+    # Written, so that the join reads shuffles on both sides and a large component can be split among tasks.
+    named = written(named.groupBy(F.coalesce("comp", "node").alias("_comp")).agg(F.min("doc_id").alias("_least")), "named")
     of = keys.join(named_by, "node", "left").withColumn("_c", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "node"))).join(named, F.col("_c") == F.col("_comp"), "left")
     return of.select("doc_id", "text_hash", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id"), F.col("_c").alias("component"))

@@ -143,4 +143,26 @@ select o.doc_id, count(*) filter (word)::bigint as n_lines, count(*) filter (gon
 from o left join longest on longest.doc_id = o.doc_id group by o.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op5_line_dedup": ORACLE_5}
+#: Windows of 200 bytes as hexadecimal text; a run is broken where no window that is repeated starts for over 200 bytes.
+ORACLE_2 = """
+with h as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+w as materialized (select doc_id, i, hash(substr(x, 2 * i + 1, 400)) as k from (select doc_id, x, unnest(range(0, length(x) // 2 - 199)) as i from h)),
+r as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) as gap from w where k in (select k from w group by k having count(*) > 1)),
+g as (select doc_id, i, sum(case when gap <= 200 then 0 else 1 end) over (partition by doc_id order by i) as run from r),
+s as (select doc_id, min(i) as a, max(i) + 200 as b from g group by doc_id, run),
+p as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as before from s),
+o as (select p.doc_id, sum(b - a) as removed, count(*) as spans, max(b) as last, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' order by a) as kept from p join h using (doc_id) group by p.doc_id)
+select h.doc_id, (length(x) // 2)::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from h left join o on o.doc_id = h.doc_id
+"""
+
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v[{i + 1}] >> {s}) & 31)::int, 1)" for i in range(8) for s in (15, 10, 5, 0))
+_DIGITS = ", ".join(f"('0x' || substr(sha1(p), {1 + 5 * i}, 5))::int" for i in range(8))
+#: Five hexadecimal digits of the digest are four of base 32.
+ORACLE_7 = f"""
+with a as (select page_id, encode(coalesce(html, '')) as p from pages),
+b as (select page_id, octet_length(p) as n, [{_DIGITS}] as v, max(page_id) over (partition by p) as last from a)
+select page_id, n::bigint as payload_bytes, {_BASE32} as payload_digest, case when last = page_id then 'response' else 'revisit' end as record_type, nullif(last, page_id) as refers_to from b
+"""
+
+ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op2_suffix_dedup": ORACLE_2, "op5_line_dedup": ORACLE_5, "op7_warc": ORACLE_7}
