@@ -165,4 +165,58 @@ b as (select page_id, octet_length(p) as n, [{_DIGITS}] as v, max(page_id) over
 select page_id, n::bigint as payload_bytes, {_BASE32} as payload_digest, case when last = page_id then 'response' else 'revisit' end as record_type, nullif(last, page_id) as refers_to from b
 """
 
-ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op2_suffix_dedup": ORACLE_2, "op5_line_dedup": ORACLE_5, "op7_warc": ORACLE_7}
+
+
+def _level(name: str, keys: str, up: str, weight: str, budget: str, source: str) -> str:
+    """Budgets of a level's nodes: children run dry in order of tokens by weight, the first that doesn't says what the others get."""
+    part = f"partition by {up}" if up else ""
+    return f"""{name}0 as (select {keys}, sum(cap) as c, {weight} as w, {budget} as b from {source} group by {keys}),
+{name}1 as (select *, coalesce(sum(c) over ({part} order by c / w, {keys} rows between unbounded preceding and 1 preceding), 0) as spent, sum(w) over ({part} order by c / w, {keys} rows between current row and unbounded following) as rest from {name}0),
+{name}2 as (select *, (b - spent) / rest as share, c <= (b - spent) / rest * w as dry from {name}1),
+{name} as (select {keys}, case when dry then c else w * (min(struct_pack(o := c / w, l := share)) filter (not dry) over ({part})).l end as b from {name}2)"""
+
+
+_WEIGHT = "case domain " + " ".join(f"when '{k[0]}' then {v}" for k, v in MIX_WEIGHTS.items()) + " else 1.0 end"
+ORACLE_3 = rf"""
+with a as (select doc_id, 'd' || (coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) as bigint), 0) % 4) as domain, coalesce(lang, '(none)') as lang, coalesce(source, '(none)') as source,
+len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::bigint as n from documents),
+l as (select domain, lang, source, sum(n)::bigint as supply, sum(n)::double * {MIX_EPOCHS} as cap from a group by 1, 2, 3),
+{_level('x', 'domain', '', _WEIGHT, f'(select sum(supply) * {MIX_SHARE}::double from l)', 'l')},
+{_level('y', 'domain, lang', 'domain', '1.0', 'any_value(b)', 'l join x using (domain)')},
+{_level('z', 'domain, lang, source', 'domain, lang', '1.0', 'any_value(b)', 'l join y using (domain, lang)')},
+q as (select domain, lang, source, supply, floor(b + 1e-6)::bigint as budget from l join z using (domain, lang, source)),
+e as (select doc_id, domain, lang, source, n, supply, budget, (budget - 1) // supply as last, unnest(range(0, ((budget - 1) // supply + 1)::bigint)) as epoch from a join q using (domain, lang, source) where n > 0 and budget > 0),
+r as (select *, sum(n) over (partition by domain, lang, source, epoch order by md5('mix-1:' || epoch || ':' || doc_id) rows unbounded preceding) as run from e)
+select doc_id, domain, lang, source, epoch::bigint as epoch, n as n_tokens, case when epoch < last then n else least(n, budget - supply * last - run + n) end::bigint as taken
+from r where epoch < last or budget - supply * last - run + n > 0
+"""
+
+
+
+def _rows(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
+
+
+_TEMPLATE_WORDS = [(label, w, q) for label, _, wording in license_scan.TEMPLATES for q, w in enumerate(wording.split(" ")) if w not in license_scan.COMMON]
+_PLACES = {label: "list_filter(range(len(w)), lambda i: " + " and ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(phrase.split(" "))) + ")" for phrase, label in license_scan.BASE.items()}
+#: Words joined to the templates' words wherever they stand, in files that have a template's key phrases.
+ORACLE_6 = rf"""
+with a as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{license_scan.LICENCE_WORD}') as w from documents),
+b as (select doc_id, w, ' ' || array_to_string(w, ' ') || ' ' as j, {', '.join(f'{p} as p{i}' for i, p in enumerate(_PLACES.values()))} from a),
+t(label, w, q) as (values {_rows(_TEMPLATE_WORDS)}), k(label, phrase) as (values {_rows([(label, p) for label, phrases, _ in license_scan.TEMPLATES for p in phrases])}),
+f as (select w, count(*) as df from (select distinct doc_id, unnest(w) as w from a) where w in (select w from t) group by w),
+d as (select t.label, t.w, t.q, ln(1 + (select count(*) from a) / (1 + coalesce(df, 0))) as idf from t left join f on f.w = t.w),
+m as (select label, sum(idf) as total from d group by label),
+o as (select doc_id, label from b, k group by doc_id, label having bool_and(contains(j, ' ' || phrase || ' '))),
+x as (select doc_id, unnest(w) as w, generate_subscripts(w, 1) - 1 as i from b where doc_id in (select doc_id from o)),
+h as (select o.doc_id, o.label, d.w, d.idf, d.q, x.i - d.q as start from o join x on x.doc_id = o.doc_id join d on d.label = o.label and d.w = x.w),
+r as (select doc_id, label, w from (select distinct doc_id, label, w, idf from h) qualify row_number() over (partition by doc_id, label order by idf desc, w) <= {license_scan.ANCHORS}),
+s as (select h.doc_id, h.label, least(1, sum(h.idf) / any_value(total)) as score from h join m on m.label = h.label left join r on r.doc_id = h.doc_id and r.label = h.label and r.w = h.w
+group by h.doc_id, h.label, h.start having sum(h.idf) / any_value(total) >= {license_scan.MIN_SCORE} and count(r.w) > 0),
+g as (select doc_id, list(distinct label) as found, round(max(score), 6) as score from s group by doc_id),
+e as (select *, list_concat({', '.join(f'p{i}' for i in range(len(_PLACES)))}) as p, list_filter([{', '.join(f"case when len(p{i}) > 0 then '{label}' end" for i, label in enumerate(_PLACES))}], lambda y: y is not null) as own from b)
+select e.doc_id, len(w)::bigint as n_words, len(p)::bigint as n_base, list_min(p)::bigint as first_word, list_max(p)::bigint as last_word, array_to_string(list_sort(own), ',') as base_labels,
+array_to_string(list_sort(list_distinct(list_concat(own, coalesce(found, [])))), ',') as labels, coalesce(score, 0)::double as score from e left join g on g.doc_id = e.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op2_suffix_dedup": ORACLE_2, "op3_source_mixing": ORACLE_3, "op5_line_dedup": ORACLE_5, "op6_license_scan": ORACLE_6, "op7_warc": ORACLE_7}
