@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,24 +32,30 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def written(df: DataFrame, tag: str, batch: int | None = None) -> DataFrame:
-    """The same rows from a Parquet table in the shared folder: later stages restart from it, not from its lineage. The
-    shuffle files of the writing go with it, since nothing reads them again. `batch`: rows at most that go to Python at
-    once, where rows are large."""
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    own = {CLEANUP: "true", **({BATCH: str(batch)} if batch else {})}
-    before = {k: spark.conf.get(k, None) for k in own}
+@contextmanager
+def configured(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """The session with other settings, as long as it lasts."""
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        for k, v in own.items():
+        for k, v in settings.items():
             spark.conf.set(k, v)
-        df.write.parquet(path)
+        yield
     finally:
         for k, v in before.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def written(df: DataFrame, tag: str, batch: int | None = None) -> DataFrame:
+    """The same rows from a Parquet table in the shared folder: later stages restart from it, not from its lineage. The
+    shuffle files of the writing go with it, since nothing reads them again. `batch`: rows at most that go to Python at
+    once, where rows are large."""
+    spark = df.sparkSession
+    path = new_path(spark, tag)
+    with configured(spark, **{CLEANUP: "true"}, **({BATCH: str(batch)} if batch else {})):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, text_or_empty, written
+from .common import BATCH, CLEANUP, configured, dropped, written
 
 SHINGLE, PERCENT = 5, 80
 FIRST, FREQUENT, BITS = 0.32, 24, 22
@@ -282,11 +282,13 @@ def counted_tokens(docs: DataFrame, first: np.ndarray | None) -> DataFrame:
 def frequent_bits(docs: DataFrame, first: np.ndarray | None = None) -> np.ndarray:
     """A bitmap: 2**BITS bits, whatever the number of tokens. Counts are by 31 bits of the hash: tokens that fall
     together may count as frequent, which costs more and loses nothing."""
-    often = counted_tokens(docs, first).groupBy("token").count().where(F.col("count") >= FREQUENT)
-    bucket = F.col("token").bitwiseAND(F.lit((1 << BITS) - 1))
-    words = often.select(F.shiftright(bucket, 6).alias("w"), F.expr(f"shiftleft(1L, (token & {(1 << BITS) - 1}) & 63)").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    with configured(docs.sparkSession, **{BATCH: str(TEXT_ROWS), CLEANUP: "true"}):
+        often = counted_tokens(docs, first).groupBy("token").count().where(F.col("count") >= FREQUENT)
+        bucket = F.col("token").bitwiseAND(F.lit((1 << BITS) - 1))
+        words = often.select(F.shiftright(bucket, 6).alias("w"), F.expr(f"shiftleft(1L, (token & {(1 << BITS) - 1}) & 63)").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+        rows = words.collect()  # 2**BITS / 64 at most
     bitmap = np.zeros(1 << BITS >> 6, dtype=U)
-    for r in words.collect():  # 2**BITS / 64 rows at most
+    for r in rows:
         bitmap[r.w] = U(r.b & 0xFFFFFFFFFFFFFFFF)
     return bitmap
 
