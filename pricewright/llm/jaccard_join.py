@@ -66,7 +66,7 @@ FACTOR = _seed.integers(1, 2**63, SHINGLE, dtype=np.int64).astype(U) | U(1)
 BASE = int(_seed.integers(1, 2**62)) * 8 + 5
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
