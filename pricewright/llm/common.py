@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricewright.sources.folders import shared_folder
@@ -77,3 +77,25 @@ def text_or_empty(name: str = "text") -> Column:
 
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
+
+
+#: Rows of a small table up to which it is sent to every task; beyond, it is shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def numbered(df: DataFrame, by: list[str], within: list[str], number: str, tag: str, also: str | None = None) -> DataFrame:
+    """`df` with the place of each row, from 0, in the order of `by` among the rows of equal `within`; nulls come first. `also`: a
+    column for the number of rows of equal `within`. One range shuffle: the rows are written in order, each with its place in its
+    task, and a table with a row for each task and group says how many stand before."""
+    order = [F.col(c).asc_nulls_first() for c in (*within, *by)]
+    d = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), tag)
+    part = F.shiftright("_at", 33)  # the upper bits of such an id are the task's number, the lower the row's in it
+    runs = d.groupBy(part.alias("_part"), *[F.col(c).alias(f"_w{i}") for i, c in enumerate(within)]).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    same = [f"_w{i}" for i in range(len(within))] or [F.lit(0)]
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = written(runs.select("*", (before - F.col("_first")).alias("_shift"), F.sum("_rows").over(Window.partitionBy(*same)).alias("_all")), f"{tag}-runs")
+    on = part == F.col("_part")
+    for i, c in enumerate(within):
+        on = on & F.col(c).eqNullSafe(F.col(f"_w{i}"))
+    d = d.join(F.broadcast(runs) if runs.count() <= BROADCAST_ROWS else runs, on)
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_at") + F.col("_shift")).alias(number), *([F.col("_all").alias(also)] if also else []))

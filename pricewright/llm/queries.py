@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, jaccard_join, license_scan, line_dedup, mixing, packing, quality_rules, secret_scan, suffix_dedup, warc
-from .common import new_path, table, written
+from . import ball_tree, fingerprint, jaccard_join, license_scan, line_dedup, merkle, mixing, packing, quality_rules, secret_scan, sharding, suffix_dedup, warc
+from .common import lower_ascii, new_path, table, text_or_empty, written
 
 #: Target weights among siblings of the mixing tree; 1 elsewhere.
 MIX_WEIGHTS = {("d0",): 4.0, ("d1",): 3.0, ("d2",): 2.0, ("d3",): 1.0}
@@ -78,6 +78,27 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = ball_tree.cluster(table(spark, sf_dir, "embeddings"))
+    return d.withColumn("centroid_sha256", ball_tree.centroid_sha256(F.col("centroid"))).drop("centroid")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 3 divides the crc32 of the id, the text held now is the lower-cased one."""
+    told = lambda text: merkle.digest(*map(F.col, ("doc_id", "source", "lang", "n_chars")), text)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 0
+    held = F.when(tampered, told(lower_ascii(F.col("text")))).otherwise(told(F.col("text")))
+    trees = merkle.Manifest(table(spark, sf_dir, "documents"), told(F.col("text")), also={"held": held})
+    return trees.verified("held").withColumnsRenamed({"key": "doc_id", "digest": "leaf"})
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = text_or_empty()
+    columns = {"size": F.octet_length(text).cast("long") + 16, "text_crc32": F.crc32(text.cast("binary"))}
+    d = sharding.shard(table(spark, sf_dir, "documents"), F.array(F.unhex(F.sha2(text, 256))), columns)
+    return d.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -92,6 +113,9 @@ QUERIES = {
         op8_packing,
         op9_quality_rules,
         op10_secret_scan,
+        op11_ball_tree,
+        op12_merkle,
+        op13_sharding,
     )
 }
 
