@@ -243,4 +243,58 @@ select e.doc_id, len(w)::bigint as n_words, len(p)::bigint as n_base, list_min(p
 array_to_string(list_sort(list_distinct(list_concat(own, coalesce(found, [])))), ',') as labels, coalesce(score, 0)::double as score from e left join g on g.doc_id = e.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op2_suffix_dedup": ORACLE_2, "op3_source_mixing": ORACLE_3, "op5_line_dedup": ORACLE_5, "op6_license_scan": ORACLE_6, "op7_warc": ORACLE_7}
+_SQUARED = "(list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c))"
+#: Rounds written out; components are whole numbers in doubles, whose sums of products are exact here.
+_ASSIGNED = lambda r: f"n{r} as materialized (select vec_id, x, min(struct_pack(d := {_SQUARED}, k := k)) as b from v, c{r} group by vec_id, x)"
+_MOVED = lambda r: f"""s{r} as (select k, list(floor(t / n) order by j) as c from (select b.k as k, j, sum(x[j]) as t, count(*) as n from n{r}, (select unnest(range(1, 65)) as j) group by b.k, j) group by k),
+c{r + 1} as materialized (select k, coalesce(s{r}.c, c{r}.c) as c from c{r} left join s{r} using (k))"""
+ORACLE_11 = f"""
+with v as materialized (select vec_id, list_transform(embedding, lambda e: floor(256 * e::double)) as x from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64),
+c0 as materialized (select k, x as c from (select row_number() over (order by sha256('2:' || vec_id)) - 1 as k, x from v) where k < 40),
+{', '.join(f'{_ASSIGNED(r)}, {_MOVED(r)}' for r in range(5))}, {_ASSIGNED(5)}
+select vec_id, b.k::int as cluster, b.d::bigint as distance, (sum(b.d) over (partition by b.k))::bigint as cluster_inertia, (sum(b.d) over ())::bigint as inertia,
+sha256(array_to_string(list_transform(c, lambda e: e::bigint::varchar), ',')) as centroid_sha256 from n5 join c5 on c5.k = n5.b.k
+"""
+
+#: Levels of a tree that the SQL goes up to, more than the tables need.
+_HEIGHT, _ARITY = 8, merkle.ARITY
+_FIELD = lambda c: f"coalesce(octet_length(encode({c}::varchar)) || ':' || {c}::varchar, '-')"
+_LEAF = lambda text: f"sha256({' || '.join([_FIELD(c) for c in ('doc_id', 'source', 'lang', 'n_chars')] + [_FIELD(text)])})"
+
+#: The checksum of the id's digits, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(doc_id::varchar, ''), lambda y: [ascii(y)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+lambda a, y: case when y >= 0 then xor(a, y) else xor(a >> 1, case when a & 1 = 1 then 3988292384 else 0 end) end), 4294967295)"""
+
+
+def _tree(name: str, group: str, leaves: str) -> str:
+    """name0 to name8: `group`, i, d and l, the digests of the node's run, level by level; a lone node stays as it is."""
+    out = [f"{name}0 as materialized (select *, list(d) over (partition by {group}, i // {_ARITY} order by i rows between unbounded preceding and unbounded following) as l, count(*) over (partition by {group}) as n from ({leaves}))"]
+    for k in range(1, _HEIGHT + 1):
+        up = f"select {group}, case when n = 1 then i else i // {_ARITY} end as i, case when any_value(n) = 1 then any_value(d) else sha256(string_agg(d, '' order by i)) end as d from {name}{k - 1} group by {group}, n, 2"
+        out.append(f"{name}{k} as materialized (select *, list(d) over (partition by {group}, i // {_ARITY} order by i rows between unbounded preceding and unbounded following) as l, count(*) over (partition by {group}) as n from ({up}))")
+    return ", ".join(out)
+
+
+def _climbed(name: str, group: str, source: str) -> str:
+    """`source` (group, i, proof, now) taken up the tree `name`: siblings are joined to the proof, and now becomes the folded digest."""
+    out = source
+    for k in range(_HEIGHT):
+        at = f"(s.i % {_ARITY})"
+        out = f"""(select s.* exclude (i, proof, now), case when n = 1 then s.i else s.i // {_ARITY} end as i, case when n = 1 then proof else proof || array_to_string(l[1:{at}], '') || array_to_string(l[{at} + 2:], '') end as proof,
+case when n = 1 then now else sha256(array_to_string(l[1:{at}], '') || now || array_to_string(l[{at} + 2:], '')) end as now from {out} s join {name}{k} t on t.i = s.i and t.{group} is not distinct from s.{group})"""
+    return out
+
+
+ORACLE_12 = f"""
+with a as (select *, {_LEAF('text')} as leaf from documents),
+b as (select *, row_number() over (partition by lang order by doc_id) - 1 as i from a),
+{_tree('t', 'lang', 'select lang, i, leaf as d from b')},
+g as (select lang, d, row_number() over (order by lang nulls first) - 1 as j from t{_HEIGHT}),
+{_tree('u', 'one', 'select 1 as one, j as i, d from g')},
+o as (select doc_id, leaf, lang, i, '' as proof, case when {_CRC32} % 3 = 0 then {_LEAF("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} else leaf end as now from b),
+p as (select s.doc_id, s.leaf, g.d as subroot, 1 as one, g.j as i, proof, now from {_climbed('t', 'lang', 'o')} s join g on g.lang is not distinct from s.lang)
+select doc_id, leaf, subroot, r.d as root, sha256(proof) as proof_sha256, now as folded_root, now = r.d as verified from {_climbed('u', 'one', 'p')} s, u{_HEIGHT} r
+"""
+
+ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op2_suffix_dedup": ORACLE_2, "op3_source_mixing": ORACLE_3, "op5_line_dedup": ORACLE_5, "op6_license_scan": ORACLE_6, "op7_warc": ORACLE_7, "op11_ball_tree": ORACLE_11, "op12_merkle": ORACLE_12}

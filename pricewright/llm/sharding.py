@@ -95,15 +95,17 @@ class Labels:
         weight = here.groupBy(F.col("key").alias("_key"), F.col("shard").alias("at")).agg(F.sum("n").alias("w"))
         weight = written(weight.groupBy("_key").agg(F.collect_list(F.struct("at", "w")).alias("weights")), "weights")  # shards at most, in a row
         votes = self.links.join(weight, F.col("key") == F.col("_key")).select("v", F.explode("weights").alias("x")).groupBy("v", "x.at").agg(F.sum("x.w").alias("w"))
-        # A hash of the keys orders shards of equal votes; all vertices of a key have the same.
-        tie = F.xxhash64(F.col("v.keys"), F.col("at"))
+        # A hash of the keys and the round orders shards of equal votes; vertices of the same keys have the same.
+        tie = F.xxhash64(F.col("v.keys"), F.col("at"), F.lit(turn))
         ranked = votes.groupBy(F.col("v").alias("_v")).agg(F.reverse(F.array_sort(F.collect_list(F.struct("w", tie.alias("tie"), "at")))).alias("votes"))
         d = self.vertices.join(ranked, F.col("v") == F.col("_v")).drop("_v")
         closed = F.array(*map(F.lit, self.closed)).cast("array<int>")
         own = F.filter("votes", lambda x: x.at == F.col("shard"))[0]
         all_ = F.aggregate("votes", F.lit(0).cast("long"), lambda s, x: s + x.w)
         some = F.ceil(all_ / max(1, min(self.quota))).cast("int")
-        best = F.slice(F.filter("votes", lambda x: (x.at == F.col("shard")) | ~F.array_contains(closed, x.at)), F.lit(1), some)
+        # A neighbourhood that fits a shard leaves one that takes no more of it; a larger one keeps what it has.
+        mine = lambda x: (x.at == F.col("shard")) & ((some > 1) | ~F.array_contains(closed, F.col("shard")))
+        best = F.slice(F.filter("votes", lambda x: mine(x) | ~F.array_contains(closed, x.at)), F.lit(1), some)
         mix = F.xxhash64(F.col("v"), F.lit(turn))
         to = F.get(best, F.pmod(mix, F.greatest(F.size(best), F.lit(1)).cast("long")).cast("int"))
         d = d.select("v", "n", "shard", own.alias("own"), F.exists(best, lambda x: x.at == F.col("shard")).alias("stays"), to.alias("to"))
