@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pricewright.functions.text import normalize_name
 from pricewright.sources.folders import stored
 
+from .ordered import exact_quantiles, numbered_lines
 from .stats import kernel, round_to_one, samples
 
 #: The parts of a build in order, the usages that estimates and ratios have, in order.
@@ -37,13 +38,13 @@ BUNDLED_COOLER = r"(?i)기본\s*쿨러|번들\s*쿨러|쿨러\s*포함|쿨러포
 
 
 def read_estimates(spark: SparkSession, path: str) -> DataFrame:
-    """_c0 to _c45 and row (number of the line in its file): cells by position; header and empty lines are left out. Lines are numbered
-    within files in the order in which Spark reads them, for keep-first rules."""
+    """_c0 to _c45 and row: cells by position; header and empty lines are left out. Lines are numbered over all files in order of
+    the files' names, for keep-first rules, however the files are split."""
     schema = ", ".join(f"_c{i} string" for i in range(CELLS))
-    d = spark.read.schema(schema).option("header", False).option("multiLine", False).csv(path)
+    d = numbered_lines(spark.read.schema(schema).option("header", False).option("multiLine", False).csv(path), "row")
     first = F.lower(F.trim(F.coalesce("_c0", F.lit(""))))
     some = F.coalesce(*[F.col(f"_c{i}") for i in range(CELLS)]).isNotNull()
-    return d.withColumn("row", F.monotonically_increasing_id()).where(some & (first != "usage"))
+    return d.where(some & (first != "usage"))
 
 
 def whole(cell: Column) -> Column:
@@ -77,7 +78,8 @@ def validated(rows: DataFrame) -> DataFrame:
         ("NO_GPU", (F.col("usage") == "GAMING") & (F.get(price, PARTS.index("GPU")) <= 0)),
     ]
     reason = F.coalesce(*[F.when(F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in checks])
-    return d.withColumn("reason", reason).withColumn("parts", F.transform("parts", lambda p: p.dropFields("told"))).drop("_short")
+    # Written: a filter on the reason would else be pushed down with the parsing of all cells behind each check.
+    return stored(d.withColumn("reason", reason).withColumn("parts", F.transform("parts", lambda p: p.dropFields("told"))).drop("_short"))
 
 
 def config(parts: Column) -> Column:
@@ -93,7 +95,7 @@ def cleaned(valid: DataFrame) -> DataFrame:
     d = valid.join(first, F.col("reason").isNull() & (F.col("usage") == F.col("_u")) & F.col("product_id").eqNullSafe(F.col("_p")), "left")
     d = d.withColumn("reason", F.when(F.col("row") > F.col("_first"), "DUPLICATE_ID").otherwise(F.col("reason"))).drop("_u", "_p", "_first")
     key = F.sha2(F.to_json(F.struct("usage", config(F.col("parts")).alias("c"))), 256)
-    d = d.withColumn("_key", key)
+    d = stored(d.withColumn("_key", key))
     first = d.where("reason is null").groupBy(F.col("_key").alias("_k")).agg(F.min("row").alias("_first"))
     d = d.join(first, F.col("reason").isNull() & (F.col("_key") == F.col("_k")), "left")
     return d.withColumn("reason", F.when(F.col("row") > F.col("_first"), "DUPLICATE_CONFIG").otherwise(F.col("reason"))).drop("_key", "_k", "_first")
@@ -107,7 +109,7 @@ def shares(estimates: DataFrame) -> DataFrame:
 def budget_points(estimates: DataFrame, step: int = STEP) -> DataFrame:
     """usage, point: multiples of the step, for OFFICE from under the least budget to over the largest, else from over the
     least to under the largest; where that leaves none, the one nearest the median (half to even), one step at least."""
-    r = estimates.groupBy("usage").agg(F.min("budget").alias("lo"), F.max("budget").alias("hi"), F.median("budget").alias("mid"))
+    r = exact_quantiles(estimates, ["usage"], "budget", {"lo": 0.0, "hi": 1.0, "mid": 0.5})
     down, up = (lambda c: F.floor(c / step) * step), (lambda c: F.ceil(c / step) * step)
     office = F.col("usage") == "OFFICE"
     low = F.when(office, F.greatest(F.lit(step), down(F.col("lo")))).otherwise(up(F.col("lo"))).cast("bigint")
@@ -121,14 +123,22 @@ def ratio_table(estimates: DataFrame, step: int = STEP, radius: int = RADIUS, le
     """usage, budget, eight ratios as decimal(8,6) that add up to 1, for each point of each usage's grid. OFFICE blends
     all of its estimates alike, once; other usages weigh those of a point by their distance."""
     rows = stored(shares(estimates))
-    points = budget_points(estimates, step)
-    mean = lambda r, w: F.sum(F.col(r) * w) / F.sum(w)
-    mixed = lambda w: [(MEAN_SHARE * mean(r, w) + (1 - MEAN_SHARE) * F.median(r)).alias(r) for r in RATIOS]
-    office = rows.where("usage = 'OFFICE'").groupBy("usage").agg(*mixed(F.lit(1.0))).withColumnRenamed("usage", "_u")
-    office = points.join(office, F.col("usage") == F.col("_u")).select("usage", F.col("point").alias("budget"), *RATIOS)
-    # OFFICE is blended whole, so its rows look for no neighbours.
-    others = samples(rows.where("usage != 'OFFICE'"), points.where("usage != 'OFFICE'"), "usage", "budget", "row", radius, least, nearest).groupBy("usage", "point").agg(*mixed(kernel(F.col("distance"), step))).withColumnRenamed("point", "budget")
-    return one_in_all(office.unionByName(others))
+    points = stored(budget_points(rows, step))
+    # OFFICE is blended whole, so its rows look for no neighbours and have no point.
+    office = rows.where("usage = 'OFFICE'").withColumns({"point": F.lit(None).cast("bigint"), "distance": F.lit(0.0)})
+    others = samples(rows.where("usage != 'OFFICE'"), points.where("usage != 'OFFICE'"), "usage", "budget", "row", radius, least, nearest)
+    each = others.withColumn("distance", F.col("distance").cast("double")).unionByName(office)
+    each = each.withColumn("w", F.when(F.col("usage") == "OFFICE", 1.0).otherwise(kernel(F.col("distance"), step)))
+    each = stored(each.select("usage", "point", "w", F.posexplode(F.array(*RATIOS)).alias("i", "x")))
+    key = ["usage", "point", "i"]
+    mean = each.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg((F.sum(F.col("x") * F.col("w")) / F.sum("w")).alias("mean"))
+    on = F.lit(True)
+    for k in key:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    mixed = exact_quantiles(each, key, "x", {"median": 0.5}).join(mean, on).withColumn("x", MEAN_SHARE * F.col("mean") + (1 - MEAN_SHARE) * F.col("median"))
+    wide = mixed.groupBy("usage", "point").agg(*[F.max(F.when(F.col("i") == i, F.col("x"))).alias(r) for i, r in enumerate(RATIOS)])
+    office = points.where("usage = 'OFFICE'").withColumnRenamed("usage", "_u").join(wide.drop("point"), F.col("usage") == F.col("_u")).select("usage", F.col("point").alias("budget"), *RATIOS)
+    return one_in_all(office.unionByName(wide.where("point is not null").select("usage", F.col("point").alias("budget"), *RATIOS)))
 
 
 def one_in_all(ratios: DataFrame) -> DataFrame:
@@ -242,7 +252,7 @@ def build_checked(merged: DataFrame, pages: DataFrame, keys: list[str]) -> DataF
     for p in [*REQUIRED, "GPU", "COOLER"]:
         allowed = {"GPU": built_in, "COOLER": bundled}.get(p, F.lit(False))
         tests += [(f"MISSING_{p}", F.col(p).isNull() & ~F.coalesce(allowed, F.lit(False))), (f"ZERO_{p}", F.col(f"{p}.price") <= 0)]
-    d = d.withColumn("reason", F.coalesce(*[F.when(F.coalesce(t, F.lit(False)), F.lit(k)) for k, t in tests]))
+    d = stored(d.withColumn("reason", F.coalesce(*[F.when(F.coalesce(t, F.lit(False)), F.lit(k)) for k, t in tests])))
     d = d.withColumns({"GPU": F.when(built_in, free("내장그래픽")).otherwise(F.col("GPU").cast(kind)), "COOLER": F.when(bundled, free("CPU 기본 쿨러")).otherwise(F.col("COOLER").cast(kind))})
     total = sum((F.col(f"{p}.price") for p in PARTS), F.lit(0).cast("bigint"))
     d = d.withColumn("parts_total", F.when(F.col("reason").isNull(), total))

@@ -6,12 +6,15 @@ product, with complete tie-breaks, so results don't depend on partitioning.
 
 from __future__ import annotations
 
-import difflib
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from pricewright.functions import similarity
+from pricewright.sources.folders import stored
+
+from .ordered import exact_quantiles, small
 
 
 def best_match(products: DataFrame, scores: DataFrame, key: str, product_id: str, score: Column, order: list, agrees: Column | None = None) -> DataFrame:
@@ -45,19 +48,27 @@ def known_conflict(a: Column, b: Column) -> Column:
     return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
 
 
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity; run it on distinct pairs, after blocking and cheap guards."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else None for x, y in zip(a, b, strict=True)])
-
-
 def capacity_distance(a: Column, b: Column) -> Column:
     """abs(ln a/b); null where either isn't over 0."""
     return F.when((a > 0) & (b > 0), F.abs(F.log(a.cast("double") / b)))
 
 
 def median_representative(df: DataFrame, group: list[str], top: Column, value: str, name: str) -> DataFrame:
-    """Of each group's rows with the highest `top`, the one nearest their median value, then by name."""
+    """Of each group's rows with the highest `top`, the one nearest their median value, then by name. Aggregates and an
+    exact quantile, so a group of any size is no task's."""
+    d = stored(df.withColumn("_top", top).where(F.col("_top").isNotNull()))
+    same = lambda side: [F.col(c).alias(f"_{side}{i}") for i, c in enumerate(group)]
+    on = lambda side: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{side}{i}")) for i, c in enumerate(group)])
+    highest = d.groupBy(*same("a")).agg(F.max("_top").alias("_max"))
+    best = stored(d.join(small(highest), on("a") & (F.col("_top") == F.col("_max"))).select(*df.columns))
+    middle = exact_quantiles(best, group, value, {"_mid": 0.5}).select(*same("b"), "_mid")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    nearest = F.struct(F.abs(F.col(value) - F.col("_mid")).alias("d"), F.col(name).alias("n"), row.alias("row"))
+    return best.join(small(middle), on("b")).groupBy(*same("c")).agg(F.min(nearest).alias("_x")).select("_x.row.*")
+
+
+def candidate_representative(df: DataFrame, group: list[str], top: Column, value: str, name: str) -> DataFrame:
+    """As median_representative, by windows: for groups that are one product's few candidates."""
     best = df.withColumn("_top", top).withColumn("_max", F.max("_top").over(Window.partitionBy(*group))).where("_top = _max")
     best = best.withColumn("_mid", F.median(value).over(Window.partitionBy(*group)))
     w = Window.partitionBy(*group).orderBy(F.abs(F.col(value) - F.col("_mid")), name)
@@ -93,9 +104,11 @@ def without_conflicts(df: DataFrame, key: str, label: str) -> DataFrame:
     return df.join(twice, key, "left_anti")
 
 
-def ratios_by_pair(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Similarity of each distinct pair of texts, once."""
-    return pairs.select(a, b).distinct().withColumn("ratio", sequence_ratio(F.col(a), F.col(b)))
+def ratios_by_pair(pairs: DataFrame, a: str, b: str, least: float = 0.0) -> DataFrame:
+    """a, b, ratio: similarity of each distinct pair of texts, once, of those that reach `least`. Letters in common rule most
+    pairs out before anything is compared."""
+    some = pairs.select(a, b).distinct().where(similarity.bound(F.col(a), F.col(b)) >= least)
+    return stored(some).withColumn("ratio", similarity.ratio(F.col(a), F.col(b))).where(F.col("ratio") >= least)
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], replace: Column) -> DataFrame:

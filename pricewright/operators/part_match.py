@@ -14,6 +14,7 @@ from pricewright.functions import memory, text
 from pricewright.sources.folders import stored
 
 from .matching import cascade, known_conflict
+from .ordered import exact_quantiles
 from .quality import score_value
 from .stats import normal_sums, solve
 
@@ -102,7 +103,8 @@ def estimator(b: DataFrame) -> tuple[list[float], float, float] | None:
     fit = solve(normal_sums(rows, _regressors(F.col("g.speed"), F.col("g.cl"), F.col("g.capacity_gb")), F.col("bench_score")), 4, LEAST_ROWS)
     if fit is None:
         return None
-    low, high = rows.agg(F.percentile("bench_score", F.lit(0.02)), F.percentile("bench_score", F.lit(0.98))).first()
+    ends = exact_quantiles(rows, [], "bench_score", {"low": 0.02, "high": 0.98}).first()
+    low, high = ends.low, ends.high
     return fit, max(1.0, low - 2.0), max(high + 8.0, 30.0)
 
 

@@ -6,6 +6,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewright.sources.folders import stored
+
+from .ordered import running_sum, small
+
 
 def budget_grid(df: DataFrame, usage: str, budget: str, step: int) -> DataFrame:
     """usage, point: multiples of `step` from the one under the least budget to the one over the largest."""
@@ -16,28 +20,47 @@ def budget_grid(df: DataFrame, usage: str, budget: str, step: int) -> DataFrame:
 
 def samples(df: DataFrame, grid: DataFrame, usage: str, budget: str, row_id: str, radius: int, least: int, nearest: int) -> DataFrame:
     """For each grid point the rows within the radius if there are `least` of them, else the `nearest` by distance, budget
-    and id. With `distance`.
+    and id. With `distance`. Rows without a budget are no samples.
 
-    Budgets are dealt to buckets as wide as the radius, so a point's rows are an equi-join on three of them. A point
-    with too few rows has fewer than `least` in its own bucket, and of any other bucket only the end towards it matters: the
-    `nearest` lowest and highest rows of each bucket are all it can need, however many rows there are."""
+    Rows are first counted by usage and budget, however many share one. One order over these counts and the points'
+    marks says how many rows stand before each, so a point knows how many are within its radius without reading them, and
+    the neighbours of one that has too few are the budgets whose places are next to its own: at most `nearest` on either
+    side, found by equal buckets of places. Of a budget that many rows share, the first by id are taken."""
     if least > nearest:
         raise ValueError("least must not be over nearest")
-    bucket = lambda c: F.floor(c / radius)
-    g = grid.select(F.col(usage).alias("_u"), F.col("point"), bucket(F.col("point")).alias("_pb"))
-    reach = F.explode(F.array(*[bucket(F.col(budget)) + i for i in (-1, 0, 1)]))
-    distance = F.abs(F.col(budget) - F.col("point"))
-    close = df.withColumn("_b", reach).join(g, (F.col(usage) == F.col("_u")) & (F.col("_b") == F.col("_pb"))).withColumn("distance", distance).where(F.col("distance") <= radius)
-    full = close.groupBy("_u", "point").agg(F.count("*").alias("_c")).where(F.col("_c") >= least).select(F.col("_u").alias("_v"), F.col("point").alias("_p"))
-    is_full = (F.col("_u") == F.col("_v")) & (F.col("point") == F.col("_p"))
+    known = df.where(F.col(budget).isNotNull())
+    held = known.groupBy(F.col(usage).alias("_u"), F.col(budget).alias("_v")).agg(F.count("*").alias("_n"))
+    mark = lambda i, v, side: F.struct(F.lit(i).alias("i"), v.cast(held.schema["_v"].dataType).alias("v"), F.lit(side).alias("side"))
+    at = F.col("point")
+    # Marks stand before (0) or after (2) the rows (1) of an equal budget.
+    marks = grid.select(F.col(usage).alias("_u"), at.cast("double").alias("_point"), F.explode(F.array(mark(0, at - radius, 0), mark(1, at, 0), mark(2, at + radius, 2))).alias("_m"))
+    marks = marks.select("_u", F.col("_m.v").alias("_v"), F.lit(0).cast("long").alias("_n"), F.col("_m.side").alias("_side"), "_point", F.col("_m.i").alias("_i"))
+    both = held.select("_u", "_v", "_n", F.lit(1).alias("_side"), F.lit(None).cast("double").alias("_point"), F.lit(None).cast("int").alias("_i")).unionByName(marks)
+    both = stored(running_sum(both, ["_u"], ["_v", "_side"], F.col("_n"), "_before"))
+    of = lambda i: F.max(F.when(F.col("_i") == i, F.col("_before")))
+    counts = both.where("_i is not null").groupBy("_u", "_point").agg((of(2) - of(0)).alias("_local"), of(1).alias("_k"))
+    points = stored(grid.select(F.col(usage).alias("_g"), "point").distinct().join(counts, F.col("_g").eqNullSafe(F.col("_u")) & (F.col("point").cast("double") == F.col("_point"))).drop("_g", "_point"))
+
     columns = [*df.columns, "point", "distance"]
-    local = close.join(full, is_full, "left_semi").select(*columns)
-    thin = g.join(full, is_full, "left_anti").drop("_pb")
-    own = Window.partitionBy(usage, bucket(F.col(budget)))
-    ends = [df.withColumn("_n", F.row_number().over(own.orderBy(o, row_id))).where(F.col("_n") <= nearest).drop("_n") for o in (F.col(budget).asc(), F.col(budget).desc())]
-    heads = ends[0].unionByName(ends[1]).dropDuplicates([usage, row_id])
-    by = Window.partitionBy("_u", "point").orderBy("distance", budget, row_id)
-    far = heads.join(thin, F.col(usage) == F.col("_u")).withColumn("distance", distance).withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= nearest)
+    distance = F.abs(F.col(budget) - F.col("point"))
+    bucket = lambda c: F.floor(c / radius)
+    full = points.where(F.col("_local") >= least).select("_u", "point", F.explode(F.array(*[bucket(F.col("point")) + i for i in (-1, 0, 1)])).alias("_b"))
+    local = known.join(small(full), (F.col(usage) == F.col("_u")) & (bucket(F.col(budget)) == F.col("_b"))).withColumn("distance", distance).where(F.col("distance") <= radius).select(*columns)
+
+    places = both.where("_i is null").select(F.col("_u").alias("_w"), F.col("_v").alias("_budget"), "_n", F.col("_before").alias("_first"), (F.col("_before") + F.col("_n") - 1).alias("_last"))
+    thin = points.where(F.col("_local") < least).select("_u", "point", "_k")
+    near = lambda c: F.floor(c / nearest)
+    sides = []
+    for place, edge, step, test in (("_first", F.col("_k"), 1, (F.col("_first") >= F.col("_k")) & (F.col("_first") < F.col("_k") + nearest)), ("_last", F.col("_k") - 1, -1, (F.col("_last") < F.col("_k")) & (F.col("_last") >= F.col("_k") - nearest))):
+        asked = thin.select("_u", "point", "_k", F.explode(F.array(near(edge), near(edge) + step)).alias("_b"))
+        sides.append(places.join(small(asked), (F.col("_w") == F.col("_u")) & (near(F.col(place)) == F.col("_b"))).where(test).select("_u", "point", "_budget", "_n"))
+    by = Window.partitionBy("_u", "point").orderBy(F.abs(F.col("_budget") - F.col("point")), "_budget").rowsBetween(Window.unboundedPreceding, -1)
+    taken = sides[0].unionByName(sides[1]).withColumn("_take", F.lit(nearest) - F.coalesce(F.sum("_n").over(by), F.lit(0))).where("_take > 0")
+    taken = stored(taken.select(F.col("_u").alias("_t"), "_budget", "point", "_take"))
+    wanted = taken.select(F.col("_t").alias("_s"), F.col("_budget").alias("_c")).distinct()
+    heads = known.join(small(wanted), (F.col(usage) == F.col("_s")) & (F.col(budget) == F.col("_c")), "left_semi")
+    heads = heads.withColumn("_n", F.row_number().over(Window.partitionBy(usage, budget).orderBy(row_id))).where(F.col("_n") <= nearest)
+    far = heads.join(small(taken), (F.col(usage) == F.col("_t")) & (F.col(budget) == F.col("_budget"))).where("_n <= _take").withColumn("distance", distance)
     return local.unionByName(far.select(*columns))
 
 
@@ -74,19 +97,3 @@ def solve(sums: DataFrame, k: int, least: int = 50) -> list[float] | None:
         return None
     m = np.array([[r[f"x{min(i, j)}{max(i, j)}"] for j in range(k)] for i in range(k)])
     return np.linalg.lstsq(m, np.array([r[f"y{i}"] for i in range(k)]), rcond=None)[0].tolist()
-
-
-def cheapest_build(parts: dict[str, DataFrame], price: str = "price") -> DataFrame:
-    """One row: the cheapest compatible build from cpu (socket, memory), mainboard (socket, memory, size), ram (memory),
-    gpu (length, power), case (size, gpu_length, cooler_length), power (wattage), cooler (socket, cooler_length), ssd.
-    Each side is cut to its cheapest offer for each compatibility key before it is joined, so joins are of short tables."""
-    low = lambda name, *keys: parts[name].groupBy(*keys).agg(F.min(price).alias(f"{name}_price")) if keys else parts[name].agg(F.min(price).alias(f"{name}_price"))
-    b = low("cpu", "socket", "memory").join(low("mainboard", "socket", "memory", "size"), ["socket", "memory"]).join(low("ram", "memory"), "memory")
-    b = b.join(low("cooler", "socket", "cooler_length").withColumnRenamed("cooler_length", "_cooler"), "socket")
-    case = low("case", "size", "gpu_length", "cooler_length")
-    b = b.join(case, "size").where("_cooler <= cooler_length")
-    gpu, power = low("gpu", "length", "power"), low("power", "wattage")
-    fed = gpu.join(power, F.col("wattage") >= F.col("power")).groupBy("length").agg(F.min(F.col("gpu_price") + F.col("power_price")).alias("gpu_power_price"))
-    b = b.join(fed, F.col("length") <= F.col("gpu_length")).join(low("ssd"), F.lit(True))
-    total = F.col("cpu_price") + F.col("mainboard_price") + F.col("ram_price") + F.col("cooler_price") + F.col("case_price") + F.col("gpu_power_price") + F.col("ssd_price")
-    return b.agg(F.min(total).alias("total_price"))

@@ -136,13 +136,18 @@ def _cheapest(options: Column) -> Column:
     return F.reverse(F.filter(s, lambda x, i: (i == 0) | ~same(x, F.get(s, i - 1))))
 
 
-def _expanded(d: DataFrame, rows: Column, mode: Column, keep: list[str]) -> DataFrame:
+def _expanded(d: DataFrame, keep: list[str]) -> DataFrame:
     """A row for each of `rows`; a card without any keeps its mode and has nulls."""
-    return d.withColumns({"_rows": rows, "mode": mode}).select(*keep, "mode", F.explode_outer("_rows").alias("_r")).select(*keep, "mode", "_r.*")
+    return d.select(*keep, "mode", F.explode_outer("rows").alias("_r")).select(*keep, "mode", "_r.*")
 
 
 def memory_rows(cards: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, mode, and name, price, memory_type, memory_clock, capacity, module_count for each kit that a card offers.
+    """keep, mode, and name, price, memory_type, memory_clock, capacity, module_count for each kit that a card offers."""
+    return _expanded(memory_options(cards), keep)
+
+
+def memory_options(cards: DataFrame) -> DataFrame:
+    """`cards` (as listed() gives them) with mode, and rows: the kits that a card offers, null where it has none.
 
     Modes with rows: multi-option, single. Without: spec-missing, ambiguous-capacity, capacity-missing, price-missing,
     invalid-price, module-count-missing."""
@@ -176,7 +181,7 @@ def memory_rows(cards: DataFrame, keep: list[str]) -> DataFrame:
         .otherwise("single")
     )
     rows = F.when(mode == "multi-option", F.col("_many")).when(mode == "single", F.array(kit(named, F.col("_price"), capacity, F.col("_base.module_count"))))
-    return _expanded(d, rows, mode, keep)
+    return d.withColumns({"rows": rows, "mode": mode})
 
 
 def _drive_gb(text: Column, pattern: str) -> Column:
@@ -205,7 +210,12 @@ def drive_offer(offer: Column) -> Column:
 
 
 def drive_rows(cards: DataFrame, keep: list[str]) -> DataFrame:
-    """keep, mode, and name, price, capacity for each capacity of a drive that a card offers.
+    """keep, mode, and name, price, capacity for each capacity of a drive that a card offers."""
+    return _expanded(drive_options(cards), keep)
+
+
+def drive_options(cards: DataFrame) -> DataFrame:
+    """`cards` (as listed() gives them) with mode, and rows: the capacities that a card offers, null where it has none.
 
     Modes with rows: multi-option, single-name, fallback. Without: single-invalid-price, capacity-missing, fallback-invalid-price."""
     card = F.col("card")
@@ -226,4 +236,4 @@ def drive_rows(cards: DataFrame, keep: list[str]) -> DataFrame:
     )
     named = F.concat(F.col("name"), F.lit(" ("), specs.drive_label(F.col("_gb")), F.lit(")"))
     rows = F.when(mode == "multi-option", F.col("_many")).when(mode == "single-name", F.array(row(F.col("name"), F.col("price"), F.col("_own")))).when(mode == "fallback", F.array(row(named, F.col("price"), F.col("_gb"))))
-    return _expanded(d, rows, mode, keep)
+    return d.withColumns({"rows": rows, "mode": mode})

@@ -10,7 +10,7 @@ from pricewright.operators import matching as M
 from pricewright.operators import quality as Q
 from pricewright.operators import stats as S
 from pricewright.operators.storage_match import match_storage
-from pricewright.sources import catalog
+from pricewright.sources import cards as C
 from pricewright.streaming import pages as P
 
 QUERIES: dict = {}
@@ -85,7 +85,7 @@ def url_identity(spark, sf):
 @query("""with c as (select page_id, unnest(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')) as x from pages)
 select page_id, replace(regexp_extract(x, 'href="([^"]*)"', 1), '&amp;', '&') as href, trim(replace(regexp_extract(x, '">([^<]*)</a>', 1), '&amp;', '&')) as name from c""")
 def html_cards(spark, sf):
-    return t(spark, sf, "pages").select("page_id", F.explode(catalog.html_cards("html")).alias("card")).select("page_id", "card.href", "card.name")
+    return C.linked_items(t(spark, sf, "pages")).select("page_id", "item.href", "item.name")
 
 
 @query("""select page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">', 1)) as href from pages""")
@@ -93,11 +93,18 @@ def card_variant_explode(spark, sf):
     return t(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)">'), F.lit(1))).alias("href"))
 
 
-@query("""with s as (select page_id, array_to_string(list_transform(regexp_extract_all(html, '<li>(.*?)</li>', 1)[1:8], lambda x: left(regexp_replace(x, '<[^>]*>', '', 'g'), 120)), '||') as signature from pages)
-select signature, min(page_id) as page_id from s group by signature""")
+@query("""select page_id, case when page_id % 5 < 4 then 'Item ' || page_id % 37 || case when page_id % 2 = 0 then ' 새' else '' end || case when page_id % 5 > 1 then '||Second ' || page_id % 3 else '' end end as signature from pages
+qualify page_id % 5 = 4 or row_number() over (partition by signature order by page_id) = 1""")
 def page_signature_dedup(spark, sf):
-    d = t(spark, sf, "pages").select("page_id", P.signature(F.col("html")).alias("signature"))
-    return Q.keep_first(d, ["signature"], ["page_id"])
+    """Pages as listings of both layouts, with attributes; every fifth has no cards and stays."""
+    p = F.col("page_id")
+    n = F.concat(F.lit("Item "), (p % 37).cast("string"), F.when(p % 2 == 0, F.lit(" <b>새</b>")).otherwise(""))
+    two = F.concat(F.lit("Second "), (p % 3).cast("string"))
+    legacy = F.concat(F.lit('<ul><li class="prod_item x" id="productItem1" data-n="1"><a href="#">'), n, F.lit('</a></li><li id="productItem2" class="ad_prod_item">ad</li></ul>'))
+    modern = F.concat(F.lit('<div class="dnw-product-list-item a"> '), n, F.lit('</div><div class="b dnw-product-list-item"><p>'), two, F.lit("</p></div>"))
+    html = F.when(p % 5 < 2, legacy).when(p % 5 < 4, modern).otherwise(F.lit("<li>no card</li>"))
+    d = t(spark, sf, "pages").select("page_id", html.alias("html")).withColumn("job", F.lit("x"))
+    return P.distinct_pages(d, "job", ["page_id"]).select("page_id", "signature")
 
 
 @query("""with s as (select p_name as k, p_brand as b, median(l_extendedprice) as bench from lineitem join part on l_partkey = p_partkey group by 1, 2),
@@ -131,7 +138,7 @@ def token_block_match_whole(spark, sf):
 def fuzzy_family_match(spark, sf):
     names = t(spark, sf, "part").select("p_name").distinct().withColumn("tokens", F.split("p_name", " "))
     pairs = M.block_on_tokens(names.withColumnRenamed("p_name", "a"), names.withColumnRenamed("p_name", "b"), "a", "b").where("a < b")
-    return M.ratios_by_pair(pairs, "a", "b").where("ratio >= 0.6")
+    return M.ratios_by_pair(pairs, "a", "b", 0.6)
 
 
 @query("""with c as (select distinct p_brand as b, p_size as s from part where p_size % 5 = 0),

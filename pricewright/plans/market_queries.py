@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pricewright.functions import memory, specs
 from pricewright.functions import text as T
 from pricewright.functions.storage import part_brands
+from pricewright.operators import builds as B
 from pricewright.operators import estimates as E
 from pricewright.operators import matching as M
 from pricewright.operators import part_match as P
@@ -323,31 +324,47 @@ def budget_ratios(spark, sf):
     return E.in_order(table).select("usage", "budget", *[F.col(r).cast("string").alias(r) for r in E.RATIOS])
 
 
-POOL = f"select p_partkey, {pick('p_size', ['1700', 'AMD5'])} as socket, {pick('p_size', ['ATX', 'MATX', 'EATX'])} as size, 100 + p_size as length, 10 * p_size as watt, cast(p_partkey % 997 + p_size as bigint) as price from {{part}}"
+POOL = f"select p_partkey, p_partkey % 8 as kind, {pick('p_size', ['1700', 'AMD5', '1151V2'])} as socket, {pick('p_size', ['ATX', 'MATX', 'EATX', 'ITX'])} as size, {pick('p_size', ['DDR4', 'DDR5'])} as memory, 100 + p_size as length, 120 + (p_size * 7) % 50 as height, 10 * p_size as watt, (p_partkey * 37) % 101 as score, cast((p_partkey * 7919) % 100003 as bigint) as price, cast(p_partkey as string) as name from {{part}}"
+_RANK = lambda c: f"list_position(['ITX', 'MATX', 'ATX', 'EATX'], {c})"
+#: All builds of the cheapest offers of each kind, compared by inequalities.
+BUILD_SQL = f"""with q as ({duck(POOL)}), cheap as (select * from q qualify row_number() over (partition by kind, case when kind < 3 then socket end, case when kind in (0, 1, 2) then memory end, case when kind in (1, 4) then size end,
+case when kind in (4, 5) then length end, case when kind in (3, 4) then height end, case when kind in (5, 6) then watt end, case when kind = 3 then socket end, kind in (0, 5) and score < {{score}} order by price, name) = 1),
+strong as (select * from cheap where kind not in (0, 5) or score >= {{score}}),
+card as (select g.length, g.price + w.price as price, g.price as gpu, w.price as power from strong g join strong w on g.kind = 5 and w.kind = 6 and w.watt >= g.watt),
+disk as (select min(price) as price from q where kind = 7)
+select c.price + m.price + r.price + f.price + k.price + card.price + disk.price as total_price, c.price as cpu, gpu, m.price as mainboard, r.price as ram, disk.price as ssd, power, k.price as "case", f.price as cooler
+from strong c join strong m on c.kind = 0 and m.kind = 1 and m.socket = c.socket and m.memory = c.memory join (select memory, min(price) as price from q where kind = 2 group by 1) r on r.memory = c.memory
+join strong f on f.kind = 3 and f.socket = c.socket join strong k on k.kind = 4 and {_RANK('m.size')} <= {_RANK('k.size')} and f.height <= k.height join card on card.length <= k.length, disk order by 1 limit 1"""
 
 
-@query(f"""with q as (select *, p_partkey % 8 as kind from ({duck(POOL)}) p),
-b as (select c.price + m.price + r.price + f.price + k.price + g.price + w.price + d.price as total_price from
-(select socket, min(price) as price from q where kind = 0 group by 1) c, (select socket, size, min(price) as price from q where kind = 1 group by 1, 2) m, (select min(price) as price from q where kind = 2) r,
-(select socket, length, min(price) as price from q where kind = 3 group by 1, 2) f, (select size, length, watt, min(price) as price from q where kind = 4 group by 1, 2, 3) k, (select length, watt, min(price) as price from q where kind = 5 group by 1, 2) g,
-(select watt, min(price) as price from q where kind = 6 group by 1) w, (select min(price) as price from q where kind = 7) d
-where c.socket = m.socket and f.socket = c.socket and k.size = m.size and f.length <= k.length and g.length <= k.length and w.watt >= g.watt)
-select min(total_price)::bigint as total_price from b""")
-def cheapest_build(spark, sf):
+def _pool(spark, sf) -> dict[str, DataFrame]:
     q = made(spark, sf, POOL)
-    of = lambda i: q.where(F.col("p_partkey") % 8 == i)
-    ddr = F.lit("DDR5").alias("memory")
-    parts = {
-        "cpu": of(0).select("socket", ddr, "price"),
-        "mainboard": of(1).select("socket", ddr, "size", "price"),
-        "ram": of(2).select(ddr, "price"),
-        "cooler": of(3).select("socket", F.col("length").alias("cooler_length"), "price"),
-        "case": of(4).select("size", F.col("length").alias("gpu_length"), F.col("length").alias("cooler_length"), "price"),
-        "gpu": of(5).select("length", F.col("watt").alias("power"), "price"),
-        "power": of(6).select(F.col("watt").alias("wattage"), "price"),
-        "ssd": of(7).select("price"),
-    }
-    return S.cheapest_build(parts)
+    of = lambda i, *more: q.where(F.col("kind") == i).select("name", "price", *more)
+    sockets = F.when(F.col("socket") == "1151V2", "115X").otherwise(F.col("socket"))
+    return {
+        "cpu": of(0, "socket", "memory", "score"), "mainboard": of(1, "socket", "memory", "size"), "ram": of(2, "memory"), "cooler": of(3, F.concat(F.lit("AMD4, "), sockets).alias("socket"), F.col("height").alias("cooler_length")),
+        "case": of(4, "size", F.col("length").alias("gpu_length"), F.col("height").alias("cooler_length")), "gpu": of(5, "length", F.col("watt").alias("power"), "score"), "power": of(6, F.col("watt").alias("wattage")), "ssd": of(7),
+    }
+
+
+@query(f"select total_price::bigint as total_price from ({BUILD_SQL.format(score=0)}) b")
+def cheapest_build(spark, sf):
+    return B.cheapest_strong_build(_pool(spark, sf), 0, 0).select("total_price")
+
+
+@query(f"select total_price::bigint as total_price, {', '.join(f'"{p}"::bigint as {p}_price' for p in B.PARTS)}, 40.0::double as cpu_score from ({BUILD_SQL.format(score=40)}) b")
+def strong_build(spark, sf):
+    """The cheapest build whose processor and card score 40 at least, with the price of each of its parts."""
+    return B.cheapest_strong_build(_pool(spark, sf), 40, 40).select("total_price", *[f"{p}_price" for p in B.PARTS], "cpu_score")
+
+
+@query(f"""with b as ({BUILD_SQL.format(score=40)}), y as (select total_price, {', '.join(f'round((b."{p}"::double / total_price)::decimal(38,18), 6)::decimal(8,6) as y{i}' for i, p in enumerate(B.PARTS))} from b),
+z as (select *, 1 - ({' + '.join(f'y{i}' for i in range(8))}) as rest, greatest({', '.join(f'y{i}' for i in range(8))}) as top from y)
+select 'HIGH_END' as usage, total_price::bigint as budget, {', '.join(f"(y{i} + case when y{i} = top{''.join(f' and y{j} <> top' for j in range(i))} then rest else 0 end)::decimal(8,6)::varchar as {r}" for i, r in enumerate(E.RATIOS))} from z""")
+def high_end_ratios(spark, sf):
+    """The ratio row of the cheapest strong build."""
+    build = B.cheapest_strong_build(_pool(spark, sf), 40, 40)
+    return E.high_end(build).select("usage", "budget", *[F.col(r).cast("string").alias(r) for r in E.RATIOS])
 
 
 STORED = f"select 'OFFICE' as usage, 500 as budget union all select 'GAMING', 500 union all select 'HIGH_END', 900 union all select 'VIDEO_EDITING', 100"
@@ -360,9 +377,9 @@ def ratio_store(spark, sf):
     """New ratios by CSV and back, loaded over old ones; all ratios are equal but the old ones' first two."""
     folder = new_folder(spark)
     even = lambda d, first: d.select("usage", F.col("budget").cast("long").alias("budget"), *[F.lit(first if i == 0 else 0.0 if i == 1 and first == 0.25 else 0.125).cast("decimal(8,6)").alias(r) for i, r in enumerate(E.RATIOS)])
-    catalog.publish(even(spark.sql(STORED), 0.25).withColumn("updated_at", F.lit("2020-01-01").cast("timestamp")), f"{folder}/ratios")
+    catalog.store_table(spark, folder, catalog.RATIO_TABLE).publish(even(spark.sql(STORED), 0.25).withColumn("updated_at", F.lit("2020-01-01").cast("timestamp")))
     catalog.write_csv(E.cents(even(made(spark, sf, LOADED), 0.125)).select(*reversed(["usage", "budget", *E.RATIOS])), f"{folder}/ratios-csv")
-    d = catalog.load_ratios(spark, catalog.read_ratios(spark, f"{folder}/ratios-csv"), f"{folder}/ratios")
+    d = catalog.load_ratios(spark, catalog.read_ratios(spark, f"{folder}/ratios-csv"), folder)
     return d.select("usage", "budget", F.col("cpu_ratio").cast("string").alias("cpu_ratio"), (F.col("updated_at") > "2021-01-01").alias("fresh"))
 
 
@@ -377,9 +394,10 @@ def listing_store(spark, sf):
     d = made(spark, sf, LISTED)
     catalog.write_csv(d.drop("p_partkey"), f"{folder}/csv/data_power.csv")
     tables, _ = catalog.scan_folder(spark, f"{folder}/csv")
-    catalog.create_missing(spark, f"{folder}/store")
-    catalog.publish(catalog.storable(tables["power"], "power", [F.col("product_code").cast("long")]), f"{folder}/store/power")
-    return spark.read.parquet(f"{folder}/store/power")
+    store = catalog.store_table(spark, f"{folder}/store", "power")
+    store.create()
+    store.publish(catalog.storable(tables["power"], "power", [F.col("product_code").cast("long")]))
+    return store.read()
 
 
 @query("""select event_id, user_id, day from (select event_id, user_id, ts::date::varchar as day, event_type from events) e

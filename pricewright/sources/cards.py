@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 #: Marks of cards and of what is in them (classes, ids and test ids of the two layouts).
 LEGACY_CARD, LEGACY_ADVERT, MODERN_CARD = "productItem", "ad_prod_item", "dnw-product-list-item"
@@ -25,6 +27,8 @@ LIST_ID = "recom_search_ul"
 TITLE_MARKS = ["name", "tit", "product_name"]
 TABLE_WORDS, TABLE_KINDS = ["개당 가격", "수량"], ["PC 주요부품", "변동사항"]
 PAGE_TITLES = ["product_title", "prd_name", "product_name"]
+#: Of how many cards a page's signature is made, and of how many characters of each.
+SIGNED_CARDS, SIGNED_WIDTH = 8, 120
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 #: What an opening tag closes if it is open: items and cells without end tags.
 CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -176,12 +180,28 @@ def _card(n: Node, mode: str) -> dict:
     }
 
 
-def _cards(html: str) -> list[dict]:
+def _found(html: str) -> tuple[list[Node], str]:
+    """The cards of a page, legacy ones if there are any, else modern ones."""
     root = tree(html)
     found = list(root.all(lambda n: n.tag == "li" and n.attrs.get("id", "").startswith(LEGACY_CARD) and LEGACY_ADVERT not in n.classes()))
-    if found:
-        return [_card(n, "legacy") for n in found]
-    return [_card(n, "modern") for n in root.all(lambda n: MODERN_CARD in n.classes())]
+    return (found, "legacy") if found else (list(root.all(lambda n: MODERN_CARD in n.classes())), "modern")
+
+
+def _cards(html: str) -> list[dict]:
+    found, mode = _found(html)
+    return [_card(n, mode) for n in found]
+
+
+def _signature(html: str | None) -> str | None:
+    found, _ = _found(html or "")
+    return "||".join(n.text()[:SIGNED_WIDTH] for n in found[:SIGNED_CARDS]) if found else None
+
+
+@F.pandas_udf(StringType())
+def signature(html: pd.Series) -> pd.Series:
+    """What tells a page from others: the texts of its first cards, of either layout and with any attributes; null for a
+    page without cards, of which nothing can be told."""
+    return html.map(_signature)
 
 
 def _rows(pages: DataFrame, keep: str, html: str, read: Callable[[str], list[dict]], schema: str, name: str) -> DataFrame:
@@ -223,6 +243,16 @@ def listed_estimates(pages: DataFrame, keep: str = "page_id", html: str = "html"
     return _rows(pages, keep, html, _listed, "href: string, title: string", "item")
 
 
+def _linked(html: str) -> list[dict]:
+    inside = lambda n: n is not None and (n.tag == "li" or inside(n.parent))
+    return [{"href": a.attrs.get("href"), "name": a.text()} for a in tree(html).all(lambda n: n.tag == "a" and "href" in n.attrs and inside(n.parent))]
+
+
+def linked_items(pages: DataFrame, keep: str = "page_id", html: str = "html") -> DataFrame:
+    """keep, n, item (href, name): the links in list items, in order."""
+    return _rows(pages, keep, html, _linked, "href: string, name: string", "item")
+
+
 def _named(cell: Node) -> str:
     for a in cell.all(lambda n: n.tag == "a" and "href" in n.attrs):
         name = " ".join((a.attrs.get("title") or a.text()).split())

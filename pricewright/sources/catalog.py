@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +16,9 @@ from pyspark.sql import types as T
 from pricewright.operators import quality
 from pricewright.operators.estimates import RATIOS, ratio_faults
 from pricewright.operators.matching import upsert
+from pricewright.operators.ordered import numbered_lines
+
+from .versions import Constraint, Table, check, not_null, unique
 
 #: Columns between name, price and product_code, product_url, created_at of each category.
 COLUMNS = {
@@ -126,13 +127,73 @@ def storable(df: DataFrame, table: str, order: list) -> DataFrame:
     return quality.keep_first(d, ["name", "price"], order).select(*store_columns(table))
 
 
+#: The table of ratios beside the listings', and its columns.
+RATIO_TABLE = "recommendation_budget_ratios"
+RATIO_SCHEMA = T.StructType([T.StructField("usage", T.StringType()), T.StructField("budget", T.LongType()), *[T.StructField(r, T.DecimalType(8, 6)) for r in RATIOS], T.StructField("updated_at", T.TimestampType())])
+TABLES = [*STORE, RATIO_TABLE]
+
+
+def constraints(table: str) -> list[Constraint]:
+    """What holds of every version of a table."""
+    if table == RATIO_TABLE:
+        within = " and ".join(f"{r} between 0 and 1" for r in RATIOS)
+        return [*not_null(RATIO_SCHEMA.names), unique("usage", "budget"), check("budget > 0", "budget > 0"), check("ratios between 0 and 1", within), check("ratios add up to 1", f"{' + '.join(RATIOS)} = 1")]
+    numbers = [c for c in store_columns(table) if c in WHOLE and c != "product_code"]
+    return [*not_null(store_columns(table)), unique("name", "price"), *[check(f"{c} > 0", f"{c} > 0") for c in numbers]]
+
+
+def store_table(spark: SparkSession, folder: str, table: str) -> Table:
+    """A table of the store in `folder`, with its columns and constraints."""
+    if table not in TABLES:
+        raise ValueError(f"no such table: {table}")
+    return Table(spark, f"{folder.rstrip('/')}/{table}", RATIO_SCHEMA if table == RATIO_TABLE else store_schema(table), constraints(table))
+
+
 def create_missing(spark: SparkSession, folder: str) -> list[str]:
-    """Empty tables for those of STORE that the folder doesn't have; their names."""
-    fs, P = _fs(spark, folder)
-    missing = [t for t in STORE if not fs.exists(P(f"{folder}/{t}"))]
-    for t in missing:
-        spark.createDataFrame([], store_schema(t)).write.parquet(f"{folder}/{t}")
-    return missing
+    """Empty tables for those of TABLES that the folder doesn't have; their names."""
+    return [t for t in TABLES if store_table(spark, folder, t).create()]
+
+
+class LoadFailed(RuntimeError):
+    """Files that could not be loaded, each with what went wrong."""
+
+    def __init__(self, failures: dict[str, str]):
+        super().__init__("; ".join(f"{k}: {v}" for k, v in sorted(failures.items())))
+        self.failures = failures
+
+
+def load_folder(spark: SparkSession, csv_folder: str, store: str) -> list[tuple[str, str, int, int]]:
+    """Loads every CSV file of a folder into the store: file, table, rows read, rows stored. The first line of each name and
+    price stays. A file that fails doesn't keep the others from being loaded; afterwards LoadFailed names all that did. Files
+    that are no table's are passed over."""
+    fs, P = _fs(spark, csv_folder)
+    done, failures = [], {}
+    for name in sorted(s.getPath().getName() for s in fs.listStatus(P(csv_folder))):
+        table = table_of_file(name)
+        if not name.lower().endswith(".csv") or table not in STORE:
+            continue
+        try:
+            lines = numbered_lines(read_text(spark, f"{csv_folder}/{name}", store_columns(table)), "_row")
+            target = store_table(spark, store, table)
+            number = target.publish(storable(lines, table, ["_row"]))
+            done.append((name, table, lines.count(), target.read(number).count()))
+        except Exception as e:  # noqa: BLE001  whatever it is, the other files are loaded and it is raised with the rest
+            failures[name] = str(e).split("\n")[0]
+    if failures:
+        raise LoadFailed(failures)
+    return done
+
+
+def profile(df: DataFrame, unique_by: list[str]) -> DataFrame:
+    """column, rows, nulls, distinct, low, high of every column, and a row for `unique_by` together whose `nulls` are the rows
+    beyond the first of each. One aggregate; low and high are text."""
+    def told(c: str, value: Column, nulls: Column) -> Column:
+        return F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), nulls.alias("nulls"), F.count_distinct(value).alias("distinct"), F.min(value).cast("string").alias("low"), F.max(value).cast("string").alias("high"))
+
+    each = [told(c, F.col(f"`{c}`"), F.count_if(F.col(f"`{c}`").isNull())) for c in df.columns]
+    key = F.struct(*[F.col(f"`{c}`") for c in unique_by])
+    both = F.struct(F.lit(", ".join(unique_by)).alias("column"), F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) - F.count_distinct(key)).alias("nulls"), F.count_distinct(key).alias("distinct"), F.lit(None).cast("string").alias("low"), F.lit(None).cast("string").alias("high"))
+    return df.agg(F.array(*each, both).alias("x")).select(F.inline("x"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -148,55 +209,18 @@ def read_ratios(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.upper(F.trim("usage")).alias("usage"), quality.to_integer(F.trim("budget")).alias("budget"), *[exact(F.col(r)).alias(r) for r in RATIOS])
 
 
-def load_ratios(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
+def load_ratios(spark: SparkSession, new: DataFrame, store: str) -> DataFrame:
     """The stored ratios after loading `new`, which must be sound: usages of REPLACED_USAGES are replaced, other rows by usage
     and budget; updated_at is the time of loading for rows that came with it. Published as a whole or not at all."""
     faults = ratio_faults(new).collect()  # a row for each kind of fault
     if faults:
         raise ValueError("; ".join(f"{f.fault}: {f.n}" for f in sorted(faults)))
-    fs, P = _fs(spark, path)
+    table = store_table(spark, store, RATIO_TABLE)
+    base = table.current()
     stamped = new.withColumn("updated_at", F.current_timestamp())
-    if fs.exists(P(path)):
-        stamped = upsert(spark.read.parquet(path), stamped, ["usage", "budget"], F.col("usage").isin(REPLACED_USAGES))
-    publish(stamped, path)
-    return spark.read.parquet(path)
-
-
-class _Cards(HTMLParser):
-    """Links of list items: text and address, in order."""
-
-    def __init__(self):
-        super().__init__()
-        self.cards, self.depth, self.href, self.text = [], 0, None, []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "li":
-            self.depth += 1
-        elif tag == "a" and self.depth:
-            self.href, self.text = dict(attrs).get("href"), []
-
-    def handle_data(self, data):
-        if self.href is not None:
-            self.text.append(data)
-
-    def handle_endtag(self, tag):
-        if tag == "a" and self.href is not None:
-            self.cards.append({"href": self.href, "name": " ".join("".join(self.text).split())})
-            self.href = None
-        elif tag == "li":
-            self.depth = max(0, self.depth - 1)
-
-
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("href", T.StringType()), T.StructField("name", T.StringType())])))
-def html_cards(pages: pd.Series) -> pd.Series:
-    """The cards of each page; an empty list for null."""
-
-    def parse(page):
-        p = _Cards()
-        p.feed(page or "")
-        return p.cards
-
-    return pages.map(parse)
+    if base:
+        stamped = upsert(table.read(base), stamped, ["usage", "budget"], F.col("usage").isin(REPLACED_USAGES))
+    return table.read(table.publish(stamped, base))
 
 
 def publish(df: DataFrame, path: str, complete: bool = True) -> bool:
