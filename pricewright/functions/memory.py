@@ -6,11 +6,11 @@ Capacities of kits are read by consuming: a form that is found is blanked out be
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import brands, capacity_text, ram_module_count
-from .text import normalize_text, ram_capacity_gb, ram_cl, ram_ddr_type, ram_speed, squeeze
+from .storage import brands_of, capacity_text, ram_module_count
+from .text import ddr_of, latency_of, normalize_text, ram_capacity_gb, speed_of, squeeze
 
 #: Words that are no part numbers, and specifications that look like some.
 PLAIN_WORDS = ["ddr4", "ddr5", "memory", "ram", "rgb", "black", "white", "package", "패키지", "정품", "벌크"]
@@ -33,7 +33,12 @@ UNIT_PRICES = ["원/GB", "원/1GB", "1GB당"]
 
 def part_numbers(name: Column) -> Column:
     """Sorted distinct tokens of five characters or more, of letters and digits, that aren't specifications."""
-    words = F.regexp_extract_all(normalize_text(name), F.lit(r"[a-z0-9][a-z0-9\-./]+"), F.lit(0))
+    return parts_of(normalize_text(name))
+
+
+def parts_of(t: Column) -> Column:
+    """As part_numbers, of normalised text."""
+    words = F.regexp_extract_all(t, F.lit(r"[a-z0-9][a-z0-9\-./]+"), F.lit(0))
     words = F.transform(words, lambda w: F.trim(w, F.lit("-./")))
     plain = "^(?:" + "|".join(SPECIFICATIONS) + ")$"
     return F.array_sort(F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 5) & w.rlike("[a-z]") & w.rlike("[0-9]") & ~w.isin(PLAIN_WORDS) & ~w.rlike(plain))))
@@ -42,22 +47,32 @@ def part_numbers(name: Column) -> Column:
 def module_info(name: Column, memory_type: Column | None = None, memory_clock: Column | None = None, capacity: Column | None = None, module_count: Column | None = None) -> Column:
     """Struct of brands, ddr, speed, cl, capacity_gb, modules, module_gb, parts. A listing's columns go before what the name
     says; a kit's capacity is shared among its modules, of which there is one at least."""
+    return info_of(normalize_text(name), name, memory_type, memory_clock, capacity, module_count)
+
+
+def module_features(df: DataFrame, name: str, into: str, **told: Column) -> DataFrame:
+    """`df` with module_info() as the column `into`. The name is normalised once."""
+    return df.withColumn("_text", normalize_text(F.col(name))).withColumn(into, info_of(F.col("_text"), F.col(name), **told)).drop("_text")
+
+
+def info_of(t: Column, name: Column, memory_type: Column | None = None, memory_clock: Column | None = None, capacity: Column | None = None, module_count: Column | None = None) -> Column:
+    """As module_info, of normalised text and the name itself."""
     none = F.lit(None)
     told = lambda c: none if c is None else F.trim(c.cast("string"))
-    ddr = F.coalesce(F.upper(told(memory_type)).cast("string"), ram_ddr_type(name))
-    speed = F.coalesce(told(memory_clock).try_cast("double").cast("int"), ram_speed(name))
+    ddr = F.coalesce(F.upper(told(memory_type)).cast("string"), ddr_of(t))
+    speed = F.coalesce(told(memory_clock).try_cast("double").cast("int"), speed_of(t))
     total = told(capacity).try_cast("double")
     count = F.greatest(F.coalesce(told(module_count).try_cast("double").cast("int"), F.lit(1)), F.lit(1))
     gb = F.coalesce(total, ram_capacity_gb(name))
     return F.struct(
-        brands(name).alias("brands"),
+        brands_of(t).alias("brands"),
         ddr.alias("ddr"),
         speed.alias("speed"),
-        ram_cl(name).alias("cl"),
+        latency_of(t).alias("cl"),
         gb.alias("capacity_gb"),
         count.alias("modules"),
         F.coalesce(total / count, gb).alias("module_gb"),
-        part_numbers(name).alias("parts"),
+        parts_of(t).alias("parts"),
     )
 
 

@@ -49,7 +49,7 @@ def read_estimates(spark: SparkSession, path: str) -> DataFrame:
 
 def whole(cell: Column) -> Column:
     """A cell's number without commas, cut to whole; null where there is none."""
-    return F.regexp_replace(F.trim(cell), ",", "").try_cast("decimal(38,6)").cast("bigint")
+    return F.replace(F.trim(cell), F.lit(","), F.lit("")).try_cast("decimal(38,6)").cast("bigint")
 
 
 def validated(rows: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_i
 
 def memory_benchmarks(benchmarks: DataFrame, bench_name: str, bench_score: str) -> DataFrame:
     b = benchmarks.select(F.col(bench_name).alias("bench_name"), score_value(F.col(bench_score)).alias("bench_score")).where("bench_score is not null")
-    return b.withColumn("g", memory.module_info(F.col("bench_name")))
+    return memory.module_features(b, "bench_name", "g")
 
 
 def direct_matches(products: DataFrame, b: DataFrame, product_id: str) -> DataFrame:
@@ -125,8 +125,7 @@ def match_memory(products: DataFrame, benchmarks: DataFrame, product_id: str, na
     """`products` with bench_name, bench_score, match_score, candidates and tier: ram_direct, ram_spec_proxy,
     ram_spec_estimate or null. `told` names the products' columns memory_type, memory_clock, capacity, module_count."""
     b = stored(memory_benchmarks(benchmarks, bench_name, bench_score))
-    d = products.withColumn("f", memory.module_info(F.col(name), **{k: F.col(v) for k, v in told.items()}))
-    d = stored(d)
+    d = stored(memory.module_features(products, name, "f", **{k: F.col(v) for k, v in told.items()}))
     tiers = [("ram_direct", direct_matches(d, b, product_id)), ("ram_spec_proxy", spec_matches(d, b, product_id)), ("ram_spec_estimate", estimates(d, estimator(b), product_id))]
     return cascade(d, product_id, tiers).drop("f")
 
