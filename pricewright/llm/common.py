@@ -71,6 +71,16 @@ def dropped(df_or_path: DataFrame | str, spark: SparkSession | None = None) -> N
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever characters are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def row_of(df: DataFrame) -> Column:
+    """All columns of `df` as one struct, so that others beside it can't clash with them."""
+    return F.struct(*[named(c).alias(c) for c in df.columns])
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -98,4 +108,4 @@ def numbered(df: DataFrame, by: list[str], within: list[str], number: str, tag:
     for i, c in enumerate(within):
         on = on & F.col(c).eqNullSafe(F.col(f"_w{i}"))
     d = d.join(F.broadcast(runs) if runs.count() <= BROADCAST_ROWS else runs, on)
-    return d.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_at") + F.col("_shift")).alias(number), *([F.col("_all").alias(also)] if also else []))
+    return d.select(*[named(c) for c in df.columns], (F.col("_at") + F.col("_shift")).alias(number), *([F.col("_all").alias(also)] if also else []))

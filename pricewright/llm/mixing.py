@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, named, written
 
 SEED = "mix-1"
 LEVELS = ("domain", "lang", "source")
@@ -60,8 +60,8 @@ def leaf_budgets(leaves: DataFrame, share: float, epochs: int, weights: dict[tup
 def mix(docs: DataFrame, domain: Column, share: float = 0.5, epochs: int = 2, weights: dict[tuple[str, ...], float] | None = None, seed: str = SEED, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """row (struct of `columns`), domain, lang, source, epoch, n_tokens, taken: a row for each document and epoch it is taken in."""
     level = {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
-    named = [F.coalesce(c.cast("string"), F.lit(NONE)).alias(f"_{k}") for k, c in level.items()]
-    slim = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").alias("_id"), *named, words(F.col("text")).alias("n_tokens"), F.xxhash64("text").alias("_t"))
+    leaf = [F.coalesce(c.cast("string"), F.lit(NONE)).alias(f"_{k}") for k, c in level.items()]
+    slim = docs.select(F.struct(*[named(c).alias(c) for c in columns]).alias("_row"), F.col("doc_id").alias("_id"), *leaf, words(F.col("text")).alias("n_tokens"), F.xxhash64("text").alias("_t"))
     slim = slim.withColumnsRenamed({f"_{k}": k for k in LEVELS})
     slim = written(slim, "mixing")
     budgets = written(leaf_budgets(slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("supply")), share, epochs, weights or {}), "budgets")

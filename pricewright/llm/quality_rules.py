@@ -3,15 +3,15 @@
 Each document gets integer counts (features()). From them follow a fixed base rule and ratios in which a larger
 value is worse. Each stratum has one ladder of growing unions of cutoffs: the ratios that serve on a tuning share of its
 labels, best first, each from its lenient cutoff to the one that serves best. On the other labels, a union is certified
-if the exact binomial tail P(Bin(n, alpha) <= k) of its k good documents lost is at most delta / #strata (Bonferroni),
+if the exact binomial tail P(Bin(n, alpha) <= k) of its k good documents lost is at most delta / (2 #strata) (Bonferroni),
 and testing along the ladder stops at the first that isn't (fixed sequence, which needs no further correction, since the
-order comes from other labels). So with confidence 1 - delta every stratum loses at most alpha of its good documents
-that pass the base rule. Of the certified unions the one that serves best on the tuning share is taken.
+order comes from other labels). Of the certified unions the one that serves best on the tuning share is taken: such a stratum
+loses at most alpha of its good documents that pass the base rule ('stratum').
 
 A stratum whose labels are too few to certify even a union that loses none takes the cutoffs of a ladder over the labels
-of all strata, tested at delta. That guarantee is another one (`guarantee` is 'pooled', not 'stratum'): with confidence
-1 - delta, such strata together lose at most alpha of the good documents of all strata that have labels, in the shares
-these have among the labels; one of them may lose more of its own.
+of all strata, tested at delta / 2. That guarantee is another one ('pooled'): such strata together lose at most alpha of the
+good documents of all strata that have labels, in the shares these have among the labels; one of them may lose more of its
+own. With confidence 1 - delta all statements of both kinds hold together; a row says which one its verdict rests on.
 
 Defined cases: a null text counts as empty (and fails the base rule, which wants 20 words); a null stratum is the
 stratum ''; a stratum without labels has no cutoff; repeated rows are judged alike, each on its own; labels
@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import UPPER, WORD, text_or_empty, written
+from .common import UPPER, WORD, row_of, text_or_empty, written
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -194,7 +194,9 @@ def thresholds(feats: DataFrame, labels: DataFrame, stratum: str, alpha: float =
     def within(field: str) -> Column:
         return F.aggregate(F.filter("bins", lambda b: (b["first"] > 0) & (b["first"] <= F.col("t"))), F.lit(0).cast("long"), lambda acc, b: acc + b[field])
 
-    level = F.when(F.col("stratum").isNull(), F.lit(delta)).otherwise(F.lit(delta) / F.col("n_strata"))
+    # Half of delta is for the pool, half is shared by the strata: all statements together fail with delta at most.
+    each = F.lit(delta / 2) / F.col("n_strata")
+    level = F.when(F.col("stratum").isNull(), F.lit(delta / 2)).otherwise(each)
     tested = (
         bins.crossJoin(own.agg(F.count("*").alias("n_strata")))
         .withColumn("t", F.explode(F.sequence(F.lit(1), F.size("chain"))))
@@ -211,7 +213,7 @@ def thresholds(feats: DataFrame, labels: DataFrame, stratum: str, alpha: float =
         return F.get(F.array(*[F.lit(float(c)) for c in ladders[name]]), last - 1).alias(f"max_{name}")
 
     limits = taken.select("stratum", *[cutoff(r, name) for r, name in enumerate(names)])
-    few = F.pow(F.lit(1.0 - alpha), F.col("n")) > F.lit(delta) / F.col("n_strata")
+    few = F.pow(F.lit(1.0 - alpha), F.col("n")) > each
     use = own.select("stratum", F.when(~few, F.col("stratum")).alias("_use"), F.when(few, F.lit("pooled")).otherwise(F.lit("stratum")).alias("kind"))
     chosen = use.join(limits.withColumnRenamed("stratum", "_from"), F.col("_use").eqNullSafe(F.col("_from")), "left")
     some = F.coalesce(*[f"max_{name}" for name in names]).isNotNull()
@@ -219,7 +221,8 @@ def thresholds(feats: DataFrame, labels: DataFrame, stratum: str, alpha: float =
 
 
 def judge(feats: DataFrame, limits: DataFrame, stratum: str, ladders: dict[str, list[float]] = LADDERS) -> DataFrame:
-    """`feats` with base_failed, kept and reasons (array of the ratios at or over their cutoff)."""
+    """`feats` with guarantee (what the cutoffs of the row's stratum rest on: stratum, pooled, or null for none), base_failed, kept and
+    reasons (array of the ratios at or over their cutoff)."""
     of = ratios()
     over = [F.when(of[name] >= F.col(f"max_{name}"), F.lit(name)) for name in ladders]
     key = written(limits.withColumnRenamed("stratum", "_stratum"), "limits")
@@ -230,14 +233,14 @@ def judge(feats: DataFrame, limits: DataFrame, stratum: str, ladders: dict[str,
         joined.withColumn("base_failed", base_failed())
         .withColumn("reasons", F.array_compact(F.array(*over)))
         .withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0))
-        .drop("_stratum", "guarantee", *[f"max_{name}" for name in ladders])
+        .drop("_stratum", *[f"max_{name}" for name in ladders])
     )
 
 
 def apply(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **params) -> DataFrame:
     """The kept rows of `docs`, with the columns they came with. Features are written beside their rows first: a filter
     on them would otherwise be pushed below the steps that share arrays and work them out again and again."""
-    row = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", stratum)
+    row = docs.select(row_of(docs).alias("_row"), "doc_id", "text", stratum)
     feats = written(features(row, "_row", "doc_id", stratum), "quality")
     limits = thresholds(feats, labels, stratum, **params)
     return judge(feats, limits, stratum).where("kept").select("_row.*")

@@ -71,7 +71,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = written(quality_rules.features(table(spark, sf_dir, "documents"), "doc_id", "lang"), "quality")
     limits = quality_rules.thresholds(feats, table(spark, sf_dir, "labels"), "lang")
-    return quality_rules.judge(feats, limits, "lang").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules.judge(feats, limits, "lang").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "guarantee")
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

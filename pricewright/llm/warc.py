@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import named, written
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -66,22 +66,23 @@ def _name(i: Column, times: Column, digested: Column, mark: Column) -> Column:
 
 
 def roles(captures: DataFrame, id_column: str, target: str, payload: str, least: int = 0) -> DataFrame:
-    """`captures` with _payload, _bytes, _digest, _key (of its identifiers) and _response (the _key of the capture that
-    this one revisits, else null). What rows share is found on ids and digests alone, so payloads are shuffled once;
+    """_id, _target and _payload of `captures`, _bytes, _digest, _key (of its identifiers) and _response (the _key of the capture
+    that this one revisits, else null). What rows share is found on ids and digests alone, so payloads are shuffled once;
     the join is on id and digest, so a payload that a third of the rows share is dealt out by their ids."""
-    df = captures.withColumns({"_payload": F.coalesce(F.col(payload), F.lit("")), "_mark": F.xxhash64(F.coalesce(F.col(target), F.lit("")))})
+    df = captures.select(named(id_column).alias("_id"), named(target).alias("_target"), F.coalesce(named(payload), F.lit("")).alias("_payload"))
+    df = df.withColumn("_mark", F.xxhash64(F.coalesce("_target", F.lit(""))))
     df = df.withColumns({"_bytes": F.octet_length("_payload").cast("long"), "_digest": digest(F.col("_payload"))})
-    thin = df.groupBy(F.col(id_column).alias("_i"), F.col("_digest").alias("_d")).agg(F.count("*").alias("_n"), F.min("_mark").alias("_m"))
+    thin = df.groupBy(F.col("_id").alias("_i"), F.col("_digest").alias("_d")).agg(F.count("*").alias("_n"), F.min("_mark").alias("_m"))
     times = thin.groupBy(F.col("_i").alias("_j")).agg(F.sum("_n").alias("_times")).where("_times > 1")
     last = thin.groupBy(F.col("_d").alias("_e")).agg(F.max(F.struct(F.col("_i").isNotNull().alias("o"), "_i", "_m")).alias("_last"), F.sum("_n").alias("_all")).where("_all > 1").drop("_all")
     last = last.join(times.withColumnsRenamed({"_j": "_k", "_times": "_last_times"}), F.col("_last._i").eqNullSafe(F.col("_k")), "left").drop("_k")
     shared = thin.select("_i", "_d").join(last, F.col("_d") == F.col("_e"), "left").join(times, F.col("_i").eqNullSafe(F.col("_j")), "left")
     shared = shared.where("_last is not null or _times is not null").drop("_e", "_j")
-    joined = df.join(shared, F.col(id_column).eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_d")), "left")
-    other = F.col("_last").isNotNull() & ~F.col("_last._i").eqNullSafe(F.col(id_column)) & (F.col("_bytes") >= least)
+    joined = df.join(shared, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_d")), "left")
+    other = F.col("_last").isNotNull() & ~F.col("_last._i").eqNullSafe(F.col("_id")) & (F.col("_bytes") >= least)
     return joined.withColumns(
         {
-            "_key": _name(F.col(id_column), F.col("_times"), F.col("_digest"), F.col("_mark")),
+            "_key": _name(F.col("_id"), F.col("_times"), F.col("_digest"), F.col("_mark")),
             "_response": F.when(other, _name(F.col("_last._i"), F.col("_last_times"), F.col("_digest"), F.col("_last._m"))),
         }
     ).drop("_i", "_d", "_last", "_last_times", "_times", "_mark")
@@ -90,7 +91,7 @@ def roles(captures: DataFrame, id_column: str, target: str, payload: str, least:
 def write(captures: DataFrame, path: str, id_column: str = "page_id", target: str = "url", payload: str = "html", least: int = 0, records_per_file: int = 3000, compression: str = "gzip") -> None:
     df = roles(captures, id_column, target, payload, least)
     uri = lambda what, k=F.col("_key"): F.concat(F.lit(f"<urn:capture:{what}:"), k, F.lit(">"))
-    to = F.coalesce(F.regexp_replace(F.col(target), "[\\r\\n]", ""), F.lit(""))
+    to = F.coalesce(F.regexp_replace(F.col("_target"), "[\\r\\n]", ""), F.lit(""))
     host = F.coalesce(F.regexp_extract(to, "^[a-z]+://([^/?#]*)([^?#]*)", 1), F.lit(""))
     line = F.concat(F.lit("GET "), F.when(to == "", F.lit("/")).otherwise(to), F.lit(f" HTTP/1.1{END}Host: "), host, F.lit(END + END))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.col("_bytes").cast("string"), F.lit(END + END))
@@ -103,7 +104,7 @@ def write(captures: DataFrame, path: str, id_column: str = "page_id", target: st
         _record("revisit", http, here, *common, ("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), ("WARC-Refers-To", uri("response", F.col("_response"))), ("Content-Type", F.lit("application/http; msgtype=response")))
     )
     request = _record("request", line, ("WARC-Record-ID", uri("request")), ("WARC-Concurrent-To", here[1]), ("WARC-Target-URI", to), ("Content-Type", F.lit("application/http; msgtype=request")))
-    about = _lines(("capture-id", F.col(id_column).cast("string")), ("payload-bytes", F.col("_bytes").cast("string")))
+    about = _lines(("capture-id", F.col("_id").cast("string")), ("payload-bytes", F.col("_bytes").cast("string")))
     metadata = _record("metadata", about, ("WARC-Record-ID", uri("metadata")), ("WARC-Concurrent-To", here[1]), ("WARC-Target-URI", to), ("Content-Type", F.lit("application/warc-fields")))
     rows = df.select(F.explode(F.array(request, response, metadata)).alias("value"))
     rows.write.option("lineSep", END + END).option("maxRecordsPerFile", 3 * records_per_file).option("compression", compression).text(path)

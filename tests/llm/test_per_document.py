@@ -259,6 +259,16 @@ def test_warc_of_repeated_ids(spark, tmp_path):
         assert Counter(r.target for r in back) == ({"u": 4} if not least else {"u": 1})
 
 
+def test_warc_beside_columns_of_any_name(spark, tmp_path):
+    """The caller's columns don't meet those that writing needs."""
+    pages = spark.createDataFrame([(1, "https://a.example/", "x"), (2, "https://b.example/", "x"), (2, "https://c.example/", "y")], "page_id long, url string, html string")
+    for c in ("_i", "_d", "_e", "_j", "_k", "_n", "_m", "_all", "_times", "_last", "_mark", "_key", "_response", "_payload", "_bytes", "_digest", "a.b"):
+        pages = pages.withColumn(c, F.lit("own"))
+    warc.write(pages, f"file://{tmp_path}/w")
+    rows = warc.assemble(warc.read(spark, f"file://{tmp_path}/w")).collect()
+    assert sorted(r.response.type for r in rows) == ["response", "response", "revisit"]
+
+
 def test_warc_of_other_archives(spark, tmp_path):
     import gzip
 

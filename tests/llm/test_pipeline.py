@@ -1,5 +1,7 @@
 """Each stage of the pipeline on its own input, against what the operators' brute-force tests define."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 
 from .test_corpus import kept_lines, shingles
@@ -45,6 +47,22 @@ def test_run_is_its_stages(spark):
 
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, taken string, row string"
+#: Names of columns that the stages use for themselves, and one that has to be quoted.
+CLASHING = ["_id", "_hash", "_i", "_t", "_times", "_last", "_row", "_stays", "component", "text_hash", "kept_text", "guarantee", "stratum", "a.b", "x`y"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    text = "\n".join(f"line {i} of a text that has enough words {i * 7}" for i in range(30))
+    docs = spark.createDataFrame([(1, text, "en", "s1", 9), (2, text + " x", "en", "s1", 9), (2, text + " x", "en", "s1", 9), (3, "other " * 30, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.lit(f"own {c}"))
+    for name, stage in pipeline.STAGES:
+        columns, docs = docs.columns, stage(spark, docs, SF)
+        if name != "packing":
+            assert docs.columns == columns, name
+            rows = [r.asDict() for r in docs.collect()]
+            assert rows and all(r[c] == f"own {c}" for r in rows for c in CLASHING), name
+    assert docs.count() > 0
 
 
 def test_near_duplicates_of_repeated_ids(spark):
