@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright.functions.text import normalize_name
-from pricewright.sources.folders import stored
+from pricewright.folders import stored
 
 from .ordered import exact_quantiles, numbered_lines
 from .stats import kernel, round_to_one, samples

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions import specs
 from pricewright.sources import cards as C
-from pricewright.sources.folders import stored
+from pricewright.folders import stored
 
 from . import quality as Q
 from . import variants as V

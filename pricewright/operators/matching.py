@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewright.functions import similarity
-from pricewright.sources.folders import stored
+from pricewright.folders import stored
 
 from .ordered import exact_quantiles, small
 

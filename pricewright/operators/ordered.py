@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.sources.folders import stored
+from pricewright.folders import stored
 
 #: Rows up to which a table of sums is sent to every task; beyond, it is shuffled.
 BROADCAST_ROWS = 100_000

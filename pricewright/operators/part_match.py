@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewright.functions import memory, text
-from pricewright.sources.folders import stored
+from pricewright.folders import stored
 
 from .matching import cascade, known_conflict
 from .ordered import exact_quantiles
 from .quality import score_value
 from .stats import normal_sums, solve
 
-KEYS = {"CPU": text.cpu_model_key, "GPU": text.gpu_model_key}
+KEYS = {"CPU": text.cpu_key_of, "GPU": text.gpu_key_of}
 #: Points of a chip match, and of memory by tier.
 CHIP_MATCH, BOTH_VRAM, ONE_VRAM = 100, 30, 5
 SAME_PART, EACH_PART, SAME_BRAND = 500, 50, 50
@@ -28,13 +28,15 @@ SPEED_RADIUS, LEAST_ROWS = 100, 50
 
 def chip_features(df: DataFrame, part: str, name: str) -> DataFrame:
     """`df` with a struct f: key (model), brands, mobile, vram (graphics only), tokens."""
-    c = F.col(name)
-    vram = text.gpu_vram_gb(c) if part == "GPU" else F.lit(None).cast("int")
-    return df.withColumn("f", F.struct(KEYS[part](c).alias("key"), text.chip_brands(c, part).alias("brands"), text.is_mobile(c).alias("mobile"), vram.alias("vram"), text.part_tokens(c, part).alias("tokens")))
+    t = F.col("_text")
+    vram = text.vram_of(t) if part == "GPU" else F.lit(None).cast("int")
+    told = F.struct(KEYS[part](t).alias("key"), text.chips_of(t, part).alias("brands"), text.mobile_of(t).alias("mobile"), vram.alias("vram"), text.tokens_of(t, part).alias("tokens"))
+    return df.withColumn("_text", text.normalize_text(F.col(name))).withColumn("f", told).drop("_text")
 
 
-def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_id: str, name: str, bench_name: str, bench_score: str) -> DataFrame:
-    """`products` with bench_name, bench_score and match_score of the best benchmark of the same model, or nulls.
+def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_id: str, name: str, bench_name: str, bench_score: str, with_candidates: bool = False) -> DataFrame:
+    """`products` with bench_name, bench_score and match_score of the best benchmark of the same model, or nulls; with_candidates: and
+    candidates, how many benchmarks it was the best of.
 
     Models must agree, brands may not conflict, both or neither are mobile, and memory sizes that both tell are equal.
     Score: 100, 30 more if both tell the memory size, 5 if one does, 1 for each word in common. Best by score, then the
@@ -46,8 +48,8 @@ def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_i
     agrees = ~known_conflict(F.col("f.brands"), F.col("g.brands")) & (F.col("f.mobile") == F.col("g.mobile")) & F.coalesce(F.col("f.vram") == F.col("g.vram"), F.lit(True))
     met = d.join(b, (F.col("f.key") == F.col("_key")) & agrees).withColumn("match_score", F.lit(CHIP_MATCH) + vram + F.size(F.array_intersect("f.tokens", "g.tokens")))
     best = F.min(F.struct((-F.col("match_score")).alias("m"), (-F.col("bench_score")).alias("s"), F.col("bench_name").alias("name")))
-    found = met.groupBy(F.col(product_id).alias("_id")).agg(best.alias("x"))
-    found = found.select("_id", F.col("x.name").alias("bench_name"), (-F.col("x.s")).alias("bench_score"), (-F.col("x.m")).cast("long").alias("match_score"))
+    found = met.groupBy(F.col(product_id).alias("_id")).agg(best.alias("x"), F.count("*").alias("candidates"))
+    found = found.select("_id", F.col("x.name").alias("bench_name"), (-F.col("x.s")).alias("bench_score"), (-F.col("x.m")).cast("long").alias("match_score"), *(["candidates"] if with_candidates else []))
     return products.join(found, F.col(product_id) == F.col("_id"), "left").drop("_id")
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewright.sources.folders import stored
+from pricewright.folders import stored
 
 from .ordered import running_sum, small
 

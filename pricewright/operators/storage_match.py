@@ -21,7 +21,7 @@ from pricewright.functions import similarity
 from pricewright.functions import storage as S
 from pricewright.functions.text import numeric_backbone
 from pricewright.operators.matching import block_on_tokens, candidate_representative
-from pricewright.sources.folders import shared_folder
+from pricewright.folders import shared_folder
 
 #: Thresholds of the rules; spellings that are one family.
 FARTHEST, FAMILY_SIMILARITY, FAMILY_FARTHEST, POOL = 4.0, 0.80, 2.0, 15

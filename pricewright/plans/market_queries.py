@@ -23,7 +23,7 @@ from pricewright.operators import stats as S
 from pricewright.operators import variants as V
 from pricewright.sources import cards as C
 from pricewright.sources import catalog
-from pricewright.sources.folders import new_folder
+from pricewright.folders import new_folder
 
 from .catalog_queries import query, t
 

@@ -38,8 +38,7 @@ STORE = {
     "cooler": ["socket_type", "cooler_length"],
 }
 FRACTIONS = {("ram", "bench_score")}
-#: Columns that may hold a product's name, in order; usages whose old ratios go when new ones are loaded.
-NAME_COLUMNS = ["name", "product_name", "title", "제품명"]
+#: Usages whose old ratios go when new ones are loaded.
 REPLACED_USAGES = ["VIDEO_EDITING", "HIGH_END"]
 
 
@@ -73,14 +72,6 @@ def read_listing(spark: SparkSession, path: str, category: str) -> DataFrame:
     return df.select(*[(F.col(n).try_cast("bigint") if n in WHOLE else F.try_to_timestamp(n) if n == "created_at" else F.col(n)).alias(n) for n in names])
 
 
-def name_column(df: DataFrame) -> str:
-    """The column that holds products' names."""
-    found = [c for c in NAME_COLUMNS if c in df.columns]
-    if not found:
-        raise ValueError(f"none of {NAME_COLUMNS} among {df.columns}")
-    return found[0]
-
-
 def with_expected(df: DataFrame, category: str) -> DataFrame:
     """The category's columns in order, those that are missing as nulls; others go."""
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in expected(category)])

@@ -1,33 +1,3 @@
-"""Folders that all machines of a cluster see."""
+"""As pricewright.folders."""
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir. Where it is unset, a temporary one, but only if driver and executors are
-    one process; on a cluster that is an error, since a machine's own folder would hold a part of a table only."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
-        path = "file://" + tempfile.mkdtemp(prefix="pricewright-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/market-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """The same rows from a Parquet table in the shared folder. What follows starts from columns: expressions behind them
-    are worked out once, not wherever they are named, and plans stay short."""
-    path = new_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from pricewright.folders import new_folder, shared_folder, stored  # noqa: F401

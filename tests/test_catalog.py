@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricewright.functions import text as T
-from pricewright.operators import estimates, matching, quality, stats
-from pricewright.plans import catalog_queries, market_queries  # noqa: F401
+from pricewright.operators import estimates, integrate, matching, quality, stats
+from pricewright.plans import catalog_queries, listing_queries, market_queries  # noqa: F401
 from pricewright.sources import catalog
 from pricewright.streaming import pages
 
@@ -64,7 +64,7 @@ def test_listing_by_name_of_column(spark, tmp_path):
     (tmp_path / "data_GPU.csv").write_text("name,price\na,1\n")
     with pytest.raises(ValueError, match="gpu_length.*recommended_power"):
         catalog.read_listing(spark, f"file://{tmp_path}/data_GPU.csv", "GPU")
-    assert catalog.name_column(spark.createDataFrame([("a",)], "title string")) == "title"
+    assert integrate.name_column(["x", "title"]) == "title"
     assert catalog.insert_after(named, "z", F.lit(1), "price").columns[:3] == ["price", "z", "name"]
     filled = catalog.with_expected(named, "GPU")
     assert filled.columns == catalog.expected("GPU") and filled.where("gpu_length is not null").count() == 0
