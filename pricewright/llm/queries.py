@@ -36,13 +36,13 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = line_dedup.dedup(table(spark, sf_dir, "documents"), with_longest=True)
+    lines = line_dedup.dedup(table(spark, sf_dir, "documents"))
     return lines.select("row.doc_id", "n_lines", "n_removed", "n_runs", "longest_run", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op5_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op5_line_dedup, and later copies of single lines go whatever their number of words."""
-    lines = line_dedup.dedup(table(spark, sf_dir, "documents"), min_lines=1, min_words=1)
+    """As op5_line_dedup, without the longest runs."""
+    lines = line_dedup.dedup(table(spark, sf_dir, "documents"))
     return lines.select("row.doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -137,20 +137,13 @@ select s.doc_id, len(s)::bigint as n_shingles, coalesce(least(s.doc_id, m.y), s.
 from s left join (select root, min(y) as y from c group by root) m on m.root = s.doc_id
 """
 
-#: Lines with a word; a place is deleted if its line of 20 words or more, or a pair of lines it is in, stands earlier.
+#: Lines with a word; a place is deleted if its line stands earlier.
 #: Runs grow line by line as long as they stand twice; the longest of a document is its last.
 ORACLE_5 = rf"""
 with recursive a as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
 e as (select doc_id, unnest(l) as x, generate_subscripts(l, 1) as i from a),
 f as (select *, row_number() over (partition by doc_id order by i) as j from e where regexp_matches(x, '{_WORDS}')),
-g as (select *, lead(x) over (partition by doc_id order by j) as y from f),
-h as (
-  select *, first_value(struct_pack(d := doc_id, j := j)) over (partition by x order by doc_id, j) as one,
-    first_value(struct_pack(d := doc_id, j := j)) over (partition by x, y order by doc_id, j) as two from g
-), k as (
-  select *, one <> struct_pack(d := doc_id, j := j) and len(regexp_extract_all(x, '{_WORDS}')) >= 20 as single,
-    y is not null and two <> struct_pack(d := doc_id, j := j) as pair from h
-), m as (select *, single or pair or coalesce(lag(pair) over (partition by doc_id order by j), false) as gone from k),
+m as (select *, row_number() over (partition by x order by doc_id, j) > 1 as gone from f),
 n as (select e.*, m.j is not null as word, coalesce(m.gone, false) as gone from e left join m on e.doc_id = m.doc_id and e.i = m.i),
 r as (
   select 1 as n, doc_id, j, md5(x) as key from (select *, count(*) over (partition by x) as c from f) where c > 1
@@ -167,6 +160,17 @@ select o.doc_id, count(*) filter (word)::bigint as n_lines, count(*) filter (gon
 from o left join longest on longest.doc_id = o.doc_id group by o.doc_id
 """
 
+#: As ORACLE_5, without runs.
+ORACLE_5_ALL = rf"""
+with a as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+e as (select doc_id, unnest(l) as x, generate_subscripts(l, 1) as i from a),
+f as (select *, row_number() over (partition by x order by doc_id, i) > 1 as gone from e where regexp_matches(x, '{_WORDS}')),
+n as (select e.*, f.i is not null as word, coalesce(f.gone, false) as gone from e left join f on e.doc_id = f.doc_id and e.i = f.i),
+o as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as start from n)
+select doc_id, count(*) filter (word)::bigint as n_lines, count(*) filter (gone)::bigint as n_removed, count(*) filter (start)::bigint as n_runs,
+  sha256(coalesce(string_agg(x, chr(10) order by i) filter (not gone), '')) as kept_sha256 from o group by doc_id
+"""
+
 #: Windows of 200 bytes as hexadecimal text; a run is broken where no window that is repeated starts for over 200 bytes.
 ORACLE_2 = """
 with h as (select doc_id, hex(encode(coalesce(text, ''))) as x from documents),
@@ -297,4 +301,4 @@ p as (select s.doc_id, s.leaf, g.d as subroot, 1 as one, g.j as i, proof, now fr
 select doc_id, leaf, subroot, r.d as root, sha256(proof) as proof_sha256, now as folded_root, now = r.d as verified from {_climbed('u', 'one', 'p')} s, u{_HEIGHT} r
 """
 
-ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op2_suffix_dedup": ORACLE_2, "op3_source_mixing": ORACLE_3, "op5_line_dedup": ORACLE_5, "op6_license_scan": ORACLE_6, "op7_warc": ORACLE_7, "op11_ball_tree": ORACLE_11, "op12_merkle": ORACLE_12}
+ORACLES: dict[str, str] = {"op1_jaccard_join": ORACLE_1, "op2_suffix_dedup": ORACLE_2, "op3_source_mixing": ORACLE_3, "op5_line_dedup": ORACLE_5, "op5_line_dedup_all": ORACLE_5_ALL, "op6_license_scan": ORACLE_6, "op7_warc": ORACLE_7, "op11_ball_tree": ORACLE_11, "op12_merkle": ORACLE_12}

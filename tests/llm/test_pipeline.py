@@ -21,7 +21,7 @@ def test_stages(spark):
             assert len(after) == kept.count() and set(after) <= set(before) and 0 < len(after)
             assert len(after) < len(before) or name in ("line dedup", "near duplicates")  # these may drop none of so few
         if name == "line dedup":
-            want = kept_lines([(d, r.text) for d, r in before.items()], 2, 20)
+            want = kept_lines([(d, r.text) for d, r in before.items()], 1, 1)
             want = {d: x[0] for (d, _), x in want.items() if not (x[1] and x[1] == x[2])}
             assert {d: r.text for d, r in after.items()} == want
             assert all(r.n_chars == len(r.text) for r in after.values())
