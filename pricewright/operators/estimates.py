@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions.text import normalize_name
 from pricewright.folders import stored
+from pricewright.sources.cards import part_tables
 
 from .ordered import exact_quantiles, numbered_lines
 from .stats import kernel, round_to_one, samples
@@ -276,3 +277,32 @@ def quantity(text: Column) -> Column:
 def cents(ratios: DataFrame) -> DataFrame:
     """The ratio table as text for CSV: six places always."""
     return ratios.select("usage", F.col("budget").cast("string").alias("budget"), *[F.col(r).cast("decimal(8,6)").cast("string").alias(r) for r in RATIOS])
+
+
+#: The columns of an estimate's line, in order.
+RECORD = ["usage", "product_id", "product_name", "parts_total", *[f"{p}_{k}" for p in PARTS for k in ("name", "unit_price", "quantity", "price", "ratio")], "product_url", "collected_at"]
+
+
+def records(pages: DataFrame, items: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """key, reason and the columns of RECORD: each listed item's page as the line that read_estimates() reads back.
+
+    `items` has key, usage, product_id, product_name, product_url. Reasons, the first that holds: NO_TABLE (no page, or none with a
+    table of parts), USAGE_CONFLICT (a title on the page speaks of another usage, or several do of different ones), those of
+    build_checked(), ZERO_TOTAL. A line with a reason has nulls for its parts."""
+    tables = stored(part_tables(pages, key, html))
+    said = F.array_distinct(F.array_compact(F.transform("parts.titles", title_usage)))
+    d = items.join(tables.select(F.col(key).alias("_k"), F.col("parts.text").alias("table_text"), said.alias("_said")), F.col(key) == F.col("_k"), "left").drop("_k")
+    conflict = (F.size("_said") > 1) | ((F.size("_said") == 1) & (F.get("_said", 0) != F.col("usage")))
+    checked = build_checked(merged_parts(part_lines(tables, [key]), [key]), d.select(key, "usage", "table_text"), [key]).withColumnRenamed("reason", "_reason").drop("usage")
+    d = d.join(checked.withColumnRenamed(key, "_c"), F.col(key) == F.col("_c"), "left").drop("_c")
+    early = F.when(F.col("table_text").isNull(), "NO_TABLE").when(conflict, "USAGE_CONFLICT")
+    d = d.withColumn("reason", F.coalesce(early, F.col("_reason"), F.when(F.col("parts_total") <= 0, "ZERO_TOTAL")))
+    part = lambda i, k: F.when(F.col("reason").isNull(), F.get("p", i)[k])
+    cells = [part(i, k).alias(f"{x}_{k}") for i, x in enumerate(PARTS) for k in ("name", "unit_price", "quantity", "price", "ratio")]
+    total = F.when(F.col("reason").isNull(), F.col("parts_total")).alias("parts_total")
+    return d.select(key, "reason", "usage", "product_id", "product_name", total, *cells, "product_url", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("collected_at"))
+
+
+def written_lines(found: DataFrame) -> DataFrame:
+    """The lines of records() that have no reason, as text for CSV."""
+    return found.where("reason is null").select(*[F.col(c).cast("string").alias(c) for c in RECORD])

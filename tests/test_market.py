@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricewright.functions import memory, specs
 from pricewright.functions import text as T
 from pricewright.operators import estimates, part_match, quality, variants
-from pricewright.sources import cards
+from pricewright.sources import cards, catalog
 
 
 def value(spark, f, *x):
@@ -191,6 +191,19 @@ def test_estimate_pages(spark):
     assert [(r.item.href, r.item.title) for r in cards.listed_estimates(items).collect()] == [("/p?ProductNo=5", "게이밍 PC")]
 
 
+def test_estimate_records_round_trip(spark, tmp_path):
+    """Pages to lines of 46 cells, written, read back and found valid; every page that gives none says why."""
+    title = "<h1 class='x'>{}</h1>"
+    pages = spark.createDataFrame([(1, DETAIL), (2, "<table><tr><td>x</td></tr></table>"), (3, None), (4, title.format("게이밍 PC") + DETAIL), (5, title.format("사무용 PC") + DETAIL), (6, DETAIL.replace("사무용 ", ""))], "page_id long, html string")
+    items = spark.createDataFrame([(i, "GAMING" if i == 6 else "OFFICE", str(i), f"pc, {i}", f"u{i}") for i in range(1, 8)], "page_id long, usage string, product_id string, product_name string, product_url string")
+    found = estimates.records(pages, items)
+    assert found.columns == ["page_id", "reason", *estimates.RECORD] and len(estimates.RECORD) == estimates.CELLS
+    assert {r.page_id: r.reason for r in found.collect()} == {1: None, 2: "NO_TABLE", 3: "NO_TABLE", 4: "USAGE_CONFLICT", 5: None, 6: "MISSING_GPU", 7: "NO_TABLE"}
+    catalog.write_csv(estimates.written_lines(found), f"file://{tmp_path}/e")
+    back = estimates.cleaned(estimates.validated(estimates.read_estimates(spark, f"file://{tmp_path}/e"))).collect()
+    assert sorted((r.product_id, r.reason, r.budget) for r in back) == [("1", None, 560000), ("5", "DUPLICATE_CONFIG", 560000)] or sorted((r.product_id, r.reason, r.budget) for r in back) == [("1", "DUPLICATE_CONFIG", 560000), ("5", None, 560000)]
+
+
 def test_estimate_file(spark, tmp_path):
     """Cells by position; the header, in any case, and empty lines are left out; reasons are the first check that fails."""
     parts = [("cpu", "100", "1", "100", "0"), ("gpu", "", "1", "200", "0"), ("board", "50", "1", "50", "0"), ("ram", "20", "2", "40", "0"), ("ssd", "30", "1", "30", "0"), ("power", "10", "1", "10", "0"), ("case", "10", "1", "10", "0"), ("fan", "0", "0", "0", "0")]
