@@ -53,8 +53,9 @@ TASK_PAIRS = 1 << 20
 SKETCH = 8
 #: Ids of documents that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
-#: Texts and pairs of sets that go to Python at once.
-TEXT_ROWS, LINKED_ROWS = 2000, 256
+#: Texts and pairs of sets that go to Python at once, and texts that are shingled before their sets go on. A text may have tens of
+#: thousands of tokens, so a few rows are megabytes.
+TEXT_ROWS, LINKED_ROWS, SET_ROWS = 2000, 32, 200
 U = np.uint64
 CUT = U(int(FIRST * 2**64))
 LEAST_LEVEL, CLASS_SHIFT = 4, 4
@@ -206,8 +207,8 @@ def low_signatures(tokens: np.ndarray, bitmaps: Bitmaps) -> tuple[np.ndarray, np
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
     """Ids and sets, some rows at a time."""
     for batch in batches:
-        for at in range(0, len(batch), 1000):
-            part = batch.slice(at, 1000)
+        for at in range(0, len(batch), SET_ROWS):
+            part = batch.slice(at, SET_ROWS)
             yield part.column(0).to_pylist(), shingle_sets([t.encode() for t in part.column(1).to_pylist()])
 
 
