@@ -25,7 +25,7 @@ from pricewright.sources import cards as C
 from pricewright.sources import catalog
 from pricewright.folders import new_folder
 
-from .catalog_queries import query, t
+from .catalog_queries import ORACLES, query, t
 
 
 def made(spark: SparkSession, sf: str, sql: str) -> DataFrame:
@@ -118,6 +118,11 @@ def _least_squares(x: list[str], y: str, table: str) -> str:
     return f"select {', '.join(solved)} from (select {sums} from {table}) s"
 
 
+#: The SQL of ols_fit_predict, by Cramer's rule as well.
+ORACLES["ols_fit_predict"] = f"""with x as (select l_orderkey, l_linenumber, ln(l_quantity) / ln(2) as a, l_discount as b, l_tax as c, l_extendedprice as y from lineitem),
+fit as ({_least_squares(['1', 'a', 'b', 'c'], 'y', 'x')}), ends as (select quantile_cont(y, 0.02) as lo, quantile_cont(y, 0.98) as hi from x)
+select l_orderkey, l_linenumber, round(least(greatest(w0 + w1 * a + w2 * b + w3 * c, lo), hi), 2) as predicted from x, fit, ends"""
+
 MEMORY_SQL = f"""with k as ({duck(KITS)}), b as ({duck(KIT_SCORES)}),
 direct as (select p_partkey, name as bench_name, score::double as bench_score, 600 as match_score, 1 as candidates from k join b on kind = 0 and part = (100 + p_size)::varchar),
 own as (select median(score) as m, count(*) as n from b where maker = 'Corsair' and speed = 3200 and gb = 16),
@@ -383,6 +388,22 @@ def ratio_store(spark, sf):
     return d.select("usage", "budget", F.col("cpu_ratio").cast("string").alias("cpu_ratio"), (F.col("updated_at") > "2021-01-01").alias("fresh"))
 
 
+#: Ratios of which some have a usage, a budget or shares that may not be, and some stand twice; there are two strongest builds.
+FAULTY = """select case when p_partkey % 11 = 0 then 'X' when p_partkey <= 2 then 'HIGH_END' when p_partkey % 2 = 0 then 'OFFICE' else 'GAMING' end as usage, case when p_partkey % 13 = 0 then -1 when p_partkey % 7 = 0 then 500 else 1000 * p_partkey end as budget,
+case when p_partkey % 17 = 0 then 0.2 when p_partkey % 19 = 0 then 1.5 when p_partkey % 23 = 0 then null else 0.125 end as first from {part}"""
+
+
+@query(f"""with r as ({duck(FAULTY)}), e as (
+select 'USAGE' as fault, count(*) filter (usage = 'X') as n from r union all select 'BUDGET', count(*) filter (budget < 0) from r union all select 'RANGE', count(*) filter (first is null or first > 1) from r
+union all select 'SUM', count(*) filter (first is null or first <> 0.125) from r union all select 'DUPLICATE', count(*) from (select usage, budget from r group by 1, 2 having count(*) > 1) d union all select 'HIGH_END', 1)
+select fault, n::bigint as n from e where n > 0""")
+def ratio_fault_counts(spark, sf):
+    """What keeps an unsound ratio table from being published."""
+    d = made(spark, sf, FAULTY)
+    ratios = d.select("usage", F.col("budget").cast("long").alias("budget"), *[(F.col("first") if i == 0 else F.lit(0.125)).cast("decimal(8,6)").alias(r) for i, r in enumerate(E.RATIOS)])
+    return E.ratio_faults(ratios)
+
+
 LISTED = f"select p_partkey, cast(case when p_partkey % 9 = 0 then 0 else 1000 * p_size end as string) as price, p_name || case when p_partkey % 2 = 0 then ', \"new\"' else '' end as name, case when p_partkey % 7 = 0 then null else 'ATX' end as size, cast(p_size as string) || case when p_partkey % 8 = 0 then '.5' when p_partkey % 8 = 4 then '.0' else '' end as wattage, cast(p_partkey as string) as product_code, 'u' as product_url from {{part}}"
 
 

@@ -187,9 +187,16 @@ def profile(df: DataFrame, unique_by: list[str]) -> DataFrame:
     return df.agg(F.array(*each, both).alias("x")).select(F.inline("x"))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with headers, in place of what was there; quotes are doubled."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+#: What spreadsheets know UTF-8 by; Spark passes over it at the start of a file.
+BYTE_ORDER_MARK = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, marked: bool = True) -> None:
+    """A folder of CSV files with headers, in place of what was there; quotes are doubled. `marked`: each file begins with a byte-order
+    mark, which is written as the beginning of its header."""
+    first, *others = df.columns
+    named = df.toDF(BYTE_ORDER_MARK + first, *others) if marked else df
+    named.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_ratios(spark: SparkSession, path: str) -> DataFrame:

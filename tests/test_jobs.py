@@ -2,6 +2,7 @@
 streams, strong builds, against brute force."""
 
 import itertools
+import os
 import random
 import statistics
 import threading
@@ -11,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pricewright.folders import shared_folder
 from pricewright.operators import builds, estimates, integrate, listing, ordered
 from pricewright.plans import listing_queries as L
 from pricewright.sources import catalog, versions
@@ -282,39 +284,42 @@ def test_a_board_may_be_smaller_than_the_case_takes(spark):
 # Listings with scores
 
 
-def test_memory_is_integrated_by_every_tier(spark, tmp_path):
+def test_memory_is_integrated_by_every_tier(spark):
     """A direct part, a proxy by specification, an estimate and none; the first of a name's benchmarks counts, readable or not; tables
     between steps are gone."""
-    import os
-
     bench = [("G.Skill F4-3200C16D-107GVK 16GB", "30.4", 1), ("G.Skill F4-3200C16D-107GVK 16GB", "99", 2), ("Corsair DDR4-3200 CL16 16GB", "n/a", 1), ("Corsair DDR4-3200 CL16 16GB", "20", 2), ("Crucial DDR4-3600 CL18 16GB", "24.6", 3)]
     bench += [(f"Kingston DDR4-{s} CL{c} {g}GB kit{i}", str(10 + i % 9), 4 + i) for i, (s, c, g) in enumerate(itertools.product([2666, 3200], [14, 16, 18, 20, 22], [8, 32, 4, 64, 128, 2]))]
     lists = [spark.createDataFrame(bench, "Bench_Name string, Score string, row int")]
     rows = [("G.SKILL RIPJAWS F4-3200C16D-107GVK", None, None, None, 1), ("Some maker kit", "DDR4", 3600, 16, 1), ("ADATA DDR5", "DDR5", 6000, 16, 1), ("nothing", None, None, None, 1)]
     d = spark.createDataFrame(rows, "title string, memory_type string, memory_clock int, capacity int, module_count int").withColumns({"price": F.lit(5), "bench_score": F.lit("old")})
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/shared")
-    try:
-        got, told = integrate.match_data(d, lists, "RAM")
-        assert got.columns == ["title", "memory_type", "memory_clock", "capacity", "module_count", "price", "bench_score", *integrate.FOUND]
-        found = {r.title: (r.match_type, r.bench_score, r.bench_name) for r in got.collect()}
-        assert found["G.SKILL RIPJAWS F4-3200C16D-107GVK"] == ("ram_direct", 30, "G.Skill F4-3200C16D-107GVK 16GB")
-        assert found["Some maker kit"] == ("ram_spec_proxy", 25, "Crucial DDR4-3600 CL18 16GB")
-        assert found["ADATA DDR5"][0] == "ram_spec_estimate" and found["ADATA DDR5"][2] == integrate.ESTIMATED and found["nothing"] == ("none", None, None)
-        assert {(r.match_type, r.n, r.rate) for r in told.collect()} == {(k, 1, 25.0) for k in ("ram_direct", "ram_spec_proxy", "ram_spec_estimate", "none")}
-        assert len([x for x in os.listdir(tmp_path / "shared") if x.startswith("market-")]) == 1
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+    shared = shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(shared))
+    got, told = integrate.match_data(d, lists, "RAM")
+    assert got.columns == ["title", "memory_type", "memory_clock", "capacity", "module_count", "price", "bench_score", *integrate.FOUND]
+    found = {r.title: (r.match_type, r.bench_score, r.bench_name) for r in got.collect()}
+    assert found["G.SKILL RIPJAWS F4-3200C16D-107GVK"] == ("ram_direct", 30, "G.Skill F4-3200C16D-107GVK 16GB")
+    assert found["Some maker kit"] == ("ram_spec_proxy", 25, "Crucial DDR4-3600 CL18 16GB")
+    assert found["ADATA DDR5"][0] == "ram_spec_estimate" and found["ADATA DDR5"][2] == integrate.ESTIMATED and found["nothing"] == ("none", None, None)
+    assert {(r.match_type, r.n, r.rate) for r in told.collect()} == {(k, 1, 25.0) for k in ("ram_direct", "ram_spec_proxy", "ram_spec_estimate", "none")}
+    assert len([x for x in set(os.listdir(shared)) - before if x.startswith("market-")]) == 1
 
 
 def test_brands_stand_after_the_price(spark):
-    d = spark.createDataFrame([("ASUS 지포스 RTX 4070", 5, 1), ("MSI Radeon RX 7600", 6, 2), ("board", 7, 3)], "제품명 string, price int, more int")
+    d = spark.createDataFrame([("ASUS 지포스 RTX 4070", 5, 1), ("MSI Radeon RX 7600", 6, 2), ("board", 7, 3)], "`제품명` string, price int, more int")
     got = integrate.with_brands(d, "GPU")
     assert got.columns == ["제품명", "price", "brand", "chipset_brand", "more"]
     assert [(r.brand, r.chipset_brand) for r in got.collect()] == [("ASUS", "NVIDIA"), ("MSI", "AMD"), (None, None)]
     assert integrate.with_brands(d, "Mainboard").columns == ["제품명", "price", "brand", "more"] and integrate.with_brands(d, "Case").columns == d.columns
     with pytest.raises(ValueError, match="no benchmarks"):
         integrate.match_data(d, [], "Case")
+
+
+def test_files_begin_with_a_byte_order_mark(spark, tmp_path):
+    d = spark.createDataFrame([("가, \"b\"", 1), ("c", 2)], "name string, n int").repartition(2)
+    catalog.write_csv(d, f"file://{tmp_path}/m")
+    files = list((tmp_path / "m").glob("part-*"))
+    assert files and all(f.read_bytes().startswith(b"\xef\xbb\xbfname,n\n") for f in files)
+    got = catalog.read_text(spark, f"file://{tmp_path}/m", ["name", "n"], strict=True)
+    assert sorted(tuple(r) for r in got.collect()) == [("c", "2"), ("가, \"b\"", "1")]
+    catalog.write_csv(d, f"file://{tmp_path}/p", marked=False)
+    assert all(f.read_bytes().startswith(b"name,n\n") for f in (tmp_path / "p").glob("part-*"))
