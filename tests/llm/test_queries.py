@@ -1,5 +1,8 @@
 """The registered queries on a small folder of tables with nulls, empty and repeated texts, and on empty tables."""
 
+import math
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,8 +16,10 @@ PER_DOCUMENT = {
     "op5_line_dedup": ["doc_id", "n_lines", "n_removed", "n_runs", "longest_run", "kept_sha256"],
     "op5_line_dedup_all": ["doc_id", "n_lines", "n_removed", "n_runs", "kept_sha256"],
     "op6_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
-    "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
+    "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "guarantee"],
     "op10_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op12_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
+    "op13_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
 
 
@@ -25,10 +30,10 @@ def folder(spark, tmp_path_factory):
     more = spark.createDataFrame([(-5, None, None, None, None), (-4, "", "en", "s1", 0), (-3, " \n", "en", "s1", 2), (-2, "x" * 5000 + " y", None, "s2", 5002)], docs.schema)
     docs = docs.where("doc_id < 40").unionByName(more).unionByName(more.where("doc_id = -2")).withColumn("n_words", F.lit("clash")).coalesce(2)
     docs.write.parquet(f"{path}/documents.parquet")
-    for name in ("labels", "pages", "benchmark"):
+    for name in ("labels", "pages", "benchmark", "embeddings"):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{path}/{name}.parquet")
     docs.limit(0).write.parquet(f"{path}/none/documents.parquet")
-    for name in ("labels", "pages", "benchmark"):
+    for name in ("labels", "pages", "benchmark", "embeddings"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{path}/none/{name}.parquet")
     return path
 
@@ -58,6 +63,26 @@ def test_packing(spark, folder):
     assert max(ends.values()) <= 1024
 
 
+def test_sharding(spark, folder):
+    """Sizes and checksums of whole texts, counts at most one apart, slots without gaps, equal texts together."""
+    texts = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect())
+    rows = sorted(queries.QUERIES["op13_sharding"](spark, folder).collect(), key=lambda r: (r.doc_id, r.size))
+    assert [(r.doc_id, r["size"], r.text_crc32) for r in rows] == sorted((d, len(t.encode()) + 16, zlib.crc32(t.encode())) for d, t in texts)
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and {len(slots.get(s, [])) for s in range(40)} <= {len(rows) // 40, -(-len(rows) // 40)}
+    assert {r.law for r in rows} == {"rows"} and {r.grown_shard for r in rows} == {None}
+
+
+def test_clusters(spark, folder):
+    rows = queries.QUERIES["op11_ball_tree"](spark, folder).collect()
+    vectors = {r.vec_id: [math.floor(256 * x) for x in r.embedding] for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
+    assert {r.vec_id for r in rows} == set(vectors) and {r.inertia for r in rows} == {sum(r.distance for r in rows)}
+    found = {r.cluster: r.centroid_sha256 for r in rows}
+    assert len(found) <= 40 and all(found[r.cluster] == r.centroid_sha256 for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_empty_tables(spark, folder, name):
     assert queries.QUERIES[name](spark, f"{folder}/none").count() == 0
