@@ -11,6 +11,10 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Temporary folders of applications that have no shared one, by application; a session's own setting can't be changed.
+_local: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir. Where it is unset, a temporary one, but only if driver and executors are
     one process; on a cluster that is an error, since a machine's own folder would hold a part of a table only."""
@@ -19,8 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
-        path = "file://" + tempfile.mkdtemp(prefix="pricewright-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        if app not in _local:
+            _local[app] = "file://" + tempfile.mkdtemp(prefix="pricewright-")
+        path = _local[app]
     return path.rstrip("/")
 
 

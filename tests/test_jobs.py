@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricewright.folders import shared_folder
+from pricewright.folders import kept, scratch, shared_folder, stored
 from pricewright.operators import builds, estimates, integrate, listing, ordered
 from pricewright.plans import listing_queries as L
 from pricewright.sources import catalog, versions
@@ -292,7 +292,7 @@ def test_memory_is_integrated_by_every_tier(spark):
     lists = [spark.createDataFrame(bench, "Bench_Name string, Score string, row int")]
     rows = [("G.SKILL RIPJAWS F4-3200C16D-107GVK", None, None, None, 1), ("Some maker kit", "DDR4", 3600, 16, 1), ("ADATA DDR5", "DDR5", 6000, 16, 1), ("nothing", None, None, None, 1)]
     d = spark.createDataFrame(rows, "title string, memory_type string, memory_clock int, capacity int, module_count int").withColumns({"price": F.lit(5), "bench_score": F.lit("old")})
-    shared = shared_folder(spark).removeprefix("file://")
+    shared = shared_folder(spark).removeprefix("file:").replace("///", "/")
     before = set(os.listdir(shared))
     got, told = integrate.match_data(d, lists, "RAM")
     assert got.columns == ["title", "memory_type", "memory_clock", "capacity", "module_count", "price", "bench_score", *integrate.FOUND]
@@ -323,3 +323,26 @@ def test_files_begin_with_a_byte_order_mark(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [("c", "2"), ("가, \"b\"", "1")]
     catalog.write_csv(d, f"file://{tmp_path}/p", marked=False)
     assert all(f.read_bytes().startswith(b"name,n\n") for f in (tmp_path / "p").glob("part-*"))
+
+
+def test_folders_where_none_is_named(tmp_path):
+    """In one process a temporary folder serves, always the same one; on a cluster that is an error."""
+    from types import SimpleNamespace
+
+    def session(master, path=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: path), sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"))
+
+    one = shared_folder(session("local[2]"))
+    assert one == shared_folder(session("local[2]")) and os.path.isdir(one.removeprefix("file://"))
+    assert shared_folder(session("spark://x", "hdfs://shared/")) == "hdfs://shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://x"))
+
+
+def test_scratch_leaves_what_is_kept(spark):
+    shared = shared_folder(spark).removeprefix("file:").replace("///", "/")
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    with scratch(spark) as made:
+        stored(spark.range(3))
+        d = kept(made, stored(spark.range(5)))
+    assert d.count() == 5 and len(set(os.listdir(shared)) - before) == 1
