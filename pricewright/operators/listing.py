@@ -32,7 +32,8 @@ NO_PRICE = ["kit:price-missing", "kit:invalid-price", "drive:single-invalid-pric
 
 
 def _tag(tag: str, reason: Column) -> Column:
-    return F.when(reason.isNotNull(), F.concat(F.lit(f"{tag}:"), reason))
+    """Null where the reason is."""
+    return F.concat(F.lit(f"{tag}:"), reason)
 
 
 def fate(category: str) -> Column:

@@ -28,9 +28,18 @@ from pricewright.folders import new_folder
 from .catalog_queries import ORACLES, query, t
 
 
+#: Tasks for each core over which a source's rows are spread.
+TASKS_A_CORE = 3
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores: a table of short rows is a file of few blocks, however much is made of each row."""
+    return df.repartition(TASKS_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def made(spark: SparkSession, sf: str, sql: str) -> DataFrame:
     """Rows of a source: the tables in braces are those of `sf`."""
-    return spark.sql(sql, **{n: t(spark, sf, n) for n in ("part", "orders", "supplier", "events") if f"{{{n}}}" in sql})
+    return spark.sql(sql, **{n: spread(t(spark, sf, n)) for n in ("part", "orders", "supplier", "events") if f"{{{n}}}" in sql})
 
 
 def duck(sql: str) -> str:
