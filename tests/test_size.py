@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pricewright.operators import quality as Q
 from pricewright.plans import market_queries
+from pricewright.sources import cards as C
 
 
 def test_sources_are_spread_over_all_cores(spark, tmp_path):
@@ -17,3 +18,10 @@ def test_names_are_squeezed_once(spark):
     """However many tests a name goes through."""
     for reason, most in ((Q.name_reason("RAM", F.col("x")), 1), (Q.cooler_reason(F.col("x"), F.lit("")), 1), (Q.is_benefit(F.col("x")), 1)):
         assert str(reason).count("\\s+") <= most
+
+
+def test_pages_go_on_together(spark):
+    """Cards of many pages, each with its page and number, whatever goes on at once."""
+    pages = spark.range(450).selectExpr("id", "if(id % 3 = 0, null, repeat(concat('<li id=\"productItem', id, '\">', id, '</li>'), cast(id % 3 as int))) as html").coalesce(1)
+    found = C.cards(pages, "id").collect()
+    assert sorted((r.id, r.n, r.card.full) for r in found) == [(i, n, str(i)) for i in range(450) for n in range(i % 3)]
