@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .storage import brands_of, capacity_text, ram_module_count
-from .text import ddr_of, latency_of, normalize_text, ram_capacity_gb, speed_of, squeeze
+from .text import ddr_of, latency_of, normalize_text, once, ram_capacity_gb, speed_of, squeeze
 
 #: Words that are no part numbers, and specifications that look like some.
 PLAIN_WORDS = ["ddr4", "ddr5", "memory", "ram", "rgb", "black", "white", "package", "패키지", "정품", "벌크"]
@@ -92,29 +92,32 @@ def _gb(value: Column, unit: Column) -> Column:
 
 def kit_capacities(text: Column) -> Column:
     """Distinct whole GB of the kits that a text names, 1 to 4096, in the order of KIT_FORMS."""
-    t = capacity_text(text)
-    found = []
-    for pattern, value, unit, count in KIT_FORMS:
-        every = lambda g, p=pattern, t=t: F.regexp_extract_all(t, F.lit(p), F.lit(g))
-        gb = F.filter(F.zip_with(every(value), every(unit), _gb), lambda x: x.isNotNull())
+
+    def found(t: Column, forms: list[tuple[str, int, int, int]]) -> Column:
+        (pattern, value, unit, count), *rest = forms
+        every = lambda g: F.regexp_extract_all(t, F.lit(pattern), F.lit(g))
+        gb = F.zip_with(every(value), every(unit), _gb)
         if count:
             modules = F.transform(every(count), lambda x: x.try_cast("int"))
-            gb = F.zip_with(F.zip_with(every(value), every(unit), _gb), modules, lambda x, n: F.when(n.between(1, 16), x * n))
-        found.append(F.filter(gb, lambda x: x.between(1, 4096)))
-        t = F.regexp_replace(t, pattern, " ")
-    return F.array_distinct(F.concat(*found))
+            gb = F.zip_with(gb, modules, lambda x, n: F.when(n.between(1, 16), x * n))
+        here = F.filter(gb, lambda x: x.between(1, 4096))
+        return F.concat(here, once(F.regexp_replace(t, pattern, " "), lambda left: found(left, rest))) if rest else here
+
+    return F.array_distinct(once(capacity_text(text), lambda t: found(t, KIT_FORMS)))
 
 
 def kit_capacity(text: Column) -> Column:
     """The only capacity that a text names; null if it names none or several."""
-    found = kit_capacities(text)
-    return F.when(F.size(found) == 1, F.get(found, 0))
+    return once(kit_capacities(text), lambda found: F.when(F.size(found) == 1, F.get(found, 0)))
 
 
 def capacity_label(text: Column) -> Column:
     """Struct of gb and label of the first form that a text holds: '48GB(24Gx2)' -> (48, '48GB(24Gx2)'), '2 x 16G' ->
     (32, '32GB(16Gx2)'), '32GB' -> (32, '32GB'). Null if it holds none."""
-    t = capacity_text(text)
+    return once(capacity_text(text), _capacity_label)
+
+
+def _capacity_label(t: Column) -> Column:
     out = []
     for i, (pattern, value, unit, count) in enumerate(KIT_FORMS):
         g = lambda k, p=pattern: F.regexp_extract(t, p, k)
@@ -139,11 +142,13 @@ def is_unit_price(text: Column) -> Column:
 
 def base_name(name: Column) -> Column:
     """A kit's name without the capacity at its end, in brackets or not; the name itself if nothing else is in it."""
-    n = cut = squeeze(name)
-    for end in NAME_ENDS:
-        cut = F.regexp_replace(cut, end, "")
-    cut = squeeze(cut)
-    return F.when(cut != "", cut).otherwise(n)
+
+    def cut(n: Column) -> Column:
+        for end in NAME_ENDS:
+            n = F.regexp_replace(n, end, "")
+        return squeeze(n)
+
+    return once(squeeze(name), lambda n: once(cut(n), lambda c: F.when(c != "", c).otherwise(n)))
 
 
 def base_specs(name: Column, details: Column, clock: Column) -> Column:

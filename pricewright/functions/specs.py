@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import memory
 from .storage import capacity_text, case_cooler_length, case_gpu_length, case_size, power_size, ram_module_count
-from .text import BOARD_SOCKETS, cooler_sockets, normalize_socket, squeeze
+from .text import BOARD_SOCKETS, cooler_sockets, normalize_socket, once, squeeze
 
 #: How the power that a card needs is told, best evidence first, and what shows that a text is about a card.
 POWER_LABELS = [r"정격\s*파워", r"권장\s*파워", r"추천\s*파워", r"권장\s*전원", r"추천\s*전원"]
@@ -44,16 +44,15 @@ def _whole(number: Column) -> Column:
 
 def pcie_type(text: Column) -> Column:
     """'PCI Express 5.0 x16' -> 'PCIE5.0X16'."""
-    t = F.regexp_replace(F.upper(text), "[ _-]", "")
-    return _found(F.replace(t, F.lit("PCIEXPRESS"), F.lit("PCIE")), r"PCIE[0-9.]+X[0-9]+", 0)
+    t = F.replace(F.regexp_replace(F.upper(text), "[ _-]", ""), F.lit("PCIEXPRESS"), F.lit("PCIE"))
+    return once(t, lambda t: _found(t, r"PCIE[0-9.]+X[0-9]+", 0))
 
 
 def recommended_power(text: Column) -> Column:
     """Watts, as labelled; in a text about a card '550W 이상' counts as well."""
-    t = F.replace(F.upper(squeeze(text)), F.lit(","), F.lit(""))
-    compact = F.replace(t, F.lit(" "), F.lit(""))
-    labelled = [_found(t, label + r"[^0-9]{0,30}([0-9]{3,4})\s*W").try_cast("int") for label in POWER_LABELS]
-    return F.coalesce(*labelled, F.when(compact.rlike("|".join(CARD_WORDS)), _found(compact, "([0-9]{3,4})W이상").try_cast("int")))
+    labelled = lambda t: [_found(t, label + r"[^0-9]{0,30}([0-9]{3,4})\s*W").try_cast("int") for label in POWER_LABELS]
+    plain = lambda compact: F.when(compact.rlike("|".join(CARD_WORDS)), _found(compact, "([0-9]{3,4})W이상").try_cast("int"))
+    return once(F.replace(F.upper(squeeze(text)), F.lit(","), F.lit("")), lambda t: F.coalesce(*labelled(t), once(F.replace(t, F.lit(" "), F.lit("")), plain)))
 
 
 def memory_clock(name: Column, details: Column) -> Column:
@@ -61,31 +60,29 @@ def memory_clock(name: Column, details: Column) -> Column:
     ok = lambda n: n.between(LEAST_CLOCK, MOST_CLOCK)
     own = _found(squeeze(name), r"(?i)DDR[45]\s*[- ]\s*(\d{4,5})").try_cast("int")
     told = F.concat(*[F.regexp_extract_all(squeeze(c), F.lit(r"(?i)(?<!\d)(\d{4,5})\s*MHz"), F.lit(1)) for c in (details, name)])
-    return F.coalesce(F.when(ok(own), own), F.array_max(F.filter(F.transform(told, lambda x: x.try_cast("int")), ok)))
+    return F.coalesce(once(own, lambda n: F.when(ok(n), n)), F.array_max(F.filter(F.transform(told, lambda x: x.try_cast("int")), ok)))
 
 
 def _drive_candidates(text: Column) -> Column:
-    t = capacity_text(text)
     pattern = F.lit(r"(?<![A-Z0-9])(\d+(?:\.\d+)?)\s*(TB|GB)(?![A-Z0-9])")
-    gb = F.zip_with(F.regexp_extract_all(t, pattern, F.lit(1)), F.regexp_extract_all(t, pattern, F.lit(2)), memory._gb)
+    gb = once(capacity_text(text), lambda t: F.zip_with(F.regexp_extract_all(t, pattern, F.lit(1)), F.regexp_extract_all(t, pattern, F.lit(2)), memory._gb))
     return F.filter(gb, lambda x: x.between(LEAST_DRIVE_GB, MOST_DRIVE_GB))
 
 
 def _largest_sold(candidates: Column) -> Column:
     """The largest that is sold, else the largest."""
-    return F.coalesce(F.array_max(F.filter(candidates, lambda x: x.isin(SOLD_DRIVES_GB))), F.array_max(candidates))
+    return once(candidates, lambda c: F.coalesce(F.array_max(F.filter(c, lambda x: x.isin(SOLD_DRIVES_GB))), F.array_max(c)))
 
 
 def drive_capacity(name: Column, details: Column, full: Column) -> Column:
     """GB, 256 to 8192: of the name, else of a labelled field, else of whatever the texts hold."""
-    labelled = []
-    for text in (details, full):
-        t = capacity_text(text)
-        for label in CAPACITY_LABELS:
-            pattern = label + r"\s*[:：/]?\s*(\d+(?:\.\d+)?)\s*(TB|GB)"
-            gb = memory._gb(F.regexp_extract(t, pattern, 1), F.regexp_extract(t, pattern, 2))
-            labelled.append(F.when(gb.between(LEAST_DRIVE_GB, MOST_DRIVE_GB), gb))
-    return F.coalesce(_largest_sold(_drive_candidates(name)), *labelled, _largest_sold(F.concat(_drive_candidates(details), _drive_candidates(full))))
+    fair = lambda gb: F.when(gb.between(LEAST_DRIVE_GB, MOST_DRIVE_GB), gb)
+
+    def labelled(t: Column) -> Column:
+        patterns = [label + r"\s*[:：/]?\s*(\d+(?:\.\d+)?)\s*(TB|GB)" for label in CAPACITY_LABELS]
+        return F.coalesce(*[once(memory._gb(F.regexp_extract(t, p, 1), F.regexp_extract(t, p, 2)), fair) for p in patterns])
+
+    return F.coalesce(_largest_sold(_drive_candidates(name)), *[once(capacity_text(t), labelled) for t in (details, full)], _largest_sold(F.concat(_drive_candidates(details), _drive_candidates(full))))
 
 
 def name_drive_capacity(name: Column) -> Column:
@@ -99,9 +96,8 @@ def drive_label(gb: Column) -> Column:
 
 def drive_base_name(name: Column) -> Column:
     """A drive's name without the capacity at its end; the name itself if nothing else is in it."""
-    n = squeeze(name)
-    cut = squeeze(F.regexp_replace(F.regexp_replace(n, memory.NAME_ENDS[0], ""), memory.NAME_ENDS[2], ""))
-    return F.when(cut != "", cut).otherwise(n)
+    cut = lambda n: squeeze(F.regexp_replace(F.regexp_replace(n, memory.NAME_ENDS[0], ""), memory.NAME_ENDS[2], ""))
+    return once(squeeze(name), lambda n: once(cut(n), lambda c: F.when(c != "", c).otherwise(n)))
 
 
 def board_size(text: Column) -> Column:
@@ -113,34 +109,41 @@ def _ddr(text: Column, digits: str) -> Column:
     return F.upper(_found(text, f"(?i)(DDR{digits})"))
 
 
+def _every_of(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out & t
+    return out
+
+
 def refined_spec(category: str, name: Column, details: Column, full: Column) -> Column:
     """Struct of the category's attributes; null where one that it must have isn't found."""
     both = _joined(name, details)
-    socket = normalize_socket(_found(details, SOCKET_LABEL))
+    known = lambda *keys: lambda s: _every_of([s[k].isNotNull() for k in keys])
+    always = lambda s: F.lit(True)
+    socket = once(_found(details, SOCKET_LABEL), normalize_socket)
     if category == "CPU":
-        out, must = {"socket_type": socket, "memory_type": _ddr(details, "[0-9]+")}, socket.isin(BOARD_SOCKETS)
+        out, must = {"socket_type": socket, "memory_type": _ddr(details, "[0-9]+")}, lambda s: s["socket_type"].isin(BOARD_SOCKETS)
     elif category == "GPU":
-        out = {"recommended_power": recommended_power(both), "pcie_type": pcie_type(both), "gpu_length": F.coalesce(*[_whole(_found(details, p)) for p in LENGTH_LABELS])}
-        must = out["recommended_power"].isNotNull()
+        out, must = {"recommended_power": recommended_power(both), "pcie_type": pcie_type(both), "gpu_length": F.coalesce(*[_whole(_found(details, p)) for p in LENGTH_LABELS])}, known("recommended_power")
     elif category == "Mainboard":
-        kind = _ddr(details, "[0-9]+")
-        out = {"socket_type": socket, "memory_type": kind, "pcie_type": pcie_type(details), "size": board_size(details), "memory_clock": memory_clock(name, details)}
-        must = socket.isin(BOARD_SOCKETS) & kind.isin("DDR4", "DDR5")
+        out = {"socket_type": socket, "memory_type": _ddr(details, "[0-9]+"), "pcie_type": pcie_type(details), "size": board_size(details), "memory_clock": memory_clock(name, details)}
+        must = lambda s: s["socket_type"].isin(BOARD_SOCKETS) & s["memory_type"].isin("DDR4", "DDR5")
     elif category == "RAM":
         out = {"memory_type": F.coalesce(_ddr(name, "[45]"), _ddr(details, "[45]")), "memory_clock": memory_clock(name, details), "capacity": memory.kit_capacity(both), "module_count": ram_module_count(both)}
-        must = out["memory_type"].isNotNull() & out["memory_clock"].isNotNull() & out["capacity"].isNotNull() & out["module_count"].isNotNull()
+        must = known(*out)
     elif category == "SSD":
-        out = {"capacity": drive_capacity(name, details, full)}
-        must = out["capacity"].isNotNull()
+        out, must = {"capacity": drive_capacity(name, details, full)}, known("capacity")
     elif category == "Power":
-        out, must = {"size": power_size(both), "wattage": _found(details, r"(?i)([0-9]{3,4})\s*W").try_cast("int")}, F.lit(True)
+        out, must = {"size": power_size(both), "wattage": _found(details, r"(?i)([0-9]{3,4})\s*W").try_cast("int")}, always
     elif category == "Case":
         source = F.coalesce(F.nullif(full, F.lit("")), details)
         out = {"size": case_size(source), "gpu_length": case_gpu_length(source), "cooler_length": case_cooler_length(source)}
-        must = out["size"].isNotNull() & out["gpu_length"].isNotNull() & out["cooler_length"].isNotNull()
+        must = known(*out)
     elif category == "Cooler":
         out = {"socket_type": cooler_sockets(both), "cooler_length": _whole(_found(details, HEIGHT_LABEL))}
-        must = both.contains(AIR_COOLED) & out["socket_type"].isNotNull() & out["cooler_length"].isNotNull()
+        must = lambda s: both.contains(AIR_COOLED) & known("socket_type", "cooler_length")(s)
     else:
         raise ValueError(f"no such category: {category}")
-    return F.when(F.coalesce(must, F.lit(False)), F.struct(*[c.alias(k) for k, c in out.items()]))
+    # The attributes are found once, however often the tests name them.
+    return once(F.struct(*[c.alias(k) for k, c in out.items()]), lambda s: F.when(F.coalesce(must(s), F.lit(False)), s))

@@ -1,7 +1,9 @@
 """What keeps the cost of a row and the size of a task from growing."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from pricewright.functions import memory, specs
 from pricewright.operators import quality as Q
 from pricewright.plans import market_queries
 from pricewright.sources import cards as C
@@ -25,3 +27,14 @@ def test_pages_go_on_together(spark):
     pages = spark.range(450).selectExpr("id", "if(id % 3 = 0, null, repeat(concat('<li id=\"productItem', id, '\">', id, '</li>'), cast(id % 3 as int))) as html").coalesce(1)
     found = C.cards(pages, "id").collect()
     assert sorted((r.id, r.n, r.card.full) for r in found) == [(i, n, str(i)) for i in range(450) for n in range(i % 3)]
+
+
+@pytest.mark.parametrize("category,most", [("RAM", 4), ("SSD", 7)])
+def test_units_are_spelled_once(category, most):
+    """A text's units are brought to one spelling once for each attribute that is read from it, not for each form and test."""
+    spec = specs.refined_spec(category, F.col("n"), F.col("d"), F.col("f"))
+    assert str(spec).count("㎔") <= most
+
+
+def test_kits_are_found_once():
+    assert str(memory.kit_capacity(F.col("x"))).count("㎔") == 1
