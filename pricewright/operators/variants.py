@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions import memory, specs
 from pricewright.functions.storage import ram_module_count
-from pricewright.functions.text import parse_price, squeeze
+from pricewright.functions.text import once, parse_price, squeeze
 
 from .quality import PRICE_BANDS, is_benefit, price_reason
 
@@ -31,16 +31,23 @@ LABELLED = r"(?i)(?<![\w.])(\d+(?:\.\d+)?)\s*(TB|GB)(?![\w/])"
 
 def absolute(url: Column, site: str) -> Column:
     """A link as an address of its own; null for none and for scripts."""
-    u = squeeze(url)
-    joined = F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(u.rlike("(?i)^[a-z][a-z0-9+.-]*:"), u).when(u.startswith("/"), F.concat(F.lit(site.rstrip("/")), u))
-    return F.when((u != "") & ~u.rlike("(?i)^javascript:"), joined.otherwise(F.concat(F.lit(site.rstrip("/") + "/"), u)))
+
+    def of(u: Column) -> Column:
+        joined = F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).when(u.rlike("(?i)^[a-z][a-z0-9+.-]*:"), u).when(u.startswith("/"), F.concat(F.lit(site.rstrip("/")), u))
+        return F.when((u != "") & ~u.rlike("(?i)^javascript:"), joined.otherwise(F.concat(F.lit(site.rstrip("/") + "/"), u)))
+
+    return once(squeeze(url), of)
 
 
 def product_code(url: Column) -> Column:
     """The code in a link's parameters; null if none of them holds one."""
-    found = [F.regexp_replace(F.coalesce(F.try_parse_url(url, F.lit("QUERY"), F.lit(p)), F.lit("")), "[^0-9A-Za-z_-]", "") for p in CODE_PARAMETERS]
-    other = F.regexp_extract(url, r"(?i)[?&]pcode=([0-9A-Za-z_-]+)", 1)
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in (*found, other)])
+
+    def of(url: Column) -> Column:
+        found = [F.regexp_replace(F.coalesce(F.try_parse_url(url, F.lit("QUERY"), F.lit(p)), F.lit("")), "[^0-9A-Za-z_-]", "") for p in CODE_PARAMETERS]
+        other = F.regexp_extract(url, r"(?i)[?&]pcode=([0-9A-Za-z_-]+)", 1)
+        return F.coalesce(*[once(c, lambda c: F.nullif(c, F.lit(""))) for c in (*found, other)])
+
+    return once(url, of)
 
 
 def identity(card: Column, site: str) -> Column:
@@ -48,17 +55,16 @@ def identity(card: Column, site: str) -> Column:
     code attribute and no url."""
     links = F.filter(F.transform(card["links"], lambda a: F.struct(a["place"].alias("place"), absolute(a["href"], site).alias("url"))), lambda a: a["url"].isNotNull())
     links = F.filter(links, lambda a: a["place"].isin("name", "image") | F.lower(a["url"]).contains("pcode="))
+    links = F.transform(links, lambda a: F.struct(a["place"].alias("place"), a["url"].alias("url"), product_code(a["url"]).alias("code")))
 
     def points(a: Column) -> Column:
         u = F.lower(a["url"])
-        has = [(product_code(a["url"]).isNotNull(), WITH_CODE), (u.contains(DETAILS_PATH), TO_DETAILS), (u.contains("pcode="), NAMES_CODE), (a["place"] == "name", BY_NAME), (a["place"] == "image", BY_IMAGE)]
+        has = [(a["code"].isNotNull(), WITH_CODE), (u.contains(DETAILS_PATH), TO_DETAILS), (u.contains("pcode="), NAMES_CODE), (a["place"] == "name", BY_NAME), (a["place"] == "image", BY_IMAGE)]
         return sum((F.when(test, n).otherwise(0) for test, n in has), F.lit(0))
 
-    scored = F.transform(links, lambda a, i: F.struct((-points(a)).alias("p"), i.alias("i"), a["url"].alias("url")))
-    url = F.array_min(scored)["url"]
+    scored = F.transform(links, lambda a, i: F.struct((-points(a)).alias("p"), i.alias("i"), a["url"].alias("url"), a["code"].alias("code")))
     own = F.nullif(F.regexp_extract(card["code_attribute"], "[0-9A-Za-z_-]+", 0), F.lit(""))
-    code = product_code(url)
-    return F.struct(F.coalesce(code, own).alias("code"), F.when(code.isNotNull(), url).alias("url"))
+    return once(F.array_min(scored), lambda x: F.struct(F.coalesce(x["code"], own).alias("code"), F.when(x["code"].isNotNull(), x["url"]).alias("url")))
 
 
 def canonical_name(card: Column) -> Column:
@@ -131,9 +137,8 @@ def offer_price(offer: Column) -> Column:
 
 def _cheapest(options: Column) -> Column:
     """Of options (gb, modules, price, i, label) the cheapest of each gb and modules, large ones first."""
-    s = F.array_sort(options)
     same = lambda x, y: (x["gb"] == y["gb"]) & x["modules"].eqNullSafe(y["modules"])
-    return F.reverse(F.filter(s, lambda x, i: (i == 0) | ~same(x, F.get(s, i - 1))))
+    return F.reverse(once(F.array_sort(options), lambda s: F.filter(s, lambda x, i: (i == 0) | ~same(x, F.get(s, i - 1)))))
 
 
 def _expanded(d: DataFrame, keep: list[str]) -> DataFrame:
@@ -155,20 +160,21 @@ def memory_options(cards: DataFrame) -> DataFrame:
     card = F.col("card")
 
     def option(o: Column, i: Column) -> Column:
-        label = memory.capacity_label(o["text"])
-        return F.struct(label["gb"].alias("gb"), ram_module_count(o["text"]).alias("modules"), offer_price(o).alias("price"), i.alias("i"), label["label"].alias("label"))
+        more = (ram_module_count(o["text"]).alias("modules"), offer_price(o).alias("price"), i.alias("i"))
+        return once(memory.capacity_label(o["text"]), lambda label: F.struct(label["gb"].alias("gb"), *more, label["label"].alias("label")))
 
     # Sorting puts a missing number of modules first, as if it were 0.
     found = F.filter(F.transform(card["offers"], option), lambda o: o["gb"].between(2, 4096) & o["price"].isNotNull())
-    d = d.withColumn("_options", _cheapest(found))
+    d = d.withColumns({"_options": _cheapest(found), "_root": memory.base_name(F.col("name"))})
     kit = lambda name, price, gb, modules: F.struct(name.alias("name"), price.alias("price"), F.col("_base.memory_type").alias("memory_type"), F.col("_base.memory_clock").alias("memory_clock"), gb.alias("capacity"), modules.alias("module_count"))
-    root = memory.base_name(F.col("name"))
-    many = F.transform(F.filter("_options", lambda o: F.coalesce(o["modules"], F.col("_base.module_count")).isNotNull()), lambda o: kit(F.concat(root, F.lit(" ("), o["label"], F.lit(")")), o["price"], o["gb"], F.coalesce(o["modules"], F.col("_base.module_count"))))
+    many = F.transform(F.filter("_options", lambda o: F.coalesce(o["modules"], F.col("_base.module_count")).isNotNull()), lambda o: kit(F.concat(F.col("_root"), F.lit(" ("), o["label"], F.lit(")")), o["price"], o["gb"], F.coalesce(o["modules"], F.col("_base.module_count"))))
     own = F.array_join(F.filter(card["details"], lambda x: squeeze(x) != squeeze(card["full"])), " / ")
     gb = F.coalesce(memory.kit_capacity(F.col("name")), memory.kit_capacity(own))
     d = d.withColumns({"_many": many, "_gb": gb, "_all": memory.kit_capacities(F.col("full")), "_price": F.array_max(_whole_prices(card["strongs"]))})
     several = F.size(F.array_distinct("_all")) > 1
     capacity = F.coalesce("_gb", F.when(F.size("_all") == 1, F.get("_all", 0)))
+    d = d.withColumn("_whole", capacity)
+    capacity = F.col("_whole")
     named = F.when(F.size(memory.kit_capacities(F.col("name"))) > 0, squeeze(F.col("name"))).otherwise(F.concat(squeeze(F.col("name")), F.lit(" ("), capacity.cast("string"), F.lit("GB)")))
     mode = (
         F.when(F.col("_base").isNull(), "spec-missing")
@@ -180,33 +186,36 @@ def memory_options(cards: DataFrame) -> DataFrame:
         .when(F.col("_base.module_count").isNull(), "module-count-missing")
         .otherwise("single")
     )
-    rows = F.when(mode == "multi-option", F.col("_many")).when(mode == "single", F.array(kit(named, F.col("_price"), capacity, F.col("_base.module_count"))))
-    return d.withColumns({"rows": rows, "mode": mode})
+    one = F.array(kit(named, F.col("_price"), capacity, F.col("_base.module_count")))
+    return d.withColumn("mode", mode).withColumn("rows", F.when(F.col("mode") == "multi-option", F.col("_many")).when(F.col("mode") == "single", one))
 
 
 def _drive_gb(text: Column, pattern: str) -> Column:
     gb = memory._gb(F.regexp_extract(text, pattern, 1), F.upper(F.regexp_extract(text, pattern, 2)))
-    return F.when(gb.between(specs.LEAST_DRIVE_GB, specs.MOST_DRIVE_GB), gb)
+    return once(gb, lambda gb: F.when(gb.between(specs.LEAST_DRIVE_GB, specs.MOST_DRIVE_GB), gb))
 
 
 def drive_offer(offer: Column) -> Column:
     """Struct of gb, label and price of one offer: capacity and price of the same line, never of different ones."""
     whole = r"(?i)^(\d+(?:\.\d+)?)\s*(TB|GB)$"
-    spoken = F.filter(F.transform(offer["links"], lambda a: squeeze(a["label"])), lambda x: x != "")
+    return once(F.filter(F.transform(offer["links"], lambda a: squeeze(a["label"])), lambda x: x != ""), lambda spoken: _drive_offer(offer, spoken, whole))
+
+
+def _drive_offer(offer: Column, spoken: Column, whole: str) -> Column:
     by = lambda texts, p: F.filter(F.transform(texts, lambda x: F.struct(_drive_gb(x, p).alias("gb"), F.concat(F.regexp_extract(x, p, 1), F.upper(F.regexp_extract(x, p, 2))).alias("label"))), lambda x: x["gb"].isNotNull())
     at = F.coalesce(F.try_element_at(by(F.transform(offer["tokens"], squeeze), whole), F.lit(1)), F.try_element_at(by(spoken, LABELLED), F.lit(1)))
     least = PRICE_BANDS["SSD"][0]
     price = lambda text: F.array_min(F.filter(amounts(text), lambda v: v >= least))
     free = r"(?i)(\d+(?:\.\d+)?)\s*(TB|GB)"
 
-    def of_this(x: Column) -> Column:
+    def of_this(x: Column, at: Column) -> Column:
         """A label that names another capacity than the line's is another line's."""
         other = memory._gb(F.regexp_extract(x, free, 1), F.upper(F.regexp_extract(x, free, 2)))
         return F.replace(F.upper(x), F.lit(" "), F.lit("")).contains(at["label"]) | ~x.rlike(free) | (other == at["gb"])
 
     first = lambda texts: F.try_element_at(F.filter(F.transform(texts, price), lambda v: v.isNotNull()), F.lit(1))
-    cost = F.coalesce(first(F.filter(spoken, of_this)), first(F.transform(offer["links"], lambda a: squeeze(a["text"]))), price(squeeze(offer["text"])))
-    return F.struct(at["gb"].alias("gb"), at["label"].alias("label"), cost.alias("price"))
+    cost = lambda at: F.coalesce(first(F.filter(spoken, lambda x: of_this(x, at))), first(F.transform(offer["links"], lambda a: squeeze(a["text"]))), price(squeeze(offer["text"])))
+    return once(at, lambda at: F.struct(at["gb"].alias("gb"), at["label"].alias("label"), cost(at).alias("price")))
 
 
 def drive_rows(cards: DataFrame, keep: list[str]) -> DataFrame:
@@ -235,5 +244,6 @@ def drive_options(cards: DataFrame) -> DataFrame:
         .otherwise("fallback")
     )
     named = F.concat(F.col("name"), F.lit(" ("), specs.drive_label(F.col("_gb")), F.lit(")"))
-    rows = F.when(mode == "multi-option", F.col("_many")).when(mode == "single-name", F.array(row(F.col("name"), F.col("price"), F.col("_own")))).when(mode == "fallback", F.array(row(named, F.col("price"), F.col("_gb"))))
-    return d.withColumns({"rows": rows, "mode": mode})
+    is_ = lambda m: F.col("mode") == m
+    rows = F.when(is_("multi-option"), F.col("_many")).when(is_("single-name"), F.array(row(F.col("name"), F.col("price"), F.col("_own")))).when(is_("fallback"), F.array(row(named, F.col("price"), F.col("_gb"))))
+    return d.withColumn("mode", mode).withColumn("rows", rows)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pricewright.functions import memory, specs
 from pricewright.operators import quality as Q
+from pricewright.operators import variants as V
 from pricewright.plans import market_queries
 from pricewright.sources import cards as C
 
@@ -38,3 +39,13 @@ def test_units_are_spelled_once(category, most):
 
 def test_kits_are_found_once():
     assert str(memory.kit_capacity(F.col("x"))).count("㎔") == 1
+
+
+def test_links_are_chosen_once():
+    """A card's identity, and the options it offers, don't name the work behind them again."""
+    assert str(V.identity(F.col("card"), "https://shop.example")).count("javascript") == 1
+    assert str(V._cheapest(F.col("o"))).count("array_sort") == 1
+
+
+def test_drive_offers_are_read_once():
+    assert str(V.drive_offer(F.col("o"))).count("tokens") == 1
