@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewright.functions.text import normalize_name
+from pricewright.functions.text import normalize_name, once, squeeze
 from pricewright.folders import stored
 from pricewright.sources.cards import part_tables
 
@@ -211,17 +211,24 @@ def part_lines(tables: DataFrame, keys: list[str]) -> DataFrame:
     """keys, part, line, name, unit_price, quantity: the lines of tables (part_tables() of sources/cards.py) that name a part, an
     amount after it, and a quantity of 1 to 32 right after that. The name is the longest text between."""
     names = F.create_map(*[F.lit(x) for kv in PART_NAMES.items() for x in kv])
-    d = tables.select(*keys, F.posexplode("parts.lines").alias("line", "cells"))
-    d = d.withColumn("part", F.try_element_at(names, F.get("cells", 0)["text"])).where("part is not null")
-    prices = F.transform(F.slice("cells", F.lit(2), F.size("cells")), lambda c: money(c["text"]))
-    at = F.array_position(F.transform(prices, lambda p: p.isNotNull()), F.lit(True))
-    d = d.withColumns({"_at": at.cast("int"), "_prices": prices}).where(F.col("_at") > 0)
-    after = F.get("cells", F.col("_at") + 1)
-    typed = F.filter(F.transform(after["values"], lambda v: F.when(F.trim(v).rlike(r"^\d+$"), F.trim(v).try_cast("int"))), lambda n: n.between(1, 32))
-    between = F.transform(F.slice("cells", F.lit(2), F.col("_at") - 1), lambda c, i: F.struct(F.length(c["name"]).alias("n"), (-i).alias("i"), c["name"].alias("name")))
-    name = F.coalesce(F.array_max(between)["name"], F.col("part"))
-    d = d.select(*keys, "part", "line", name.alias("name"), F.get("_prices", F.col("_at") - 1).alias("unit_price"), F.coalesce(F.try_element_at(typed, F.lit(1)), quantity(after["text"])).alias("quantity"))
-    return d.where("quantity is not null")
+    named = lambda cells: F.try_element_at(names, F.get(cells, F.lit(0))["text"])
+
+    def told(cells: Column, line: Column, prices: Column, at: Column) -> Column:
+        after = F.get(cells, at + 1)
+        typed = F.filter(F.transform(after["values"], lambda v: F.when(F.trim(v).rlike(r"^\d+$"), F.trim(v).try_cast("int"))), lambda n: n.between(1, 32))
+        between = F.transform(F.slice(cells, F.lit(2), at - 1), lambda c, i: F.struct(F.length(c["name"]).alias("n"), (-i).alias("i"), c["name"].alias("name")))
+        name = F.coalesce(F.array_max(between)["name"], named(cells))
+        amount = F.coalesce(F.try_element_at(typed, F.lit(1)), quantity(after["text"]))
+        return F.when(at > 0, F.struct(named(cells).alias("part"), line.alias("line"), name.alias("name"), F.get(prices, at - 1).alias("unit_price"), amount.alias("quantity")))
+
+    def read(cells: Column, line: Column) -> Column:
+        prices = F.transform(F.slice(cells, F.lit(2), F.size(cells)), lambda c: money(c["text"]))
+        at = lambda prices: F.array_position(F.transform(prices, lambda p: p.isNotNull()), F.lit(True)).cast("int")
+        return F.when(named(cells).isNotNull(), once(prices, lambda p: once(at(p), lambda i: told(cells, line, p, i))))
+
+    # Lines are read within their table and filtered there: a filter above would be pushed down with the reading of each.
+    found = F.filter(F.transform("parts.lines", read), lambda x: x["quantity"].isNotNull())
+    return tables.select(*keys, F.explode(found).alias("_x")).select(*keys, "_x.*")
 
 
 def merged_parts(lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -263,15 +270,13 @@ def build_checked(merged: DataFrame, pages: DataFrame, keys: list[str]) -> DataF
 
 def money(text: Column) -> Column:
     """'1,234원' -> 1234: null unless the whole text is an amount."""
-    t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
-    return F.when(t.rlike(r"^[\d,]+\s*원?$"), F.regexp_replace(t, "[^0-9]", "").try_cast("bigint"))
+    return once(squeeze(text), lambda t: F.when(t.rlike(r"^[\d,]+\s*원?$"), F.regexp_replace(t, "[^0-9]", "").try_cast("bigint")))
 
 
 def quantity(text: Column) -> Column:
     """'2개', '2 EA', '2' -> 2; 1 to 32."""
-    t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
-    n = F.when(t.rlike(r"(?i)^(\d+)\s*(개|EA)?$"), F.regexp_extract(t, r"^(\d+)", 1).try_cast("int"))
-    return F.when(n.between(1, 32), n)
+    n = once(squeeze(text), lambda t: F.when(t.rlike(r"(?i)^(\d+)\s*(개|EA)?$"), F.regexp_extract(t, r"^(\d+)", 1).try_cast("int")))
+    return once(n, lambda n: F.when(n.between(1, 32), n))
 
 
 def cents(ratios: DataFrame) -> DataFrame:

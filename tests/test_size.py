@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricewright.functions import memory, specs
+from pricewright.operators import estimates, matching, part_match
 from pricewright.operators import quality as Q
 from pricewright.operators import variants as V
-from pricewright.plans import market_queries
+from pricewright.plans import catalog_queries, market_queries
 from pricewright.sources import cards as C
 
 
@@ -49,3 +50,14 @@ def test_links_are_chosen_once():
 
 def test_drive_offers_are_read_once():
     assert str(V.drive_offer(F.col("o"))).count("tokens") == 1
+
+
+def _plan(d):
+    return d._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_estimates_are_read_once(spark):
+    html = "<table><tr><th>PC 주요부품</th><th>개당 가격</th><th>수량</th></tr><tr><td>SSD</td><td>disk</td><td>1,000원</td><td>2개</td></tr><tr><td>SSD</td><td>disk</td><td>x</td><td>y</td></tr></table>"
+    d = estimates.part_lines(C.part_tables(spark.createDataFrame([(1, html)], "k long, html string"), "k"), ["k"])
+    assert [tuple(r) for r in d.collect()] == [(1, "SSD", 0, "disk", 1000, 2)]
+    assert _plan(d).count("\\s*원?$") == 1
