@@ -47,12 +47,12 @@ def parts_of(t: Column) -> Column:
 def module_info(name: Column, memory_type: Column | None = None, memory_clock: Column | None = None, capacity: Column | None = None, module_count: Column | None = None) -> Column:
     """Struct of brands, ddr, speed, cl, capacity_gb, modules, module_gb, parts. A listing's columns go before what the name
     says; a kit's capacity is shared among its modules, of which there is one at least."""
-    return info_of(normalize_text(name), name, memory_type, memory_clock, capacity, module_count)
+    return once(normalize_text(name), lambda t: info_of(t, name, memory_type, memory_clock, capacity, module_count))
 
 
 def module_features(df: DataFrame, name: str, into: str, **told: Column) -> DataFrame:
     """`df` with module_info() as the column `into`. The name is normalised once."""
-    return df.withColumn("_text", normalize_text(F.col(name))).withColumn(into, info_of(F.col("_text"), F.col(name), **told)).drop("_text")
+    return df.withColumn(into, module_info(F.col(name), **told))
 
 
 def info_of(t: Column, name: Column, memory_type: Column | None = None, memory_clock: Column | None = None, capacity: Column | None = None, module_count: Column | None = None) -> Column:

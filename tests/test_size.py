@@ -61,3 +61,7 @@ def test_lines_of_estimates_are_read_once(spark):
     d = estimates.part_lines(C.part_tables(spark.createDataFrame([(1, html)], "k long, html string"), "k"), ["k"])
     assert [tuple(r) for r in d.collect()] == [(1, "SSD", 0, "disk", 1000, 2)]
     assert _plan(d).count("\\s*원?$") == 1
+
+
+def test_names_of_memory_are_normalised_once():
+    assert str(memory.module_info(F.col("x"))).count("[^a-z0-9가-힣") == 1
