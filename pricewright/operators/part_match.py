@@ -28,10 +28,12 @@ SPEED_RADIUS, LEAST_ROWS = 100, 50
 
 def chip_features(df: DataFrame, part: str, name: str) -> DataFrame:
     """`df` with a struct f: key (model), brands, mobile, vram (graphics only), tokens."""
-    t = F.col("_text")
-    vram = text.vram_of(t) if part == "GPU" else F.lit(None).cast("int")
-    told = F.struct(KEYS[part](t).alias("key"), text.chips_of(t, part).alias("brands"), text.mobile_of(t).alias("mobile"), vram.alias("vram"), text.tokens_of(t, part).alias("tokens"))
-    return df.withColumn("_text", text.normalize_text(F.col(name))).withColumn("f", told).drop("_text")
+
+    def told(t: Column) -> Column:
+        vram = text.vram_of(t) if part == "GPU" else F.lit(None).cast("int")
+        return F.struct(KEYS[part](t).alias("key"), text.chips_of(t, part).alias("brands"), text.mobile_of(t).alias("mobile"), vram.alias("vram"), text.tokens_of(t, part).alias("tokens"))
+
+    return df.withColumn("f", text.once(text.normalize_text(F.col(name)), told))
 
 
 def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_id: str, name: str, bench_name: str, bench_score: str, with_candidates: bool = False) -> DataFrame:
@@ -42,8 +44,9 @@ def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_i
     Score: 100, 30 more if both tell the memory size, 5 if one does, 1 for each word in common. Best by score, then the
     benchmark's score, then its name. Many benchmarks of one model are few rows; a model with many products is no group."""
     b = chip_features(benchmarks.select(F.col(bench_name).alias("bench_name"), score_value(F.col(bench_score)).alias("bench_score")).where("bench_score is not null"), part, "bench_name")
+    # Written before they are filtered: a filter on the key would be pushed down, and bring all features with it.
+    d, b = stored(chip_features(products, part, name).select(product_id, "f")).where("f.key is not null"), stored(b)
     b = b.select(F.col("f.key").alias("_key"), F.col("f").alias("g"), "bench_name", "bench_score").where("_key is not null")
-    d, b = stored(chip_features(products, part, name).select(product_id, "f").where("f.key is not null")), stored(b)
     vram = F.when(F.col("f.vram").isNotNull() & F.col("g.vram").isNotNull(), BOTH_VRAM).when(F.col("f.vram").isNotNull() | F.col("g.vram").isNotNull(), ONE_VRAM).otherwise(0)
     agrees = ~known_conflict(F.col("f.brands"), F.col("g.brands")) & (F.col("f.mobile") == F.col("g.mobile")) & F.coalesce(F.col("f.vram") == F.col("g.vram"), F.lit(True))
     met = d.join(b, (F.col("f.key") == F.col("_key")) & agrees).withColumn("match_score", F.lit(CHIP_MATCH) + vram + F.size(F.array_intersect("f.tokens", "g.tokens")))

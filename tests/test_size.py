@@ -65,3 +65,11 @@ def test_lines_of_estimates_are_read_once(spark):
 
 def test_names_of_memory_are_normalised_once():
     assert str(memory.module_info(F.col("x"))).count("[^a-z0-9가-힣") == 1
+
+
+def test_names_of_chips_are_normalised_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(part_match, "stored", lambda d: plans.append(_plan(d)) or d)
+    names = spark.createDataFrame([(1, "AMD Ryzen 5 5600X", "10")], "id long, name string, score string")
+    d = part_match.match_chips(names.select("id", "name"), names.selectExpr("name as b", "score"), "CPU", "id", "name", "b", "score")
+    assert [r.match_score for r in d.collect()] == [102] and plans and all(p.count("[^a-z0-9가-힣") == 1 for p in plans)
