@@ -10,6 +10,7 @@ from pricewright.operators import matching as M
 from pricewright.operators import quality as Q
 from pricewright.operators import stats as S
 from pricewright.operators.storage_match import match_storage
+from pricewright.operators.ordered import exact_quantiles
 from pricewright.sources import cards as C
 from pricewright.streaming import pages as P
 
@@ -192,15 +193,17 @@ def ols_fit_predict(spark, sf):
     d = t(spark, sf, "lineitem")
     x = [F.log2("l_quantity"), F.col("l_discount"), F.col("l_tax")]
     w = S.solve(S.normal_sums(d, x, F.col("l_extendedprice")), 4) or [0.0] * 4
-    lo_hi = d.agg(F.percentile("l_extendedprice", F.lit(0.02)).alias("lo"), F.percentile("l_extendedprice", F.lit(0.98)).alias("hi")).first()
+    lo_hi = exact_quantiles(d, [], "l_extendedprice", {"lo": 0.02, "hi": 0.98}).first()
     raw = F.lit(w[0]) + sum((F.lit(c) * f for c, f in zip(w[2:], x[1:], strict=True)), F.lit(w[1]) * x[0])
-    return d.select("l_orderkey", "l_linenumber", F.round(F.least(F.greatest(raw, F.lit(lo_hi.lo or 0.0)), F.lit(lo_hi.hi or 0.0)), 2).alias("predicted"))
+    return d.select("l_orderkey", "l_linenumber", F.round(F.least(F.greatest(raw, F.lit(lo_hi.lo if lo_hi else 0.0)), F.lit(lo_hi.hi if lo_hi else 0.0)), 2).alias("predicted"))
 
 
 @query("select o_orderpriority, round(quantile_cont(o_totalprice, 0.02), 4) as q02, round(quantile_cont(o_totalprice, 0.98), 4) as q98, round(median(o_totalprice), 4) as mid from orders group by 1")
 def quantile_clamp(spark, sf):
-    q = lambda p: F.round(F.percentile("o_totalprice", F.lit(p)), 4)
-    return t(spark, sf, "orders").groupBy("o_orderpriority").agg(q(0.02).alias("q02"), q(0.98).alias("q98"), F.round(F.median("o_totalprice"), 4).alias("mid"))
+    d = t(spark, sf, "orders")
+    of = exact_quantiles(d, ["o_orderpriority"], "o_totalprice", {"q02": 0.02, "q98": 0.98, "mid": 0.5}).withColumnRenamed("o_orderpriority", "_p")
+    every = d.select("o_orderpriority").distinct()
+    return every.join(of, F.col("o_orderpriority").eqNullSafe(F.col("_p")), "left").select("o_orderpriority", *[F.round(c, 4).alias(c) for c in ("q02", "q98", "mid")])
 
 
 STEP, RADIUS = 50_000, 25_000

@@ -63,6 +63,14 @@ def test_lines_of_estimates_are_read_once(spark):
     assert _plan(d).count("\\s*원?$") == 1
 
 
+@pytest.mark.parametrize("query", ["ols_fit_predict", "quantile_clamp"])
+def test_no_task_holds_all_values(spark, monkeypatch, query):
+    """percentile() sends every distinct value of a group to one task."""
+    for f in ("percentile", "median"):
+        monkeypatch.setattr(catalog_queries.F, f, lambda *a, **b: pytest.fail("gathers values"))
+    assert catalog_queries.QUERIES[query](spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_names_of_memory_are_normalised_once():
     assert str(memory.module_info(F.col("x"))).count("[^a-z0-9가-힣") == 1
 
