@@ -17,6 +17,10 @@ from pricewright.folders import stored
 from .ordered import exact_quantiles, small
 
 
+#: Pairs that one task of common_tokens() counts at most.
+PAIRS_A_TASK = 1_000_000
+
+
 def best_match(products: DataFrame, scores: DataFrame, key: str, product_id: str, score: Column, order: list, agrees: Column | None = None) -> DataFrame:
     """Left outer equi-join on `key`; of the partners that agree, the best by score, then `order`."""
     right = scores.withColumnRenamed(key, "_key")
@@ -36,11 +40,13 @@ def block_on_tokens(left: DataFrame, right: DataFrame, left_id: str, right_id: s
 def common_tokens(few: DataFrame, many: DataFrame, few_id: str, many_id: str, tokens: str = "tokens") -> DataFrame:
     """few_id, many_id, common: as block_on_tokens, for whole texts whose common words stand nearly everywhere. Rows of
     `many` meet by their id, never by a word, so no word makes a large task: words that `few` doesn't have go first, and
-    where `few` is broadcast, pairs are counted where the words of their id are."""
-    a = few.select(few_id, F.explode(tokens).alias("_t")).distinct()
+    where `few` is broadcast, pairs are counted where the words of their id are. A task has so many rows of `many` that it
+    counts PAIRS_A_TASK pairs at most, or one row's; more rows make more tasks, no larger ones."""
+    a = stored(few.select(few_id, F.explode(tokens).alias("_t")).distinct())
+    rows = max(1, PAIRS_A_TASK // max(1, a.select(few_id).distinct().count()))
     b = many.select(many_id, F.explode(tokens).alias("_u"))
-    b = b.join(a.select("_t").distinct(), F.col("_t") == F.col("_u"), "left_semi").repartition(many_id).distinct()
-    return b.join(a, F.col("_t") == F.col("_u")).groupBy(few_id, many_id).agg(F.count("*").alias("common"))
+    b = b.join(small(a.select("_t").distinct()), F.col("_t") == F.col("_u"), "left_semi").repartition(1 + many.count() // rows, many_id).distinct()
+    return b.join(small(a), F.col("_t") == F.col("_u")).groupBy(few_id, many_id).agg(F.count("*").alias("common"))
 
 
 def known_conflict(a: Column, b: Column) -> Column:

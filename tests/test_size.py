@@ -63,6 +63,15 @@ def test_lines_of_estimates_are_read_once(spark):
     assert _plan(d).count("\\s*원?$") == 1
 
 
+def test_pairs_of_a_task_are_bounded(spark, monkeypatch):
+    """More documents make more tasks."""
+    monkeypatch.setattr(matching, "PAIRS_A_TASK", 10, raising=False)
+    few = spark.createDataFrame([("a", ["x", "y"]), ("b", ["y"])], "item string, tokens array<string>")
+    d = matching.common_tokens(few, spark.range(100).selectExpr("id", "array('x', 'y', 'z') as tokens"), "item", "id")
+    assert {tuple(r) for r in d.collect()} == {(k, i, n) for i in range(100) for k, n in (("a", 2), ("b", 1))}
+    assert "RepartitionByExpression" in _plan(d) and ", 21" in _plan(d)
+
+
 @pytest.mark.parametrize("query", ["ols_fit_predict", "quantile_clamp"])
 def test_no_task_holds_all_values(spark, monkeypatch, query):
     """percentile() sends every distinct value of a group to one task."""
