@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pricewright.functions import text
 from pricewright.folders import kept, scratch, stored
 
+from .ordered import small
 from .part_match import match_chips, match_memory
 from .quality import keep_first, score_value
 from .storage_match import match_storage
@@ -44,12 +45,14 @@ def united(lists: list[DataFrame], name: str, score: str, line: str) -> DataFram
     return d.select("bench_name", score_value(F.col("bench_score")).alias("bench_score")).where("bench_score is not null")
 
 
+def _brands(name: Column, part: str) -> dict[str, Column]:
+    made = {"brand": text.product_brand(name, part)} if part in BRANDED else {}
+    return made | ({"chipset_brand": text.chipset_brand(name)} if part == "GPU" else {})
+
+
 def with_brands(listing: DataFrame, part: str) -> DataFrame:
     """`listing` with brand right after price, and for graphics cards chipset_brand after it."""
-    name = F.col(name_column(listing.columns))
-    made = {"brand": text.product_brand(name, part)} if part in BRANDED else {}
-    if part == "GPU":
-        made["chipset_brand"] = text.chipset_brand(name)
+    made = _brands(F.col(name_column(listing.columns)), part)
     columns = [c for c in listing.columns if c not in made]
     at = columns.index("price") + 1 if "price" in columns else 1
     out: list[Column] = [F.col(f"`{c}`") for c in columns]
@@ -69,8 +72,12 @@ def match_data(listing: DataFrame, lists: list[DataFrame], part: str, bench_name
 def _matched(listing: DataFrame, lists: list[DataFrame], part: str, bench_name: str, bench_score: str, line: str) -> DataFrame:
     name = name_column(listing.columns)
     bench = stored(united(lists, bench_name, bench_score, line).withColumn("_id", F.col("bench_name")))
-    named = stored(listing.withColumn("_row", F.monotonically_increasing_id()))
-    own = named.select("_row", F.col(name).alias("_name"), *([c for c in MEMORY_COLUMNS if c in listing.columns] if part == "RAM" else []))
+    rows = stored(listing)
+    # What a row's match and brands hang on, each combination once; rows take theirs from a table that is small where names repeat.
+    keys = {name: "_name"} | ({c: f"_{c}" for c in MEMORY_COLUMNS if c in listing.columns} if part == "RAM" else {})
+    own = rows.select(*[F.col(c).alias(k) for c, k in keys.items()]).distinct().withColumn("_row", F.monotonically_increasing_id())
+    brands = _brands(F.col("_name"), part)
+    own = stored(own.select("*", *[c.alias(f"_{k}") for k, c in brands.items()]))
     if part in ("CPU", "GPU"):
         d = match_chips(own, bench, part, "_row", "_name", "bench_name", "bench_score", with_candidates=True)
         kind = F.when(F.col("bench_score").isNotNull(), "model_key_exact").otherwise("none")
@@ -78,13 +85,14 @@ def _matched(listing: DataFrame, lists: list[DataFrame], part: str, bench_name:
         d = match_storage(own, bench, "_name", "_id", "bench_name", "bench_score").withColumn("candidates", F.lit(None).cast("long"))
         kind = F.col("match_type")
     else:
-        told = {c: c for c in MEMORY_COLUMNS if c in listing.columns}
+        told = {c: k for c, k in keys.items() if c != name}
         d = match_memory(own, bench, "_row", "_name", "bench_name", "bench_score", **told)
         d = d.withColumn("bench_name", F.when(F.col("tier") == "ram_spec_estimate", ESTIMATED).otherwise(F.col("bench_name")))
         kind = F.coalesce("tier", F.lit("none"))
-    found = d.select(F.col("_row").alias("_r"), F.bround(F.col("bench_score").cast("double")).cast("long").alias("_score"), *[c.alias(f"_{k}") for k, c in zip(FOUND, (kind, F.col("bench_name"), F.col("match_score").cast("long"), F.col("candidates").cast("long")), strict=True)])
-    d = with_brands(named, part).join(found, F.col("_row") == F.col("_r"))
-    columns = [F.col(f"`{c}`") for c in with_brands(listing, part).columns if c not in ("bench_score", *FOUND)]
+    made = {"score": F.bround(F.col("bench_score").cast("double")).cast("long")} | dict(zip(FOUND, (kind, F.col("bench_name"), F.col("match_score").cast("long"), F.col("candidates").cast("long")), strict=True))
+    found = small(stored(d.select(*keys.values(), *[f"_{k}" for k in brands], *[c.alias(f"_{k}") for k, c in made.items()])))
+    d = rows.join(found, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]))
+    columns = [F.col(f"_{c}").alias(c) if c in brands else F.col(f"`{c}`") for c in with_brands(listing, part).columns if c not in ("bench_score", *FOUND)]
     return stored(d.select(*columns, F.col("_score").alias("bench_score"), *[F.col(f"_{k}").alias(k) for k in FOUND]))
 
 

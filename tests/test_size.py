@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricewright.functions import memory, specs
-from pricewright.operators import estimates, matching, part_match
+from pricewright.operators import estimates, integrate, matching, part_match
 from pricewright.operators import quality as Q
 from pricewright.operators import variants as V
 from pricewright.plans import catalog_queries, market_queries
@@ -90,3 +90,38 @@ def test_names_of_chips_are_normalised_once(spark, monkeypatch):
     names = spark.createDataFrame([(1, "AMD Ryzen 5 5600X", "10")], "id long, name string, score string")
     d = part_match.match_chips(names.select("id", "name"), names.selectExpr("name as b", "score"), "CPU", "id", "name", "b", "score")
     assert [r.match_score for r in d.collect()] == [102] and plans and all(p.count("[^a-z0-9가-힣") == 1 for p in plans)
+
+
+def _tables(monkeypatch, *modules):
+    """Rows and plan of each table that is written on the way."""
+    made = []
+    for m in modules:
+        monkeypatch.setattr(m, "stored", lambda d, write=m.stored: made.append((d.count(), _plan(d))) or write(d))
+    return made
+
+
+@pytest.mark.parametrize("part,names,found", [
+    ("GPU", ["ASUS RTX 4070", "board"], {0: ("ASUS", "NVIDIA", 70, "model_key_exact"), 1: (None, None, None, "none")}),
+    ("SSD", ["Lexar NM790 NVMe SSD 1TB", "drive"], {0: (None, None, 90, "model_exact"), 1: (None, None, None, "none")}),
+])
+def test_listings_are_matched_by_name(spark, monkeypatch, part, names, found):
+    """So are brands: the rows themselves are only written as they come and as they go. A row without a name is one as well."""
+    made = _tables(monkeypatch, integrate, part_match)
+    listing = spark.range(60).selectExpr("id", f"element_at(array('{names[0]}', '{names[1]}', null), cast(id % 3 as int) + 1) as name", "id * 10 as price")
+    bench = spark.createDataFrame([("GeForce RTX 4070", "70", 1), ("Lexar NM790 NVMe SSD 1TB", "90", 2)], "Bench_Name string, Score string, row int")
+    rows, report = integrate.match_data(listing, [bench], part)
+    got = {r.id: (r.price, getattr(r, "brand", None), getattr(r, "chipset_brand", None), r.bench_score, r.match_type) for r in rows.collect()}
+    assert rows.count() == 60 and got == {i: (10 * i, *found[min(i % 3, 1)]) for i in range(60)}
+    assert {(r.match_type, r.n) for r in report.collect()} == {(found[0][3], 20), ("none", 40)}
+    whole = [plan for n, plan in made if n == 60]
+    assert len(whole) == 2 and not any("asus" in p for p in whole)
+
+
+def test_memory_is_matched_by_what_is_told(spark, monkeypatch):
+    """Equal names that tell other sizes are matched apart, those without a name by what they tell."""
+    made = _tables(monkeypatch, integrate, part_match)
+    listing = spark.range(60).selectExpr("id", "if(id % 3 = 0, null, 'kit') as name", "'DDR4' as memory_type", "if(id % 3 = 2, null, 3600) as memory_clock", "16 as capacity", "1 as module_count", "id as price")
+    bench = spark.createDataFrame([("Crucial DDR4-3600 CL18 16GB", "24.6", 1)], "Bench_Name string, Score string, row int")
+    rows, _ = integrate.match_data(listing, [bench], "RAM")
+    assert sorted((r.id, r.price, r.match_type, r.bench_score) for r in rows.collect()) == [(i, i, *(("ram_spec_proxy", 25) if i % 3 < 2 else ("none", None))) for i in range(60)]
+    assert sum(n == 60 for n, _ in made) == 2
