@@ -42,18 +42,20 @@ def match_chips(products: DataFrame, benchmarks: DataFrame, part: str, product_i
 
     Models must agree, brands may not conflict, both or neither are mobile, and memory sizes that both tell are equal.
     Score: 100, 30 more if both tell the memory size, 5 if one does, 1 for each word in common. Best by score, then the
-    benchmark's score, then its name. Many benchmarks of one model are few rows; a model with many products is no group."""
+    benchmark's score, then its name. Names are matched once, however many products have one (so `product_id` only says what
+    the rows are); many benchmarks of one model are few rows."""
     b = chip_features(benchmarks.select(F.col(bench_name).alias("bench_name"), score_value(F.col(bench_score)).alias("bench_score")).where("bench_score is not null"), part, "bench_name")
+    names = chip_features(products.select(F.col(name).alias("_of")).distinct(), part, "_of")
     # Written before they are filtered: a filter on the key would be pushed down, and bring all features with it.
-    d, b = stored(chip_features(products, part, name).select(product_id, "f")).where("f.key is not null"), stored(b)
+    d, b = stored(names).where("f.key is not null"), stored(b)
     b = b.select(F.col("f.key").alias("_key"), F.col("f").alias("g"), "bench_name", "bench_score").where("_key is not null")
     vram = F.when(F.col("f.vram").isNotNull() & F.col("g.vram").isNotNull(), BOTH_VRAM).when(F.col("f.vram").isNotNull() | F.col("g.vram").isNotNull(), ONE_VRAM).otherwise(0)
     agrees = ~known_conflict(F.col("f.brands"), F.col("g.brands")) & (F.col("f.mobile") == F.col("g.mobile")) & F.coalesce(F.col("f.vram") == F.col("g.vram"), F.lit(True))
     met = d.join(b, (F.col("f.key") == F.col("_key")) & agrees).withColumn("match_score", F.lit(CHIP_MATCH) + vram + F.size(F.array_intersect("f.tokens", "g.tokens")))
     best = F.min(F.struct((-F.col("match_score")).alias("m"), (-F.col("bench_score")).alias("s"), F.col("bench_name").alias("name")))
-    found = met.groupBy(F.col(product_id).alias("_id")).agg(best.alias("x"), F.count("*").alias("candidates"))
-    found = found.select("_id", F.col("x.name").alias("bench_name"), (-F.col("x.s")).alias("bench_score"), (-F.col("x.m")).cast("long").alias("match_score"), *(["candidates"] if with_candidates else []))
-    return products.join(found, F.col(product_id) == F.col("_id"), "left").drop("_id")
+    found = met.groupBy("_of").agg(best.alias("x"), F.count("*").alias("candidates"))
+    found = found.select("_of", F.col("x.name").alias("bench_name"), (-F.col("x.s")).alias("bench_score"), (-F.col("x.m")).cast("long").alias("match_score"), *(["candidates"] if with_candidates else []))
+    return products.join(found, F.col(name) == F.col("_of"), "left").drop("_of")
 
 
 def memory_benchmarks(benchmarks: DataFrame, bench_name: str, bench_score: str) -> DataFrame:

@@ -100,6 +100,16 @@ def _tables(monkeypatch, *modules):
     return made
 
 
+def test_chips_are_matched_by_name(spark, monkeypatch):
+    """Once, however many products have it; products without a name or a match stay."""
+    made = _tables(monkeypatch, part_match)
+    products = spark.range(60).selectExpr("id", "element_at(array('AMD Ryzen 5 5600X', 'nothing', null), cast(id % 3 as int) + 1) as name")
+    bench = spark.createDataFrame([("AMD Ryzen 5 5600X", "10"), ("Ryzen 5 5600X box", "9")], "bench string, score string")
+    d = part_match.match_chips(products, bench, "CPU", "id", "name", "bench", "score", with_candidates=True)
+    assert sorted((r.id, r.bench_name, r.candidates) for r in d.collect()) == [(i, *(("AMD Ryzen 5 5600X", 2) if i % 3 == 0 else (None, None))) for i in range(60)]
+    assert max(n for n, _ in made) == 3
+
+
 @pytest.mark.parametrize("part,names,found", [
     ("GPU", ["ASUS RTX 4070", "board"], {0: ("ASUS", "NVIDIA", 70, "model_key_exact"), 1: (None, None, None, "none")}),
     ("SSD", ["Lexar NM790 NVMe SSD 1TB", "drive"], {0: (None, None, 90, "model_exact"), 1: (None, None, None, "none")}),
